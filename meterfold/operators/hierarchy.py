@@ -11,6 +11,7 @@ from meterfold.functions import text
 from meterfold.operators import ordering
 
 ID_BLOCK = 1_000_000
+LIST_BLOCK = 10_000
 
 
 def level_counts(levels: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -88,7 +89,7 @@ def sequence_keys(
 
 
 def member_lists(
-    members: DataFrame, group: Sequence[str], member: str, block: int = ID_BLOCK
+    members: DataFrame, group: Sequence[str], member: str, block: int = LIST_BLOCK
 ) -> DataFrame:
     """Members of each group as sorted lists, one list per block of ids.
 

@@ -184,15 +184,14 @@ def nest_children(
     over the parts by a hash of their id, so no array grows with the data and
     no child is left out.
     """
-    fields = [c for c in children.columns if c not in keys]
-    sized = children.join(parents.select(*keys, child_count), list(keys), "inner")
+    fields = [c for c in children.columns if c not in keys and c != child_id]
+    record = F.struct(child_id, *fields).alias("_child")
+    placed = children.select(*keys, record).join(parents, list(keys), "inner")
     parts = F.ceil(F.col(child_count) / F.lit(float(per_record))).cast("int")
-    placed = sized.withColumn("part", F.pmod(F.xxhash64(child_id), parts).cast("int"))
-    record = F.struct(child_id, *[f for f in fields if f != child_id])
-    nested = placed.groupBy(*keys, "part").agg(
-        F.array_sort(F.collect_list(record)).alias(into)
+    part = F.pmod(F.xxhash64(F.col("_child")[child_id]), parts).cast("int")
+    return placed.groupBy(*parents.columns, part.alias("part")).agg(
+        F.array_sort(F.collect_list("_child")).alias(into)
     )
-    return parents.join(nested, list(keys), "inner")
 
 
 def unnest_children(parents: DataFrame, keys: Sequence[str], column: str = "districts") -> DataFrame:

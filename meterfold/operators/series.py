@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterfold.functions import fixed
+
 
 def last_rows(series: DataFrame, time: str, n: int) -> DataFrame:
     """The last ``n`` rows of a series with one row per time."""
@@ -18,18 +20,23 @@ def last_windows(rows: DataFrame, time: str, n: int) -> DataFrame:
     return rows.select(time).where(F.col(time).isNotNull()).distinct().orderBy(F.desc(time)).limit(n)
 
 
-def in_last_windows(rows: DataFrame, time: str, n: int) -> DataFrame:
+def in_last_windows(
+    rows: DataFrame, time: str, n: int, event_time: str | None = None
+) -> DataFrame:
     """Rows of the last ``n`` distinct times; 0 keeps all rows.
 
     The oldest time kept is one value, found by a top-N over distinct times. The
     rows are then filtered against it where they are scanned: no join, no rank.
+    ``event_time`` names a stored column never earlier than its window: the same
+    limit on it lets the scan skip old row groups.
     """
     if n < 0:
         raise ValueError("n must not be negative")
     if n == 0:
         return rows
     oldest = last_windows(rows, time, n).agg(F.min(time).alias("v")).scalar()
-    return rows.where(F.col(time) >= oldest)
+    kept = rows.where(F.col(time) >= oldest)
+    return kept if event_time is None else kept.where(F.col(event_time) >= oldest)
 
 
 def with_change(series: DataFrame, time: str, measure: str, last: int = 12) -> DataFrame:
@@ -75,14 +82,12 @@ def current_or_latest(rows: DataFrame, keys: Sequence[str], time: str) -> DataFr
 
 def row_at_or_latest(rows: DataFrame, keys: Sequence[str], time: str, current: object) -> DataFrame:
     """Row at a given time per key, or the key's latest row when it has none."""
-    here = (F.col(time) == F.lit(current)).cast("int")
+    here = F.coalesce((F.col(time) == F.lit(current)).cast("int"), F.lit(0))
     return latest_per_key(rows.withColumn("_here", here), keys, ["_here", time]).drop("_here")
 
 
 def total_per_window(rows: DataFrame, time: str, measure: str, digits: int) -> DataFrame:
     """Sum of a measure over all rows of a window."""
-    from meterfold.functions import fixed
-
     return rows.groupBy(time).agg(fixed.fixed_sum(measure, digits).alias(measure))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.functions import slots
+from meterfold.functions import fixed, slots
 from meterfold.operators import hierarchy, ordering, reports, rollup, series
 from meterfold.plans import standins as si
 from meterfold.plans.aggregations import energy_series
@@ -85,8 +85,8 @@ def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
 )
 def last_windows(spark: SparkSession, folder: str) -> DataFrame:
     start = rollup.tumbling("ts")["start"].alias("window_start")
-    placed = tables.load(spark, folder, "events").select("event_id", "value", start)
-    return series.in_last_windows(placed, "window_start", 12)
+    placed = tables.load(spark, folder, "events").select("event_id", "value", "ts", start)
+    return series.in_last_windows(placed, "window_start", 12, "ts").drop("ts")
 
 
 @query(
@@ -104,8 +104,6 @@ _NATION_SQL = f"""nations AS (
 
 
 def nation_balances(spark: SparkSession, folder: str) -> DataFrame:
-    from meterfold.functions import fixed
-
     customer = tables.load(spark, folder, "customer")
     return customer.groupBy("c_nationkey").agg(fixed.fixed_sum("c_acctbal", 2).alias("balance"))
 

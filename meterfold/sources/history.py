@@ -37,8 +37,12 @@ def history_lines(concentrators: DataFrame, cycles: DataFrame) -> DataFrame:
 
 
 def append_history(concentrators: DataFrame, cycles: DataFrame, path: str) -> None:
-    """Add windows to the log."""
-    lines = history_lines(concentrators, cycles)
+    """Add windows to the log.
+
+    The rebalance hint gives each day few files, and a day with many rows
+    several tasks.
+    """
+    lines = history_lines(concentrators, cycles).hint("rebalance", PARTITION)
     lines.write.mode("append").partitionBy(PARTITION).text(path, lineSep="\n")
 
 
@@ -52,11 +56,8 @@ class History:
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Tolerant parse: blank and broken lines are dropped."""
-    schema = f"{model.HISTORY_SCHEMA}, _bad STRING"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    stripped = lines.select(text.strip(F.col(column)).alias("line")).where(F.col("line") != "")
-    parsed = stripped.select(F.from_json("line", schema, options).alias("r")).select("r.*")
-    return parsed.where(F.col("_bad").isNull()).drop("_bad")
+    parsed = lines.select(messages.one_record(F.col(column), model.HISTORY_SCHEMA).alias("r"))
+    return parsed.where(F.col("r").isNotNull()).select("r.*")
 
 
 def _times(*fallback: str) -> Column:

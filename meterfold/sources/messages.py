@@ -105,15 +105,24 @@ def subscribe(spark: SparkSession, servers: str, topics: Sequence[str]) -> DataF
     )
 
 
+def one_record(line: Column, schema: str) -> Column:
+    """The record of a line that holds exactly one JSON object, else null.
+
+    Read as a one-element array, a line with anything after the object is
+    malformed; on its own the parser would stop behind the object.
+    """
+    wrapped = F.concat(F.lit("["), line, F.lit("]"))
+    found = F.from_json(wrapped, f"ARRAY<STRUCT<{schema}>>", {"mode": "PERMISSIVE"})
+    return F.when(F.size(found) == 1, found[0])
+
+
 def parse_envelopes(lines: DataFrame, column: str = "line") -> DataFrame:
     """Strict parse of envelope lines: blank lines are skipped, a bad one fails."""
     stripped = lines.select(text.strip(F.col(column)).alias("line")).where(F.col("line") != "")
-    parsed = stripped.select(
-        F.from_json("line", model.ENVELOPE_SCHEMA, {"mode": "FAILFAST"}).alias("m")
-    )
+    parsed = stripped.select("line", one_record(F.col("line"), model.ENVELOPE_SCHEMA).alias("m"))
     topic = F.when(
         F.col("m.topic").isNull() | F.col("m.value").isNull(),
-        F.raise_error(F.lit("message without topic or value")),
+        F.raise_error(F.concat(F.lit("not a message: "), F.substring("line", 1, 200))),
     ).otherwise(F.col("m.topic"))
     return parsed.select(topic.alias("topic"), F.col("m.key").alias("key"), F.col("m.value").alias("value"))
 
