@@ -23,8 +23,8 @@ def centroid_table(centroids: Sequence[Sequence[float]]) -> Column:
 
 def euclidean(a: Column, b: Column) -> Column:
     """Distance between two vectors of equal length."""
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
+    gaps = F.zip_with(a, b, lambda x, y: x - y)
+    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, gap: acc + gap * gap))
 
 
 def first_smallest(distances: Column) -> Column:

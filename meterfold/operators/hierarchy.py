@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterfold.functions import text
 from meterfold.operators import ordering
 
-ID_BLOCK = 1_000_000
+BLOCKS = 1024
 LIST_BLOCK = 10_000
 
 
@@ -45,7 +45,7 @@ def balanced_parents(
     member: str,
     parents: int,
     parent: str = "parent_no",
-    block: int = ID_BLOCK,
+    blocks: int = BLOCKS,
 ) -> DataFrame:
     """Spread the members of each group over ``parents`` parents in id order.
 
@@ -56,7 +56,7 @@ def balanced_parents(
     placed = ordering.positions(
         members,
         [member],
-        ordering.id_block(member, block),
+        ordering.spread_blocks(members, member, blocks),
         keys=group,
         position="_place",
         total="_size",
@@ -77,12 +77,11 @@ def sequence_keys(
     parts: Sequence[Column],
     key: str = "member_key",
     width: int = 5,
-    block: int = ID_BLOCK,
+    blocks: int = BLOCKS,
 ) -> DataFrame:
     """Number the members of each group and build ``PFX-CODE-MTR-00001`` keys."""
-    placed = ordering.positions(
-        members, [member], ordering.id_block(member, block), keys=group, position="_place"
-    )
+    bucket = ordering.spread_blocks(members, member, blocks)
+    placed = ordering.positions(members, [member], bucket, keys=group, position="_place")
     return placed.withColumn(
         key, text.sequence_key(list(parts), F.col("_place"), width)
     ).drop("_place")

@@ -20,6 +20,18 @@ def id_block(column: str, width: int) -> Column:
     return F.floor(F.col(column) / F.lit(width))
 
 
+def spread_blocks(rows: DataFrame, column: str, blocks: int) -> Column:
+    """Bucket for a whole-number order column: its range cut into ``blocks`` parts.
+
+    The number of bucket totals does not grow with the data, and ids may be as
+    sparse as they like. Lowest and highest id are scalar subqueries.
+    """
+    low = rows.agg(F.min(column).alias("v")).scalar()
+    high = rows.agg(F.max(column).alias("v")).scalar()
+    width = F.floor((high - low) / F.lit(blocks)) + 1
+    return F.floor((F.col(column) - low) / width)
+
+
 def positions(
     rows: DataFrame,
     order_by: Sequence[str],

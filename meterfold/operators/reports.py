@@ -117,14 +117,20 @@ def group_breakdown(
     anomalies: str,
     digits: int,
 ) -> DataFrame:
-    """Sums per category with the number of rows and the share of energy."""
+    """Sums per category with the number of rows and the share of energy.
+
+    The total is taken over the category rows, of which there are a handful, so
+    the rows themselves are read once.
+    """
     grouped = rows.groupBy(category).agg(
         fixed.fixed_sum(energy, digits).alias("energy"),
         F.sum(meters).alias("meters"),
         F.count(F.lit(1)).alias("districts"),
         F.sum(anomalies).alias("anomalies"),
     )
-    return with_share(grouped, "energy")
+    total = F.nullif(F.sum("energy").over(Window.partitionBy()), F.lit(0))
+    share = F.coalesce(F.col("energy") / total * F.lit(100.0), F.lit(0.0))
+    return grouped.withColumn("pct", share)
 
 
 def pivot_measure(

@@ -111,7 +111,7 @@ def global_recap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def nested_recap(spark: SparkSession, folder: str, per_record: int = 1000) -> DataFrame:
-    l3 = si.level3(spark, folder)
+    l3 = si.level3_table(spark, folder)
     children = rollup.finish(l3).select("window_start", "district", "total_meters", "total_energy_kwh")
     parents = rollup.recap(l3).select("window_start", "districts_reported", "total_meters")
     return rollup.nest_children(

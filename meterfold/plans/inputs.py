@@ -92,7 +92,7 @@ def vector_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def level_messages(spark: SparkSession, folder: str) -> list[messages.Route]:
     """Routes of all four levels."""
-    l3 = si.level3(spark, folder)
+    l3 = si.level3_table(spark, folder)
     placed = rollup.with_parents(si.level2(spark, folder), si.hierarchy(spark, folder))
     recaps = rollup.cycles(rollup.recap(l3))
     return [
@@ -120,7 +120,12 @@ def spaced(lines: DataFrame) -> DataFrame:
 )
 def strict_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.new_path(spark, "envelopes")
-    sent = messages.message_frame(level_messages(spark, folder))
+    routes = [
+        r
+        for r in level_messages(spark, folder)
+        if r.topic in (model.TOPIC_READINGS, model.TOPIC_CONCENTRATORS)
+    ]
+    sent = messages.message_frame(routes)
     rows.write_lines(spaced(messages.envelope_lines(sent)), "value", path)
     log = messages.read_envelopes(spark, path)
     typed = messages.of_topic(log, model.TOPIC_READINGS, model.READING_SCHEMA)
@@ -146,7 +151,7 @@ def damaged(lines: DataFrame) -> DataFrame:
 )
 def tolerant_history(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.new_path(spark, "history")
-    l3 = si.level3(spark, folder)
+    l3 = si.level3_table(spark, folder)
     lines = history.history_lines(rollup.finish(l3), rollup.cycles(rollup.recap(l3)))
     rows.write_lines(damaged(lines), "value", path)
     log = history.load_history(spark, path)
@@ -247,7 +252,7 @@ def publish(spark: SparkSession, folder: str) -> DataFrame:
 )
 def history_append(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.new_path(spark, "log")
-    l3 = si.level3(spark, folder)
+    l3 = si.level3_table(spark, folder)
     history.append_history(rollup.finish(l3), rollup.cycles(rollup.recap(l3)), path)
     log = history.parse_lines(spark.read.text(path, lineSep="\n"))
     return log.groupBy("kind", F.substring("window_start", 1, 10).alias("window_date")).agg(

@@ -87,7 +87,7 @@ def parents_with_readings(spark: SparkSession, folder: str) -> DataFrame:
         FROM selected CROSS JOIN steps LEFT JOIN l3 USING (district, window_start)""",
 )
 def dense_grid(spark: SparkSession, folder: str) -> DataFrame:
-    l3 = rollup.finish(si.level3(spark, folder)).select(
+    l3 = rollup.finish(si.level3_table(spark, folder)).select(
         "district", "zone_type", "window_start", "total_energy_kwh"
     )
     latest = series.latest_per_key(l3, ["district"], ["window_start"])

@@ -174,7 +174,7 @@ def fallbacks(spark: SparkSession, folder: str) -> DataFrame:
                     ELSE 'ok' END FROM l4""",
 )
 def severity(spark: SparkSession, folder: str) -> DataFrame:
-    l3 = si.level3(spark, folder, minutes=24 * 60)
+    l3 = si.level3_table(spark, folder, minutes=24 * 60)
     minimum = bands.low_level(F.col("min_voltage"), 2.0, 10.0).alias("low_level")
 
     def banded(rows: DataFrame, level: str, district, critical: int) -> DataFrame:
@@ -207,6 +207,6 @@ def band_side(spark: SparkSession, folder: str) -> DataFrame:
         UNION ALL SELECT 'cycle', window_start, NULL, cycle_id, total_meters FROM cycles""",
 )
 def tagged_union(spark: SparkSession, folder: str) -> DataFrame:
-    l3 = si.level3(spark, folder)
+    l3 = si.level3_table(spark, folder)
     both = history.history_rows(rollup.finish(l3), rollup.cycles(rollup.recap(l3)))
     return both.select("kind", "window_start", "district", "cycle_id", "total_meters")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterfold import scratch
 from meterfold.functions import load
 from meterfold.model import Band
 from meterfold.operators import rollup
@@ -62,6 +63,11 @@ def level3(spark: SparkSession, folder: str, **options) -> DataFrame:
     return rollup.by_parent(placed, PARENT_KEYS)
 
 
+def level3_table(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """Level 3 written once, for queries that read it more than once."""
+    return scratch.stored(level3(spark, folder, **options), "level3")
+
+
 def level4(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.recap(level3(spark, folder))
 

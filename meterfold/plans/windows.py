@@ -60,7 +60,7 @@ def headline(spark: SparkSession, folder: str) -> DataFrame:
             window_start = (SELECT max(window_start) FROM l3) DESC, window_start DESC) = 1""",
 )
 def current_or_latest(spark: SparkSession, folder: str) -> DataFrame:
-    l3 = si.level3(spark, folder).select("district", "window_start", "total_meters", "anomalies_count")
+    l3 = si.level3_table(spark, folder).select("district", "window_start", "total_meters", "anomalies_count")
     return series.current_or_latest(l3, ["district"], "window_start")
 
 
@@ -95,7 +95,7 @@ def last_windows(spark: SparkSession, folder: str) -> DataFrame:
         QUALIFY dense_rank() OVER (ORDER BY window_start DESC) <= 96""",
 )
 def retention(spark: SparkSession, folder: str) -> DataFrame:
-    l3 = si.level3(spark, folder).select("district", "window_start", "total_meters", "anomalies_count")
+    l3 = si.level3_table(spark, folder).select("district", "window_start", "total_meters", "anomalies_count")
     return series.in_last_windows(l3, "window_start", 96)
 
 
@@ -170,19 +170,18 @@ def running_total(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "WIN-13_window_number",
-    """SELECT event_id, dense_rank() OVER (
-           ORDER BY time_bucket(INTERVAL '15 minutes', ts)) AS cycle_id FROM events""",
+    """SELECT window_start, readings, dense_rank() OVER (ORDER BY window_start) AS cycle_id FROM (
+           SELECT time_bucket(INTERVAL '15 minutes', ts) AS window_start, count(*) AS readings
+           FROM events GROUP BY 1)""",
 )
 def window_number(spark: SparkSession, folder: str) -> DataFrame:
     start = rollup.tumbling("ts")["start"].alias("window_start")
-    placed = tables.load(spark, folder, "events").select("event_id", start)
-    numbered = ordering.positions(
-        placed.select("window_start").distinct(),
-        ["window_start"],
-        _day("window_start"),
-        position="cycle_id",
+    windows = tables.load(spark, folder, "events").groupBy(start).agg(
+        F.count(F.lit(1)).alias("readings")
+    )
+    return ordering.positions(
+        windows, ["window_start"], _day("window_start"), position="cycle_id"
     )
-    return placed.join(numbered, "window_start").select("event_id", "cycle_id")
 
 
 @query(
@@ -192,7 +191,7 @@ def window_number(spark: SparkSession, folder: str) -> DataFrame:
 )
 def balanced_parents(spark: SparkSession, folder: str) -> DataFrame:
     customer = tables.load(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    return hierarchy.balanced_parents(customer, ["c_nationkey"], "c_custkey", 7, block=500)
+    return hierarchy.balanced_parents(customer, ["c_nationkey"], "c_custkey", 7)
 
 
 @query(
@@ -203,7 +202,7 @@ def balanced_parents(spark: SparkSession, folder: str) -> DataFrame:
 def sequence_keys(spark: SparkSession, folder: str) -> DataFrame:
     customer = tables.load(spark, folder, "customer").select("c_custkey", "c_nationkey")
     parts = [F.lit("GRD"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("MTR")]
-    keyed = hierarchy.sequence_keys(customer, ["c_nationkey"], "c_custkey", parts, block=500)
+    keyed = hierarchy.sequence_keys(customer, ["c_nationkey"], "c_custkey", parts)
     return keyed.select("c_custkey", "member_key")
 
 

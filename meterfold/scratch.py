@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDER: str | None = None
+_CREATED: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,7 +30,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/meterfold/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/meterfold/{label}-{uuid.uuid4().hex}"
+    _CREATED.append(path)
+    return path
+
+
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several branches read, and read it back.
+
+    A roll-up level is small next to the readings it comes from. Written once,
+    it saves each branch a pass over the readings (branches that need different
+    columns share no shuffle), and its size is known when joins are planned.
+    """
+    spark = rows.sparkSession
+    path = new_path(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this process put into the shared folder."""
+    while _CREATED:
+        delete(spark, _CREATED.pop())
 
 
 def delete(spark: SparkSession, path: str) -> bool:

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from meterfold import build_session  # noqa: E402
+from meterfold import build_session, scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,4 +22,5 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    scratch.clear(session)
     session.stop()

@@ -63,7 +63,7 @@ def test_positions_keep_null_keys(spark):
 
 @pytest.mark.parametrize("parents", [1, 7, 5000])
 def test_balanced_parents(members, parents):
-    got = hierarchy.balanced_parents(members, ["g"], "m", parents, block=100).collect()
+    got = hierarchy.balanced_parents(members, ["g"], "m", parents, blocks=30).collect()
     assert len(got) == 3000
     for g, ordered in _groups(members).items():
         numbers = [r.parent_no for r in sorted((r for r in got if r.g == g), key=lambda r: r.m)]
@@ -73,7 +73,7 @@ def test_balanced_parents(members, parents):
 
 
 def test_sequence_keys(members):
-    got = hierarchy.sequence_keys(members, ["g"], "m", [F.lit("P"), F.col("g").cast("string")], block=64)
+    got = hierarchy.sequence_keys(members, ["g"], "m", [F.lit("P"), F.col("g").cast("string")], blocks=50)
     groups = _groups(members)
     for r in got.collect():
         assert r.member_key == f"P-{r.g}-{groups[r.g].index(r.m) + 1:05d}"
@@ -97,3 +97,12 @@ def test_level_counts_and_control_totals(spark, members):
     hierarchy.require_totals(checked.where(F.col("k") == "a"))
     with pytest.raises(ValueError, match="control totals"):
         hierarchy.require_totals(checked)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ids=st.sets(st.integers(-(2**40), 2**40), min_size=1, max_size=50), blocks=st.integers(1, 64))
+def test_spread_blocks_are_few_and_ordered(spark, ids, blocks):
+    rows = spark.createDataFrame([(i,) for i in ids], "m BIGINT")
+    cut = rows.select("m", ordering.spread_blocks(rows, "m", blocks).alias("b")).orderBy("m").collect()
+    buckets = [r.b for r in cut]
+    assert buckets == sorted(buckets) and 0 <= buckets[0] and buckets[-1] < blocks
