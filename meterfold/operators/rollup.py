@@ -184,7 +184,7 @@ def nest_children(
     over the parts by a hash of their id, so no array grows with the data and
     no child is left out.
     """
-    fields = [c for c in children.columns if c not in keys and c != child_id]
+    fields = [c for c in children.columns if c != child_id]
     record = F.struct(child_id, *fields).alias("_child")
     placed = children.select(*keys, record).join(parents, list(keys), "inner")
     parts = F.ceil(F.col(child_count) / F.lit(float(per_record))).cast("int")
@@ -194,6 +194,6 @@ def nest_children(
     )
 
 
-def unnest_children(parents: DataFrame, keys: Sequence[str], column: str = "districts") -> DataFrame:
-    """Child rows again, next to the parent's keys."""
-    return parents.select(*keys, F.inline(column))
+def unnest_children(parents: DataFrame, column: str = "districts") -> DataFrame:
+    """Child rows again."""
+    return parents.select(F.inline(column))

@@ -258,4 +258,4 @@ def json_path(spark: SparkSession, folder: str) -> DataFrame:
         energy_units / 1e4 AS total_energy_kwh FROM l3""",
 )
 def inline(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.unnest_children(nested_recap(spark, folder), ["window_start"])
+    return rollup.unnest_children(nested_recap(spark, folder))

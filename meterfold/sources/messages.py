@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from meterfold import model
 from meterfold.functions import text
 
-_JSON = {"ignoreNullFields": "false"}
+# Nulls stay visible; timestamps inside nested records look like the others.
+_JSON = {"ignoreNullFields": "false", "timestampNTZFormat": text.ISO_SECONDS}
 
 #: Producer settings of the broker sink.
 BROKER_OPTIONS = {
