@@ -1,5 +1,5 @@
 """Windowed roll-ups, reports and k-means for metering data on Spark."""
 
-from meterfold.session import build_session
+from meterfold.session import build_session, sized_for
 
-__all__ = ["build_session"]
+__all__ = ["build_session", "sized_for"]

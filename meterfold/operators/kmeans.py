@@ -47,8 +47,10 @@ def assign(
     table = vectors.centroid_table(centroids)
     point = F.col(vector).cast("array<double>")
     distances = F.transform(table, lambda c: vectors.euclidean(point, c))
-    held = points.withColumn("_distances", distances)
-    return held.withColumn(cluster, vectors.first_smallest(F.col("_distances"))).drop("_distances")
+    held = points.select("*", distances.alias("_distances"))
+    return held.select(
+        *points.columns, vectors.first_smallest(F.col("_distances")).alias(cluster)
+    )
 
 
 def group_means(

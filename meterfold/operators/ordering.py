@@ -43,6 +43,9 @@ def positions(
 ) -> DataFrame:
     """Add the 1-based place of each row along ``order_by`` within ``keys``.
 
+    The rows are read twice, once for the bucket totals: pass a table or an
+    aggregate, not a long chain of work.
+
     ``bucket`` must not decrease along ``order_by`` and ``order_by`` must be
     unique within ``keys``. ``total`` names a column for the number of rows of
     the key; ``running`` maps new columns to whole-number columns whose sum up

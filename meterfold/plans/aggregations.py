@@ -294,7 +294,9 @@ def member_lists(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("AGG-23_min_max", "SELECT min(value) AS low, max(value) AS high FROM events")
+@query("AGG-23_min_max", "SELECT min(value) + 0e0 AS low, max(value) + 0e0 AS high FROM events")
 def min_max(spark: SparkSession, folder: str) -> DataFrame:
     events = tables.load(spark, folder, "events")
-    return events.agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    # Adding zero turns a minimum of -0.0 into 0.0; which of the two wins is not defined.
+    low, high = F.min("value") + F.lit(0.0), F.max("value") + F.lit(0.0)
+    return events.agg(low.alias("low"), high.alias("high"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,19 +92,33 @@ def vector_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def level_messages(spark: SparkSession, folder: str) -> list[messages.Route]:
-    """Routes of all four levels."""
-    l3 = si.level3_table(spark, folder)
+ALL_TOPICS = (
+    model.TOPIC_READINGS,
+    model.TOPIC_DISTRIBUTORS,
+    model.TOPIC_CONCENTRATORS,
+    model.TOPIC_CENTER,
+)
+
+
+def level_messages(
+    spark: SparkSession, folder: str, topics: Sequence[str] = ALL_TOPICS
+) -> list[messages.Route]:
+    """Routes of the levels asked for; levels with several readers are stored."""
     placed = rollup.with_parents(si.level2(spark, folder), si.hierarchy(spark, folder))
-    recaps = rollup.cycles(rollup.recap(l3))
-    return [
+    if model.TOPIC_DISTRIBUTORS in topics:
+        placed = scratch.stored(placed, "level2")
+    l3 = rollup.by_parent(placed, si.PARENT_KEYS)
+    if model.TOPIC_CENTER in topics:
+        l3 = scratch.stored(l3, "level3")
+    routes = [
         messages.Route(si.readings(spark, folder), model.TOPIC_READINGS, F.col("meter_id")),
+        messages.Route(rollup.finish(placed), model.TOPIC_DISTRIBUTORS, F.col("distributor_id")),
+        messages.Route(rollup.finish(l3), model.TOPIC_CONCENTRATORS, F.col("concentrator_id")),
         messages.Route(
-            rollup.finish(placed), model.TOPIC_DISTRIBUTORS, F.col("distributor_id")
+            rollup.cycles(rollup.recap(l3)), model.TOPIC_CENTER, text.cycle_key(F.col("cycle_id"))
         ),
-        messages.Route(rollup.finish(l3), model.TOPIC_CONCENTRATORS, F.col("concentrator_id")),
-        messages.Route(recaps, model.TOPIC_CENTER, text.cycle_key(F.col("cycle_id"))),
     ]
+    return [r for r in routes if r.topic in topics]
 
 
 def spaced(lines: DataFrame) -> DataFrame:
@@ -120,11 +136,9 @@ def spaced(lines: DataFrame) -> DataFrame:
 )
 def strict_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.new_path(spark, "envelopes")
-    routes = [
-        r
-        for r in level_messages(spark, folder)
-        if r.topic in (model.TOPIC_READINGS, model.TOPIC_CONCENTRATORS)
-    ]
+    routes = level_messages(
+        spark, folder, (model.TOPIC_READINGS, model.TOPIC_CONCENTRATORS)
+    )
     sent = messages.message_frame(routes)
     rows.write_lines(spaced(messages.envelope_lines(sent)), "value", path)
     log = messages.read_envelopes(spark, path)
@@ -177,7 +191,7 @@ def tolerant_history(spark: SparkSession, folder: str) -> DataFrame:
 )
 def older_log(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.new_path(spark, "older")
-    routes = [r for r in level_messages(spark, folder) if r.topic == model.TOPIC_CONCENTRATORS]
+    routes = level_messages(spark, folder, (model.TOPIC_CONCENTRATORS,))
     rows.write_lines(messages.envelope_lines(messages.message_frame(routes)), "value", path)
     log = history.load_history(spark, path)
     shown = ["window_start", "total_meters", "total_energy_kwh", "anomalies_count"]

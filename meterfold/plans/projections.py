@@ -126,7 +126,10 @@ def threshold(spark: SparkSession, folder: str) -> DataFrame:
                window_start, total_meters FROM l3""",
 )
 def demux(spark: SparkSession, folder: str) -> DataFrame:
-    sent = messages.message_frame(level_messages(spark, folder))
+    routes = level_messages(
+        spark, folder, (model.TOPIC_DISTRIBUTORS, model.TOPIC_CONCENTRATORS)
+    )
+    sent = messages.message_frame(routes)
     shown = None
     for topic, schema in (
         (model.TOPIC_DISTRIBUTORS, model.DISTRIBUTOR_SCHEMA),

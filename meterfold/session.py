@@ -14,9 +14,23 @@ DEFAULTS = {
     # Several stateful levels in one streaming query keep their windows off-heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Upload changes instead of whole files at each batch, and skip the look-up
+    # that only serves a row counter.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
+def sized_for(shuffle_bytes: int, partition_bytes: int = 256 * 2**20) -> dict[str, str]:
+    """Keyword settings of :func:`build_session` for an expected shuffle volume.
+
+    The count is the upper bound AQE merges small partitions from; streaming
+    state is fixed to it at the first start.
+    """
+    count = max(200, min(100_000, -(-shuffle_bytes // partition_bytes)))
+    return {"spark__sql__shuffle__partitions": str(count)}
+
+
 def build_session(
     app: str = "meterfold", master: str | None = None, **settings: str
 ) -> SparkSession:

@@ -46,3 +46,11 @@ def test_roll_up_publishes_and_logs(spark, tmp_path):
     kept = history.load_history(spark, log)
     assert sorted(r.cycle_id for r in kept.cycles.collect()) == [12, 13, 14]
     assert kept.districts.count() == 6
+
+
+def test_session_sizing():
+    from meterfold import sized_for
+
+    assert sized_for(10)["spark__sql__shuffle__partitions"] == "200"
+    assert sized_for(10 * 2**40)["spark__sql__shuffle__partitions"] == "40960"
+    assert sized_for(2**60)["spark__sql__shuffle__partitions"] == "100000"
