@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,30 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, gap: acc + gap * gap))
 
 
+def nearest_in_arrow(point: Column, centroids: Sequence[Sequence[float]]) -> Column:
+    """Index of the nearest centroid, worked out per Arrow batch.
+
+    Same rule as :func:`euclidean` with :func:`first_smallest`; for large
+    k x d the batch arithmetic outweighs the transfer to the Python worker.
+    """
+    table = np.array(centroids, dtype=np.float64)
+
+    @F.arrow_udf("int")
+    def nearest(batch: pa.Array) -> pa.Array:
+        present = batch.is_valid().to_numpy(zero_copy_only=False)
+        rows = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        rows = rows.reshape(-1, table.shape[1])
+        distances = np.empty((len(rows), len(table)))
+        for i, centroid in enumerate(table):
+            gaps = rows - centroid
+            np.einsum("ij,ij->i", gaps, gaps, out=distances[:, i])
+        found = np.zeros(len(batch), dtype=np.int32)
+        found[present] = np.sqrt(distances).argmin(axis=1)
+        return pa.array(found, mask=~present)
+
+    return nearest(point)
+
+
 def first_smallest(distances: Column) -> Column:
     """Zero-based place of the smallest element; the first one on a tie."""
     return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")

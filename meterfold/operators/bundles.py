@@ -82,7 +82,11 @@ def dashboard(
     top: int = 5,
     required_zone: str = "Industrial",
 ) -> dict[str, DataFrame]:
-    """Frames of the dashboard over a window history."""
+    """Frames of the dashboard over a window history.
+
+    Each frame reads the history on its own; pass stored tables when the log is
+    large.
+    """
     districts, cycles = history.districts, history.cycles
     current = cycles.agg(F.max("window_start").alias("v")).scalar()
     latest = series.row_at_or_latest(districts, ["district"], "window_start", current)

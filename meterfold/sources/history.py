@@ -131,7 +131,8 @@ def trim_history(spark: SparkSession, path: str, windows: int = model.HISTORY_WI
     """Keep the last ``windows`` windows of a log on disk; 0 keeps all.
 
     Whole days before the oldest kept window are deleted as folders. Only the
-    day of that window is rewritten, so the work does not grow with the log.
+    day of that window is rewritten, and only when it holds older rows; lines of
+    that day without a window stay. Running it again changes nothing.
     """
     if windows < 0:
         raise ValueError("windows must not be negative")
@@ -150,14 +151,16 @@ def trim_history(spark: SparkSession, path: str, windows: int = model.HISTORY_WI
     oldest = kept["oldest"]
     day = oldest.strftime("%Y-%m-%d")
     boundary = timed.where(F.col(PARTITION).cast("string") == day)
-    (
-        boundary.where(F.col("_start") >= F.lit(oldest).cast("timestamp_ntz"))
-        .select("value", F.col(PARTITION).cast("string").alias(PARTITION))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .text(path, lineSep="\n")
-    )
+    too_old = F.coalesce(F.col("_start") < F.lit(oldest).cast("timestamp_ntz"), F.lit(False))
+    if not boundary.where(too_old).isEmpty():
+        (
+            boundary.where(~too_old)
+            .select("value", F.col(PARTITION).cast("string").alias(PARTITION))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PARTITION)
+            .text(path, lineSep="\n")
+        )
     for folder in scratch.list_folders(spark, path):
         name, _, value = folder.partition("=")
         if name == PARTITION and value < day:

@@ -30,10 +30,12 @@ def _brute(points, start, max_rounds, tolerance):
 
 
 @pytest.mark.parametrize("start", [[[2, 2], [8, 3], [5, 8]], [[0, 0], [0.1, 0], [0, 0.1]], [[5, 5], [5, 5], [99, 99]]])
-@pytest.mark.parametrize("storage", [None, StorageLevel.MEMORY_AND_DISK])
-def test_fit_matches_brute_force(spark, start, storage):
+@pytest.mark.parametrize(
+    ("storage", "arrow"), [(None, False), (StorageLevel.MEMORY_AND_DISK, False), (None, True)]
+)
+def test_fit_matches_brute_force(spark, start, storage, arrow):
     points = _blobs()
-    result = kmeans.fit(_frame(spark, points), "p", start, storage=storage)
+    result = kmeans.fit(_frame(spark, points), "p", start, storage=storage, arrow=arrow)
     want, rounds, converged = _brute(points, start, 20, 1e-4)
     assert np.allclose(result.centroids, want, atol=1e-9)
     assert (result.rounds, result.converged) == (rounds, converged)
@@ -49,11 +51,21 @@ def test_round_limit(spark):
         kmeans.fit(_frame(spark, points), "p", [])
 
 
-def test_tie_goes_to_the_first_centroid(spark):
-    held = kmeans.assign(_frame(spark, [[1.0, 0.0]]), [[0.0, 0.0], [2.0, 0.0]], "p")
+@pytest.mark.parametrize("arrow", [False, True])
+def test_tie_goes_to_the_first_centroid(spark, arrow):
+    held = kmeans.assign(_frame(spark, [[1.0, 0.0]]), [[0.0, 0.0], [2.0, 0.0]], "p", arrow=arrow)
     assert held.first().cluster == 0
 
 
+def test_arrow_form_gives_the_same_clusters(spark):
+    rows = [(i, [float((i * 7 + j * 3) % 11) for j in range(8)]) for i in range(500)] + [(500, None)]
+    points = spark.createDataFrame(rows, "id INT, p ARRAY<FLOAT>").repartition(5)
+    centroids = [rows[i][1] for i in (3, 8, 21)]
+    plain = kmeans.assign(points, centroids, "p").select("id", "cluster")
+    batched = kmeans.assign(points, centroids, "p", arrow=True).select("id", "cluster")
+    assert plain.exceptAll(batched).isEmpty() and batched.count() == 501
+
+
 def test_steps(spark):
     points = _frame(spark, [[0.0, 0.0], [2.0, 0.0], [10.0, 10.0]])
     centroids = [[0.0, 0.0], [9.0, 9.0], [500.0, 500.0]]

@@ -7,16 +7,16 @@ from meterfold.model import Band
 from meterfold.operators import counting, lookup, reports, sampling
 
 PURCHASES = [
-    ("1", "chocolate cookies", "2", "awesome"),
-    ("2", "peanut butter cookies", "4", "satisfactory"),
-    ("3", "chocolate cookies", "1", "awesome"),
-    ("4", "chocolate cookies", "1.5", "awful"),
-    ("5", "macadamia cookies", "8", "awesome"),
-    ("6", "peanut butter cookies", "1", "awesome"),
-    ("7", "macadamia cookies", "4", "satisfactory"),
-    ("8", "chocolate cookies", "2", "satisfactory"),
-    ("9", "peanut butter cookies", "3", "awesome"),
-    ("10", "chocolate cookies", "1", "awful"),
+    ("1", "green tea", "2", "awesome"),
+    ("2", "black tea", "4", "satisfactory"),
+    ("3", "green tea", "1", "awesome"),
+    ("4", "green tea", "1.5", "awful"),
+    ("5", "coffee", "8", "awesome"),
+    ("6", "black tea", "1", "awesome"),
+    ("7", "coffee", "4", "satisfactory"),
+    ("8", "green tea", "2", "satisfactory"),
+    ("9", "black tea", "3", "awesome"),
+    ("10", "green tea", "1", "awful"),
 ]
 
 
@@ -31,9 +31,9 @@ def test_purchase_report(purchases):
     assert counting.filtered_max(purchases, awesome, "spent").first().max_spent == 8.0
     found = counting.filtered_summary(purchases, awesome, "product", "spent", 2)
     assert {r["product"]: (r.n, r.total, r["mean"]) for r in found.collect()} == {
-        "chocolate cookies": (2, 3.0, 1.5),
-        "macadamia cookies": (1, 8.0, 8.0),
-        "peanut butter cookies": (2, 4.0, 2.0),
+        "green tea": (2, 3.0, 1.5),
+        "coffee": (1, 8.0, 8.0),
+        "black tea": (2, 4.0, 2.0),
     }
 
 

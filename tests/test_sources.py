@@ -22,12 +22,12 @@ def _write(tmp_path, name, lines):
 
 
 def test_headerless_csv(spark, tmp_path):
-    path = _write(tmp_path, "csv", ["1,chocolate cookies,2,awesome", "2,macadamia cookies,1.5,awful"])
+    path = _write(tmp_path, "csv", ["1,green tea,2,awesome", "2,coffee,1.5,awful"])
     read = rows.read_csv(spark, path)
     assert set(t for _, t in read.dtypes) == {"string"}
     assert [tuple(r) for r in read.orderBy("id").collect()] == [
-        ("1", "chocolate cookies", "2", "awesome"),
-        ("2", "macadamia cookies", "1.5", "awful"),
+        ("1", "green tea", "2", "awesome"),
+        ("2", "coffee", "1.5", "awful"),
     ]
 
 
@@ -163,8 +163,12 @@ def test_history_round_trip_and_trim(spark, tmp_path, levels):
     assert _windows(spark, path) == (starts, starts)
     assert len(scratch.list_folders(spark, path)) == 2
 
+    folder = tmp_path / "log" / "window_date=2026-05-16"
+    (folder / "more.txt").write_text("broken line\n")
     for keep, left in ((0, 6), (99, 6), (5, 5), (5, 5), (3, 3), (1, 1)):
         history.trim_history(spark, path, keep)
+        if left >= 5:
+            assert spark.read.text(path).where("value = 'broken line'").count() == 1
         assert _windows(spark, path) == (starts[-left:], starts[-left:])
     assert len(scratch.list_folders(spark, path)) == 1
     with pytest.raises(ValueError):
