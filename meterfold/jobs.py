@@ -29,7 +29,8 @@ def roll_up(
 
     ``hierarchy`` holds ``distributor_id`` and the parent keys. Levels 2 and 3
     are written once and read by every branch behind them, so the readings are
-    read twice: for their own messages and for the roll-up. Returns level 4.
+    read twice: for their own messages and for the roll-up. Returns level 4,
+    which reads the stored level 3: call ``scratch.clear`` when done with it.
     """
     level2 = scratch.stored(
         rollup.with_parents(rollup.by_distributor(readings, measures=measures, band=band), hierarchy),

@@ -9,7 +9,7 @@ from meterfold import model
 from meterfold.functions import bands, fixed
 from meterfold.operators import counting, hierarchy, kmeans, reports, rollup, series
 from meterfold.plans import standins as si
-from meterfold.plans.inputs import _TOPIC_COUNTS_SQL, level_messages
+from meterfold.plans.inputs import TOPIC_COUNTS_SQL, level_messages
 from meterfold.plans.joins import NEAREST_SQL, assigned
 from meterfold.plans.registry import query
 from meterfold.sources import messages, tables
@@ -154,7 +154,7 @@ def conditional_count(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("AGG-12_count_per_topic", _TOPIC_COUNTS_SQL)
+@query("AGG-12_count_per_topic", TOPIC_COUNTS_SQL)
 def count_per_topic(spark: SparkSession, folder: str) -> DataFrame:
     return counting.topic_counts(messages.message_frame(level_messages(spark, folder)))
 

@@ -202,7 +202,7 @@ def older_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_TOPIC_COUNTS_SQL = f"""{si.TO_LEVEL4}
+TOPIC_COUNTS_SQL = f"""{si.TO_LEVEL4}
     SELECT '{model.TOPIC_READINGS}' AS topic, count(*) AS messages FROM readings
     UNION ALL SELECT '{model.TOPIC_DISTRIBUTORS}', count(*) FROM l2 JOIN hierarchy USING (distributor_id)
     UNION ALL SELECT '{model.TOPIC_CONCENTRATORS}', count(*) FROM l3
@@ -242,7 +242,7 @@ def broker_frame(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("SNK-3_publish", _TOPIC_COUNTS_SQL)
+@query("SNK-3_publish", TOPIC_COUNTS_SQL)
 def publish(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.new_path(spark, "published")
     target = messages.Target(path=path)

@@ -9,14 +9,14 @@ from meterfold import model
 from meterfold.functions import fixed
 from meterfold.operators import kmeans, lookup, reports, rollup, series
 from meterfold.plans import standins as si
-from meterfold.plans.projections import _PLACES_SQL, places
+from meterfold.plans.projections import PLACES_SQL, places
 from meterfold.plans.registry import query
 from meterfold.sources import tables
 
 
 @query(
     "JOI-1_lookup_default",
-    f"""WITH {_PLACES_SQL}
+    f"""WITH {PLACES_SQL}
         SELECT c_custkey, n_name AS district, coalesce(latitude, 35.575e0) AS latitude,
                coalesce(longitude, -5.365e0) AS longitude
         FROM customer JOIN nation ON c_nationkey = n_nationkey

@@ -45,7 +45,7 @@ def drop_column(spark: SparkSession, folder: str) -> DataFrame:
     return si.level4(spark, folder).drop("energy_units", "voltage_units", "current_units")
 
 
-_PLACES_SQL = """places AS (
+PLACES_SQL = """places AS (
     SELECT n_name AS district, 35.0 + n_nationkey / 100e0 AS latitude,
            -5.0 - n_nationkey / 100e0 AS longitude
     FROM nation WHERE n_regionkey <> 0)"""
@@ -67,7 +67,7 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "PRJ-5_widen",
-    f"""{si.TO_LEVEL3}, {_PLACES_SQL}
+    f"""{si.TO_LEVEL3}, {PLACES_SQL}
         SELECT district, window_start, total_meters, anomalies_count, latitude, longitude
         FROM l3 LEFT JOIN places USING (district)""",
 )

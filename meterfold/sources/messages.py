@@ -133,6 +133,18 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return parse_envelopes(spark.read.text(path, lineSep="\n").withColumnRenamed("value", "line"))
 
 
+def stream_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """Envelope log as a stream of (topic, key, value) rows."""
+    lines = spark.readStream.text(path, lineSep="\n")
+    return parse_envelopes(lines.withColumnRenamed("value", "line"))
+
+
+def readings_of(messages: DataFrame) -> DataFrame:
+    """Typed readings of the level-1 topic, from a log or a stream."""
+    typed = of_topic(messages, model.TOPIC_READINGS, model.READING_SCHEMA).drop("message_key")
+    return typed.withColumn("timestamp", text.parse_iso(F.col("timestamp")))
+
+
 def of_topic(messages: DataFrame, topic: str, schema: str) -> DataFrame:
     """Typed records of one topic, next to their key."""
     picked = messages.where(F.col("topic") == F.lit(topic))

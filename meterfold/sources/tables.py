@@ -39,11 +39,20 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stream(
-    spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    schema: StructType | str | None = None,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """The files of one table as a stream.
 
     The pattern matches a table stored as one file or as a folder of files.
+    ``files_per_batch`` bounds what a batch takes on; files then arrive in the
+    order of their age, and readings behind the watermark are late.
     """
     layout = schema or SCHEMAS.get(name) or load(spark, folder, name).schema
-    return spark.readStream.schema(layout).parquet(table_path(folder, name) + "*")
+    reader = spark.readStream.schema(layout)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(table_path(folder, name) + "*")

@@ -38,7 +38,7 @@ def hierarchy(spark):
 
 
 def _stream(spark, folder, per_batch=None):
-    source = tables.stream(spark, folder, "readings")
+    source = tables.stream(spark, folder, "readings", files_per_batch=per_batch)
     return cascade.with_watermark(source, "timestamp")
 
 
@@ -88,6 +88,32 @@ def test_restart_continues_without_repeats(spark, tmp_path, folder):
     assert _same(_closed(rollup.by_distributor(rows)), got)
 
 
+def test_many_small_batches_equal_one(spark, tmp_path, folder):
+    rows = tables.load(spark, folder, "readings")
+    for i in range(4):
+        low, high = (F.lit(T0 + dt.timedelta(minutes=25 * n)).cast("timestamp_ntz") for n in (i, i + 1))
+        part = rows.where((F.col("timestamp") >= low) & (F.col("timestamp") < high)).coalesce(1)
+        part.write.mode("append").parquet(tables.table_path(str(tmp_path), "readings"))
+    level = cascade.by_distributor(_stream(spark, str(tmp_path), per_batch=1), ["distributor_id"])
+    got = _to_files(spark, cascade.plain_windows(level), tmp_path)
+    assert _same(_closed(rollup.by_distributor(rows)), got)
+
+
+def test_messages_become_readings_again(spark, folder, tmp_path):
+    """Published readings, read back from their log as a stream, give the same roll-up."""
+    rows = tables.load(spark, folder, "readings")
+    route = messages.Route(rows, model.TOPIC_READINGS, F.col("meter_id"))
+    target = messages.Target(path=str(tmp_path / "log"))
+    messages.publish(messages.message_frame([route]), target)
+    readings = messages.readings_of(messages.stream_envelopes(spark, target.path))
+    watermarked = cascade.with_watermark(readings, "timestamp")
+    level = cascade.by_distributor(watermarked, ["distributor_id"])
+    got = _to_files(spark, cascade.plain_windows(level), tmp_path)
+    assert _same(_closed(rollup.by_distributor(rows)), got)
+    batch = messages.readings_of(messages.read_envelopes(spark, target.path))
+    assert batch.select("meter_id", "timestamp").exceptAll(rows.select("meter_id", "timestamp")).isEmpty()
+
+
 def test_duty_cycle(spark):
     rows = spark.createDataFrame([(T0 + dt.timedelta(minutes=m),) for m in (0, 14, 15, 29, 30, 44, 45)], "t TIMESTAMP_NTZ")
     got = {r.t.minute for r in cascade.duty_cycle(rows, "t").collect()}
