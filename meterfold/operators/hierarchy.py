@@ -46,17 +46,21 @@ def balanced_parents(
     parents: int,
     parent: str = "parent_no",
     blocks: int = BLOCKS,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Spread the members of each group over ``parents`` parents in id order.
 
     Every parent gets n div k members and the first n mod k one more. The place
     of a member comes from :func:`ordering.positions`, so a group with a third
-    of all members is numbered block by block.
+    of all members is numbered block by block. Ids that are not whole numbers
+    need a ``bucket`` that never decreases along them, such as a prefix.
     """
+    if bucket is None:
+        bucket = ordering.spread_blocks(members, member, blocks)
     placed = ordering.positions(
         members,
         [member],
-        ordering.spread_blocks(members, member, blocks),
+        bucket,
         keys=group,
         position="_place",
         total="_size",
@@ -78,9 +82,14 @@ def sequence_keys(
     key: str = "member_key",
     width: int = 5,
     blocks: int = BLOCKS,
+    bucket: Column | None = None,
 ) -> DataFrame:
-    """Number the members of each group and build ``PFX-CODE-MTR-00001`` keys."""
-    bucket = ordering.spread_blocks(members, member, blocks)
+    """Number the members of each group and build ``PFX-CODE-MTR-00001`` keys.
+
+    ``bucket`` is as in :func:`balanced_parents`.
+    """
+    if bucket is None:
+        bucket = ordering.spread_blocks(members, member, blocks)
     placed = ordering.positions(members, [member], bucket, keys=group, position="_place")
     return placed.withColumn(
         key, text.sequence_key(list(parts), F.col("_place"), width)
@@ -88,14 +97,16 @@ def sequence_keys(
 
 
 def member_lists(
-    members: DataFrame, group: Sequence[str], member: str, block: int = LIST_BLOCK
+    members: DataFrame, group: Sequence[str], member: str, block: int | Column = LIST_BLOCK
 ) -> DataFrame:
     """Members of each group as sorted lists, one list per block of ids.
 
     A group larger than a block gives several rows, told apart by ``block``, so
-    a list has at most ``block`` entries and every member is in exactly one.
+    a list has at most ``block`` entries and every member is in exactly one. For
+    ids that are not whole numbers ``block`` is the column to cut by.
     """
-    placed = members.withColumn("block", ordering.id_block(member, block))
+    cut = ordering.id_block(member, block) if isinstance(block, int) else block
+    placed = members.withColumn("block", cut)
     return placed.groupBy(*group, "block").agg(
         F.array_sort(F.collect_list(member)).alias("members"),
         F.count(F.lit(1)).alias("n_members"),

@@ -106,3 +106,17 @@ def test_spread_blocks_are_few_and_ordered(spark, ids, blocks):
     cut = rows.select("m", ordering.spread_blocks(rows, "m", blocks).alias("b")).orderBy("m").collect()
     buckets = [r.b for r in cut]
     assert buckets == sorted(buckets) and 0 <= buckets[0] and buckets[-1] < blocks
+
+
+def test_text_ids_are_cut_by_a_prefix(members):
+    named = members.select("g", F.format_string("M-%05d", "m").alias("name"), "m")
+    prefix = F.substring("name", 1, 5)
+    got = hierarchy.balanced_parents(named, ["g"], "name", 7, bucket=prefix)
+    plain = hierarchy.balanced_parents(named, ["g"], "m", 7)
+    assert got.exceptAll(plain.select(*got.columns)).isEmpty() and got.count() == 3000
+    keyed = hierarchy.sequence_keys(named, ["g"], "name", [F.lit("P")], bucket=prefix)
+    assert keyed.exceptAll(
+        hierarchy.sequence_keys(named, ["g"], "m", [F.lit("P")]).select(*keyed.columns)
+    ).isEmpty()
+    lists = hierarchy.member_lists(named, ["g"], "name", block=prefix).collect()
+    assert sum(len(r.members) for r in lists) == 3000 and max(len(r.members) for r in lists) <= 100
