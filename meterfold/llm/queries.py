@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterfold.llm import simhash
+from meterfold.llm import decontaminate, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,22 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @_query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"), radius=2, width=3)
+
+
+@_query("op3_benchmark_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+
+
+def tokenizer_file() -> str:
+    """The vocabulary file of the tokenizers package that every machine has."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query("op4_best_fit_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), tokenizer_file(), capacity=2048)
