@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterfold.llm import decontaminate, packing, simhash
+from meterfold.llm import decontaminate, packing, rules, simhash, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +49,15 @@ def tokenizer_file() -> str:
 @_query("op4_best_fit_packing")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), tokenizer_file(), capacity=2048)
+
+
+@_query("op9_temporal_url_lists", url_lists.SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    found = url_lists.as_of(url_lists.fetch_days(pages), url_lists.derived_events(pages))
+    return found.withColumn("fetched", F.col("fetched").cast("string"))
+
+
+@_query("op10_quality_rule_cascade", rules.SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judged(_table(spark, folder, "documents"))
