@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.llm import decontaminate, packing, rules, simhash, suffix_array, url_lists
+from meterfold.llm import decontaminate, packing, recompression, rules, simhash, suffix_array, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,3 +66,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op2_suffix_array_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_array.without_repeats(_table(spark, folder, "documents"), with_text=False).drop("kept")
+
+
+@_query("op7_recompression_substring_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.without_repeats(_table(spark, folder, "documents"), with_text=False).drop("kept")

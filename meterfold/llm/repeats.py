@@ -12,10 +12,11 @@ one repeats whole. Where different runs share a key, as at the ends of a repeate
 passage, their windows are named one by one and sorted again. A key on its own is unique:
 none of its windows can occur elsewhere.
 
-Nothing holds a group: the sorted rows are read as a stream that remembers one row. Keys
-are dealt out by range over key and name, so a key that very many different
-texts share is split among tasks; equal runs of one batch are settled before the shuffle, and
-only the first of them is compared.
+Nothing holds a group: the sorted rows are read as a stream that remembers one row. Equal
+runs of one batch are settled before the shuffle, and only the first of them is
+compared. Keys that many texts share with different names are found on a sample of the
+documents; their runs are dealt out by name, each taken to share its key. What the
+sample misses costs balance, never a result.
 """
 
 from __future__ import annotations
@@ -24,42 +25,53 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterfold import scratch
 from meterfold.llm.text import Block, blocks, mix
 
-RUNS = "key bigint, name bigint, doc_id bigint, start int, count int, settled boolean"
+#: One document in so many is looked at for keys to spread, and a key that has this
+#: share of the sampled runs is one. There are at most as many as the share allows.
+SAMPLE_ONE_IN, SPREAD_SHARE = 64, 1 / 20_000
+
+RUNS = "key bigint, name bigint, doc_id bigint, start int, count int, settled boolean, spread boolean"
 MARKS = "doc_id bigint, start int, count int, open boolean"
+#: What a first refinement may leave with its rows for a second one without the texts.
+DETAILS = ("core", "left", "right", "shift")
+_DETAILS = "".join(f", {n} bigint" for n in DETAILS)
+_NO_KEYS = np.zeros(0, np.uint64)
 
 #: Runs of a block: key, name, number of the text in the block, first window, windows.
 Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _emit(docs: np.ndarray, parts: list[Runs]) -> pa.RecordBatch:
+def _emit(docs: np.ndarray, parts: list[Runs], hot: np.ndarray = _NO_KEYS) -> pa.RecordBatch:
     """Rows of a batch; a run that equals an earlier one of the batch is settled here."""
-    key, name, row, start, count = (np.concatenate(p) for p in zip(*parts))
+    key, name, row, start, count, *more = (np.concatenate(p) for p in zip(*parts))
     doc = docs[row]
     order = np.lexsort((start, doc, name, key))
     key, name, doc, start, count = key[order], name[order], doc[order], start[order], count[order]
+    more = [m[order] for m in more]
     fresh = np.ones(len(key), dtype=bool)
     fresh[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
     lead = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0))
     settled = (doc != doc[lead]) | (start != start[lead])
+    spread = np.isin(key, hot) if len(hot) else np.zeros(len(key), dtype=bool)
     # A settled run only passes through the sort: it goes anywhere.
     place = mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
     key = np.where(settled, place, key)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(doc),
-            pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(settled),
+            pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(settled), pa.array(spread),
+            *(pa.array(m.view(np.int64)) for m in more),
         ],
-        names=["key", "name", "doc_id", "start", "count", "settled"],
+        names=["key", "name", "doc_id", "start", "count", "settled", "spread", *DETAILS[: len(more)]],
     )
 
 
-def _all_runs(runs_of: Callable[[Block], Runs]):
+def _all_runs(runs_of: Callable[[Block], Runs], hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, parts, held = batch.column(0).to_numpy(zero_copy_only=False), [], 0
@@ -68,32 +80,34 @@ def _all_runs(runs_of: Callable[[Block], Runs]):
                 parts.append((key, name, row + block.first, start, count))
                 held += len(key)
                 if held > 500_000:
-                    yield _emit(docs, parts)
+                    yield _emit(docs, parts, hot)
                     parts, held = [], 0
             if parts:
-                yield _emit(docs, parts)
+                yield _emit(docs, parts, hot)
 
     return run
 
 
-def _open_windows(windows_of: Callable[[Block, np.ndarray, np.ndarray], Runs]):
-    """Runs of one window each for the windows that ``open`` lists per document."""
+def each_window(row: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of runs one by one: their texts and starts."""
+    inside = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(row, count), np.repeat(start, count) + inside
+
+
+def _refined(parts_of: Callable[[Block, np.ndarray, np.ndarray, np.ndarray], Runs]):
+    """Smaller runs of the open ones that ``open`` lists per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, parts, held = batch.column(0).to_numpy(zero_copy_only=False), [], 0
             lists = batch.column("open")
-            bounds = lists.offsets.to_numpy()
-            flat = lists.values
-            starts, counts = flat.field("start").to_numpy(), flat.field("count").to_numpy()
+            bounds, flat = lists.offsets.to_numpy(), lists.values
+            starts, counts = (flat.field(n).to_numpy().astype(np.int64) for n in ("start", "count"))
             for block in blocks(batch.column(1)):
-                low, high = bounds[block.first], bounds[block.first + len(block)]
-                rows = np.repeat(np.arange(len(block)), np.diff(bounds[block.first : block.first + len(block) + 1]))
-                count = counts[low:high].astype(np.int64)
-                row = np.repeat(rows, count)
-                inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                key, name, row, start, count = windows_of(block, row, np.repeat(starts[low:high], count) + inside)
-                parts.append((key, name, row + block.first, start, count))
+                own = bounds[block.first : block.first + len(block) + 1]
+                row = np.repeat(np.arange(len(block)), np.diff(own))
+                key, name, row, *rest = parts_of(block, row, starts[own[0] : own[-1]], counts[own[0] : own[-1]])
+                parts.append((key, name, row + block.first, *rest))
                 held += len(key)
                 if held > 500_000:
                     yield _emit(docs, parts)
@@ -104,102 +118,131 @@ def _open_windows(windows_of: Callable[[Block, np.ndarray, np.ndarray], Runs]):
     return run
 
 
+def _split(windows_of: Callable[..., tuple[np.ndarray, ...]]):
+    """Single windows of refined runs, from the details they carry."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                columns = (batch.column(n).to_numpy() for n in ("start", "count", *DETAILS))
+                key, name, row, start = windows_of(*columns)
+                docs = batch.column("doc_id").to_numpy()
+                yield _emit(docs, [(key, name, row, start, np.ones(len(row), np.int64))])
+
+    return run
+
+
 def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks of sorted runs: those that repeat, and those whose windows stay open.
 
     Of each pair (key, name) the first run is the earliest. It is open if its key has
-    another name. The key at either end of the stream may go on in another task
-    and counts as having one.
+    another name, or is one of those that are spread.
     """
     last = None  # key, name, doc, start of the first run of the current pair
     pending = None  # that run's mark, while no other name of its key was seen
-    shared = True  # whether the current key has several names, or may have
+    shared = False  # whether the current key has several names
 
-    def marks(doc, start, count, opened):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(count, pa.int32()), pa.array(opened, pa.bool_())],
-            names=["doc_id", "start", "count", "open"],
-        )
+    def marks(batch, at, opened):
+        own = batch.select([n for n in ("doc_id", "start", "count", *DETAILS) if n in batch.schema.names]).take(pa.array(at))
+        columns = [*own.columns[:3], pa.array(opened, pa.bool_()), *own.columns[3:]]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "count", "open", *own.schema.names[3:]])
 
     for batch in batches:
         settled = batch.column("settled").to_numpy(zero_copy_only=False)
-        doc, start, count = (batch.column(n).to_numpy() for n in ("doc_id", "start", "count"))
+        doc, start = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
         if settled.any():
-            yield marks(doc[settled], start[settled], count[settled], np.zeros(settled.sum(), bool))
+            yield marks(batch, np.flatnonzero(settled), np.zeros(settled.sum(), bool))
         live = np.flatnonzero(~settled)
         if not len(live):
             continue
         key, name = batch.column("key").to_numpy()[live], batch.column("name").to_numpy()[live]
-        doc, start, count = doc[live], start[live], count[live]
+        spread = batch.column("spread").to_numpy(zero_copy_only=False)[live]
+        doc, start = doc[live], start[live]
         n = len(key)
         new_key, new_name = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
         new_key[1:] = key[1:] != key[:-1]
         new_name[1:] = new_key[1:] | (name[1:] != name[:-1])
-        lead_doc, lead_start = doc.copy(), start.copy()
         if last is not None:
             new_key[0] = key[0] != last[0]
             new_name[0] = new_key[0] or name[0] != last[1]
         lead = np.maximum.accumulate(np.where(new_name, np.arange(n), -1))
         inside = lead >= 0
-        lead_doc[inside], lead_start[inside] = doc[lead[inside]], start[lead[inside]]
+        lead_doc, lead_start = doc[lead], start[lead]
         if not inside.all():
             lead_doc[~inside], lead_start[~inside] = last[2], last[3]
         repeats = (doc != lead_doc) | (start != lead_start)
-        # How many names each key has here, and whether it came in as a shared one.
-        group = np.cumsum(new_key) - (1 if new_key[0] else 0)  # 0: goes on from the batch before, if it did
+        # Names of each key in this batch; the first key may go on from the one before.
+        group = np.cumsum(new_key) - int(new_key[0])
         names = np.bincount(group, weights=new_name, minlength=group[-1] + 1)
         several = names > 1
+        several[group[spread]] = True
         if not new_key[0]:
-            several[0] = shared or names[0] > 0
-        elif last is None:
-            several[0] = True  # the first key of the stream
-        if pending is not None and not new_key[0] and several[0]:
-            yield marks(*([v] for v in pending), [True])
-            pending = None
-        elif new_key[0]:
+            several[0] |= shared or names[0] > 0
+            if pending is not None and several[0]:
+                yield pending
+                pending = None
+        else:
             pending = None
-        first = new_name & several[group]
-        out = repeats | first
+        out = repeats | (new_name & several[group])
         if out.any():
-            yield marks(doc[out], start[out], count[out], ~repeats[out])
+            yield marks(batch, live[out], ~repeats[out])
         final = group[-1]
         if not several[final] and (new_key[0] or final > 0):
             at = int(np.flatnonzero(new_key)[-1])
-            pending = (int(doc[at]), int(start[at]), int(count[at]))
+            pending = marks(batch, live[at : at + 1], [True])
         shared = bool(several[final])
         last = (int(key[-1]), int(name[-1]), int(lead_doc[-1]), int(lead_start[-1]))
-    if pending is not None:
-        yield marks(*([v] for v in pending), [True])
 
 
 def _sorted_marks(runs: DataFrame) -> DataFrame:
-    partitions = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    details = _DETAILS if DETAILS[0] in runs.columns else ""
     return (
-        runs.repartitionByRange(partitions, "key", "name")
+        runs.repartition("key", F.when(F.col("spread"), F.col("name")))
         .sortWithinPartitions("key", "name", "doc_id", "start")
-        .mapInArrow(_ranked, MARKS)
+        .mapInArrow(_ranked, MARKS + details)
     )
 
 
+def _keys_to_spread(rows: DataFrame, runs_of: Callable[[Block], Runs]) -> np.ndarray:
+    """Keys with a large share of the runs of a sample; no more than 1 / SPREAD_SHARE of them."""
+    some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_ONE_IN)) == 0)
+    runs = some.mapInArrow(_all_runs(runs_of, np.zeros(0, np.uint64)), RUNS).where("not settled")
+    counts = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 4")
+    total = F.sum("n").over(Window.partitionBy())
+    frequent = counts.orderBy(F.desc("n"), "key").limit(int(1 / SPREAD_SHARE)).withColumn("total", total)
+    found = [r["key"] for r in frequent.where(F.col("n") >= F.col("total") * SPREAD_SHARE).collect()]
+    return np.array(found, dtype=np.int64).view(np.uint64)
+
+
 def repeated(
     docs: DataFrame,
     runs_of: Callable[[Block], Runs],
-    windows_of: Callable[[Block, np.ndarray, np.ndarray], Runs],
+    parts_of: Callable[[Block, np.ndarray, np.ndarray, np.ndarray], Runs],
+    windows_of: Callable[..., tuple[np.ndarray, ...]] | None = None,
 ) -> DataFrame:
     """``doc_id`` and ``repeats``, a list of (``start``, ``count``) of windows that start earlier.
 
     ``docs`` has ``doc_id`` and ``text``. Documents without such windows are not in the
     result. A row without a ``doc_id`` takes no part. Rows with one ``doc_id`` and text are
-    one document.
+    one document. ``parts_of`` refines open runs to single windows, or to smaller runs
+    with details from which ``windows_of`` makes the single windows of those still open.
     """
     rows = docs.where("doc_id is not null and text is not null")
-    marks = scratch.stored(_sorted_marks(rows.mapInArrow(_all_runs(runs_of), RUNS)), "marks")
+    hot = _keys_to_spread(rows, runs_of)
+    marks = scratch.stored(_sorted_marks(rows.mapInArrow(_all_runs(runs_of, hot), RUNS)), "marks")
     still = marks.where("open").groupBy("doc_id").agg(F.collect_set(F.struct("start", "count")).alias("open"))
-    windows = rows.join(still, "doc_id").select("doc_id", "text", "open").mapInArrow(_open_windows(windows_of), RUNS)
-    single = _sorted_marks(windows)
-    found = marks.where("not open").select("doc_id", "start", "count").union(
-        single.where("not open").select("doc_id", "start", "count")
+    parts = rows.join(still, "doc_id").select("doc_id", "text", "open").mapInArrow(
+        _refined(parts_of), RUNS + (_DETAILS if windows_of else "")
     )
+    last = _sorted_marks(parts)
+    closed = [marks, last]
+    if windows_of:
+        closed[1] = scratch.stored(last, "marks")
+        closed.append(_sorted_marks(closed[1].where("open").mapInArrow(_split(windows_of), RUNS)))
+    found = None
+    for part in closed:
+        part = part.where("not open").select("doc_id", "start", "count")
+        found = part if found is None else found.union(part)
     return found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "count")).alias("repeats"))
 
 

@@ -18,6 +18,9 @@ WIDTH = 100
 SEED = 32
 _SPAN = WIDTH - SEED + 1  # anchors a window can have
 _PLACE = np.uint64((1 << 24) - 1)
+#: Windows of a part in the second round, and the bytes they all share.
+_PART = 9
+_CORE = WIDTH - _PART + 1
 
 
 def _ranks(block: Block) -> np.ndarray:
@@ -95,17 +98,48 @@ def _runs(chunk: tuple[Block, int, int]) -> repeats.Runs:
     return ranks[anchor[first]], name, row[first] + row_shift, start, last - first + 1
 
 
-def windows(block: Block, row: np.ndarray, start: np.ndarray) -> repeats.Runs:
-    """The windows from ``start`` in the texts ``row``, each by itself."""
+def parts(block: Block, row: np.ndarray, start: np.ndarray, count: np.ndarray) -> repeats.Runs:
+    """Open runs in parts of up to 9 windows, by the distance from window to anchor.
+
+    All windows of a part share 92 bytes, whose name is its key. What they have besides
+    are up to 8 bytes on either side, which go along.
+    """
     if not len(row):
-        return _empty()
+        none = np.zeros(0, np.int64)
+        return *_empty(), *(none,) * 4
     ranks = _ranks(block)
-    at = block.offsets[row] + start
-    good = (start >= 0) & (at + WIDTH <= block.offsets[row + 1])
-    row, start, at = row[good], start[good], at[good]
-    # Two names of the same 100 bytes: the doubled one, and one over other offsets.
-    other = pair(pair(ranks[at], ranks[at + 17]), pair(ranks[at + 49], ranks[at + 68]))
-    return other, _at_width(ranks, at), row, start, np.ones(len(at), np.int64)
+    low = block.offsets[row] + start
+    anchor = np.empty(len(row), dtype=np.int64)
+    for at in range(0, len(row), 8192):
+        near = low[at : at + 8192, None] + np.arange(_SPAN)
+        anchor[at : at + 8192] = low[at : at + 8192] + np.argmin(ranks[near] & ~_PLACE, axis=1)
+    near_t, far_t = anchor - (low + count - 1), anchor - low
+    pieces = far_t // _PART - near_t // _PART + 1
+    run, piece = repeats.each_window(np.arange(len(row)), near_t // _PART, pieces)
+    anchor, near_t, far_t, row = anchor[run], near_t[run], far_t[run], row[run]
+    least = np.maximum(near_t, piece * _PART) - piece * _PART
+    most = np.minimum(far_t, piece * _PART + _PART - 1) - piece * _PART
+    core = anchor - piece * _PART
+    key = pair(pair(ranks[core], ranks[core + 32]), pair(ranks[core + 28], ranks[core + 60]))
+    key = pair(key, piece.astype(np.uint64))
+    padded = np.concatenate((np.zeros(8, np.uint8), block.data, np.zeros(8, np.uint8))).astype(np.uint64)
+    left, right = np.zeros(len(core), np.uint64), np.zeros(len(core), np.uint64)
+    for k in range(_PART - 1):
+        left |= np.where(k < most, padded[8 + core - 1 - k], 0).astype(np.uint64) << np.uint64(8 * k)
+        right |= np.where(k < _PART - 1 - least, padded[8 + core + _CORE + k], 0).astype(np.uint64) << np.uint64(8 * k)
+    name = pair(left, right) + (least * 16 + most).astype(np.uint64)
+    first = core - most - block.offsets[row]
+    return key, name, row, first, most - least + 1, key, left, right, least
+
+_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def windows(start, count, core, left, right, shift) -> tuple[np.ndarray, ...]:
+    """The windows of open parts, named by the shared 92 bytes and the rest beside them."""
+    row, j = repeats.each_window(np.arange(len(start)), shift, count.astype(np.int64))
+    name = pair(left.view(np.uint64)[row] & _BYTES[j], right.view(np.uint64)[row] & _BYTES[_PART - 1 - j])
+    key = pair(core.view(np.uint64)[row], j.astype(np.uint64))
+    return key, name, row, start[row].astype(np.int64) + (shift[row] + count[row] - 1 - j)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
@@ -149,9 +183,10 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     text, without characters that the cut has split.
 
     Ranks are names made by doubling: of 32 bytes at every position, where Spark sorts only
-    the anchors; of the whole run of windows an anchor serves; and of 100 bytes for the
-    windows still undecided. What is unique after a round leaves the search.
+    the anchors; of 92 bytes for the windows around anchors that several texts share; and
+    of 100 bytes for those still undecided. What is unique after a round, or repeats
+    with all windows of its anchor, leaves the search.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = repeats.repeated(rows, runs, windows)
+    found = repeats.repeated(rows, runs, parts, windows)
     return rows.join(found, "doc_id", "left").select("doc_id", "text", "repeats").mapInArrow(_kept(with_text), RESULT)

@@ -88,6 +88,14 @@ class Block:
         return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, "down", n + 1)[starts])
 
 
+def stretch_names(names: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A name for each stretch ``names[low:high]``; equal stretches have equal names."""
+    n = len(names)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(names * _power_table(_BASE, "up", n), out=sums[1:])
+    return mix((sums[high] - sums[low]) * _power_table(_INVERSE, "down", n + 1)[low])
+
+
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """The texts of a column, in order; a null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
