@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.llm import decontaminate, packing, recompression, rules, simhash, suffix_array, url_lists
+from meterfold.llm import decontaminate, packing, quality, recompression, rules, simhash, suffix_array, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +71,13 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op7_recompression_substring_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return recompression.without_repeats(_table(spark, folder, "documents"), with_text=False).drop("kept")
+
+
+@_query("op1_quality_classifier")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.classified(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels"), host="source", path="lang"
+    )
+    return found.select(
+        "doc_id", "host", "path", "p_low", "p_toxic", "p_document", "host_rate", "path_rate", "p_bad", "kept"
+    )
