@@ -175,3 +175,15 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFra
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFrame:
+    """One row of ``docs`` for each near-duplicate group, that of the smallest ``doc_id``.
+
+    All columns stay. Repeated rows of that document are one document. A row without a
+    ``doc_id`` cannot be told apart and stays.
+    """
+    found = near_duplicates(docs.where("doc_id is not null"), radius, width)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
+    rows = docs.join(first, docs["doc_id"].cast("bigint") == F.col("first_id"), "left_semi")
+    return rows.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
