@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.llm import decontaminate, ngram_lm, packing, quality, recompression, rules, simhash, suffix_array, url_lists
+from meterfold.llm import decontaminate, html_template, ngram_lm, packing, quality, recompression, rules, simhash, suffix_array, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -86,3 +86,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op8_deleted_interpolation_lm")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_lm.scores(_table(spark, folder, "documents"))
+
+
+@_query("op5_html_template_removal")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return html_template.main_text(_table(spark, folder, "pages"))
