@@ -14,45 +14,93 @@ from pyspark.sql import functions as F
 from meterfold import scratch
 
 CAPACITY = 2048
-#: Chunks of text kept with their ids in one Python worker, and the longest one kept.
-KEPT_CHUNKS, KEPT_LENGTH = 300_000, 48
+#: Chunks of text whose ids one Python worker remembers, and the longest of them.
+KEPT_CHUNKS, KEPT_LENGTH = 500_000, 48
 #: Choices the search may take before it returns its best packing so far.
-NODES = 20_000
+NODES = 2_000
 
 _encoders: dict[str, "Encoder"] = {}
 
 
+class _Memory:
+    """A bounded store. What was not asked for since the last turn is forgotten."""
+
+    def __init__(self, size: int):
+        self._size, self.new, self._old = size // 2, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.new.get(key)
+        if found is None and (found := self._old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(key) <= KEPT_LENGTH:
+            if len(self.new) >= self._size:
+                self._old, self.new = self.new, {}
+            self.new[key] = value
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins characters across a space or line end, so ids of the
-    chunks between them, one after another, are the ids of the text. Chunks seen before
-    are looked up; the store is emptied when it is full.
+    chunks between them, one after another, are the ids of the text. A chunk seen before
+    is looked up; a new one is split by the tokenizer's own normaliser and
+    pre-tokenizer, and its parts are looked up in turn.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._chunks, self._parts = _Memory(KEPT_CHUNKS), _Memory(KEPT_CHUNKS)
+
+    def _part(self, part: str) -> bytes:
+        found = self._parts.get(part)
+        if found is None:
+            found = np.array([t.id for t in self._tokenizer.model.tokenize(part)], dtype="<u4").tobytes()
+            self._parts.put(part, found)
+        return found
+
+    def _encoded(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without spaces or special tokens, split in one call."""
+        line = self._tokenizer.normalizer.normalize_str(" ".join(chunks))
+        parts = self._tokenizer.pre_tokenizer.pre_tokenize_str(line)
+        found, k = [], 0
+        end = -1
+        for chunk in line.split(" "):
+            end += len(chunk) + 1
+            own = []
+            while k < len(parts) and parts[k][1][0] < end:
+                own.append(self._part(parts[k][0]))
+                k += 1
+            found.append(b"".join(own))
+        return found
 
     def ids(self, text: str) -> bytes:
-        chunks, known = text.replace("\n", " ").split(" "), self._known
+        chunks, new = text.replace("\n", " ").split(" "), self._chunks.new
         try:
-            return b"".join([known[c] for c in chunks])
+            return b"".join([new[c] for c in chunks])
         except KeyError:
             pass
-        new = [c for c in set(chunks) if c not in known]
-        if len(known) + len(new) > KEPT_CHUNKS:
-            known.clear()
-            new = list(set(chunks))
-        found = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for c, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                found[c] = np.array(e.ids, dtype="<u4").tobytes()
-        known.update((c, i) for c, i in found.items() if len(c) <= KEPT_LENGTH)
-        return b"".join([found[c] if c in found else known[c] for c in chunks])
+        known, missing = {"": b""}, []
+        for c in set(chunks) - {""}:
+            found = self._chunks.get(c)
+            if found is None:
+                missing.append(c)
+            else:
+                known[c] = found
+        plain = [c for c in missing if c.isprintable() and not any(t in c for t in self._special)]
+        for at in range(0, len(plain), 4096):
+            known.update(zip(plain[at : at + 4096], self._encoded(plain[at : at + 4096])))
+        for c in missing:
+            if c not in known:
+                ids = self._tokenizer.encode(c, add_special_tokens=False).ids
+                known[c] = np.array(ids, dtype="<u4").tobytes()
+            self._chunks.put(c, known[c])
+        return b"".join([known[c] for c in chunks])
 
 
 def encoder(path: str) -> Encoder:
