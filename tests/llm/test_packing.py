@@ -15,6 +15,7 @@ ODD = [
     "á b", "ΣΑΣ ΟΔΟΣ. x", "İstanbul ǅ ﬁ", "don't we'll x's 's 'S", "a_b 12,3 ½ ²", "<|startoftext|> a<|endoftext|>b <|STARTOFTEXT|>",
     " x y z", "tab\tx\x0by\r\nz\x1c\x85", "", " ", "  ", " \n ", "日本語 テスト🙂👍🏽 👩‍👩‍👧", "́abc ́", "ȩ́",
     "﻿x ​ \x00 y", "x" * 5000, "ÀB" * 40,
+    "Word, ÉTÉ. straße!! über*** ÿŸ ×÷ a-b $%| x'y ªº µ <|x|> \xad",
 ]
 
 
