@@ -30,7 +30,8 @@ def roll_up(
     ``hierarchy`` holds ``distributor_id`` and the parent keys. Levels 2 and 3
     are written once and read by every branch behind them, so the readings are
     read twice: for their own messages and for the roll-up. Returns level 4,
-    which reads the stored level 3: call ``scratch.clear`` when done with it.
+    which reads the stored level 3: run the job inside ``scratch.job`` and use the
+    result there, which then deletes what this job stored and nothing else.
     """
     level2 = scratch.stored(
         rollup.with_parents(rollup.by_distributor(readings, measures=measures, band=band), hierarchy),
@@ -41,8 +42,13 @@ def roll_up(
     shift = F.col("cycle_id") + F.lit(first_cycle - 1)
     cycles = rollup.cycles(rollup.recap(level3)).withColumn("cycle_id", shift)
     recaps = rollup.nest_children(
-        cycles, districts, ["window_start"], "concentrator_id", "districts_reported"
-    ).drop("part")
+        cycles,
+        districts,
+        ["window_start"],
+        "concentrator_id",
+        "districts_reported",
+        totals=["districts_reported", "total_meters", "total_energy_kwh", "anomalies_count"],
+    )
     placed = rollup.finish(level2, digits=True)
     messages.publish(
         messages.message_frame(

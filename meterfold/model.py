@@ -75,7 +75,8 @@ _CYCLE_FIELDS = """
     total_meters BIGINT, total_energy_kwh DOUBLE, anomalies_count BIGINT
 """
 
-RECAP_SCHEMA = f"{_CYCLE_FIELDS}, districts ARRAY<STRUCT<{CONCENTRATOR_SCHEMA}>>"
+#: ``part`` and ``parts`` number the records of a centre with very many districts.
+RECAP_SCHEMA = f"{_CYCLE_FIELDS}, part INT, parts INT, districts ARRAY<STRUCT<{CONCENTRATOR_SCHEMA}>>"
 
 #: One wide layout for both kinds of history row and for envelope lines.
 HISTORY_SCHEMA = f"""

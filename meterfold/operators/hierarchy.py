@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterfold.functions import text
 from meterfold.operators import ordering
 
-BLOCKS = 1024
+BLOCKS = 128
 LIST_BLOCK = 10_000
 
 
@@ -33,10 +33,13 @@ def control_totals(
 
 
 def require_totals(checked: DataFrame) -> None:
-    """Raise when a control total is off."""
-    wrong = checked.where(~F.col("ok")).take(5)
-    if wrong:
-        raise ValueError(f"control totals differ: {[r.asDict() for r in wrong]}")
+    """Raise when a control total is off; the error names the number and the first five."""
+    wrong = checked.where(~F.col("ok"))
+    shown = wrong.take(5)
+    if shown:
+        raise ValueError(
+            f"control totals differ in {wrong.count()} groups, such as {[r.asDict() for r in shown]}"
+        )
 
 
 def balanced_parents(

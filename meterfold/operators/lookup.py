@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterfold import model
+
 
 def look_up(
     facts: DataFrame, table: DataFrame, on: Sequence[str], defaults: Mapping[str, object]
@@ -38,16 +40,23 @@ def dense_grid(
     step: str,
     measure: str,
     missing: object = 0.0,
+    last: int = model.HISTORY_WINDOWS,
+    written: str | None = None,
 ) -> DataFrame:
-    """Every series at every step; a step without a row holds ``missing``.
+    """Every series at every one of the ``last`` steps; a gap holds ``missing``.
 
-    ``steps`` is a short list (the last N windows). It is folded into a single
-    array and unfolded next to each series, so no pair of rows is ever joined
-    to find the grid.
+    The steps, ``last`` of them at most, are folded into a single array and
+    unfolded next to each series, so no pair of rows is ever joined to find the
+    grid. A step may be in ``facts`` several times for a series, as in a log of
+    repeated attempts: the row with the largest ``written`` counts, without that
+    column the one with the largest measure. Each cell is one row.
     """
-    folded = steps.select(step).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    newest = steps.select(step).distinct().orderBy(F.desc(step)).limit(last)
+    folded = newest.agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    value = F.max_by(measure, written) if written else F.max(measure)
+    facts = facts.groupBy(*keys, step).agg(value.alias(measure))
     grid = (
-        series.select(*keys)
+        series.select(*keys).distinct()
         .withColumn("_steps", folded.scalar())
         .select(*keys, F.explode_outer("_steps").alias(step))
         .where(F.col(step).isNotNull())

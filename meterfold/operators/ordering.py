@@ -16,20 +16,37 @@ from pyspark.sql import functions as F
 
 
 def id_block(column: str, width: int) -> Column:
-    """Bucket for a whole-number order column: blocks of ``width`` ids."""
-    return F.floor(F.col(column) / F.lit(width))
+    """Bucket for a whole-number order column: blocks of ``width`` ids.
+
+    The division is one of whole numbers, so ids beyond 2^53 keep their block.
+    """
+    below = F.when((F.col(column) < 0) & (F.col(column) % width != 0), F.lit(1)).otherwise(F.lit(0))
+    return F.expr(f"`{column}` div {int(width)}") - below
 
 
 def spread_blocks(rows: DataFrame, column: str, blocks: int) -> Column:
-    """Bucket for a whole-number order column: its range cut into ``blocks`` parts.
+    """Bucket for a whole-number order column: ``blocks`` parts of about equal size.
 
-    The number of bucket totals does not grow with the data, and ids may be as
-    sparse as they like. Lowest and highest id are scalar subqueries.
+    The limits are approximate quantiles of the ids themselves, one aggregate
+    over the column, so outliers and gaps do not matter and nothing is added to
+    or taken from an id. The limits become literals: a bucket is found by a
+    handful of comparisons.
     """
-    low = rows.agg(F.min(column).alias("v")).scalar()
-    high = rows.agg(F.max(column).alias("v")).scalar()
-    width = F.floor((high - low) / F.lit(blocks)) + 1
-    return F.floor((F.col(column) - low) / width)
+    shares = [i / blocks for i in range(1, blocks)]
+    limits = []
+    if shares:
+        found = rows.agg(F.percentile_approx(column, shares, 20 * blocks).alias("v")).first()["v"]
+        limits = sorted(set(found or []))
+
+    def place(low: int, high: int) -> Column:
+        """Number of limits below the id, among those from ``low`` to ``high``."""
+        if low == high:
+            return F.lit(low).cast("bigint")
+        middle = (low + high) // 2
+        above = F.col(column) > F.lit(limits[middle]).cast("bigint")
+        return F.when(above, place(middle + 1, high)).otherwise(place(low, middle))
+
+    return place(0, len(limits))
 
 
 def positions(

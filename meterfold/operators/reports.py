@@ -134,7 +134,28 @@ def group_breakdown(
 
 
 def pivot_measure(
-    rows: DataFrame, index: str, columns: str, values: Sequence[str], measure: Column
+    rows: DataFrame,
+    index: str,
+    columns: str,
+    values: Sequence[str],
+    measure: Column,
+    other: str | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """One column per listed value; the list is given, so no pass looks for it."""
-    return rows.groupBy(index).pivot(columns, list(values)).agg(measure)
+    """One column per listed value; the list is given, so no pass looks for it.
+
+    No row is lost: those with a value that is not in the list, or with none,
+    count in the column ``other``, and raise an error if that is not asked for.
+    ``total`` names a column over all rows. ``measure`` is an aggregate that can
+    be taken over any rows.
+    """
+    listed = F.col(columns).isin(list(values))
+    unlisted = F.concat(F.lit("value is not listed: "), F.coalesce(F.col(columns), F.lit("null")))
+    rest = F.lit(other) if other else F.raise_error(unlisted).cast("string")
+    placed = rows.withColumn(columns, F.when(listed, F.col(columns)).otherwise(rest))
+    cells = placed.groupBy(index).pivot(columns, [*values, *([other] if other else [])]).agg(measure)
+    if total is None:
+        return cells
+    totals = rows.groupBy(F.col(index).alias("_index")).agg(measure.alias(total))
+    joined = cells.join(totals, cells[index].eqNullSafe(totals["_index"]), "inner")
+    return joined.drop("_index")

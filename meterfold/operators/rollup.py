@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterfold import model
@@ -26,7 +26,9 @@ STATE = (
     "total_meters",
     "energy_units",
     "voltage_units",
+    "voltage_count",
     "current_units",
+    "current_count",
     "min_voltage",
     "max_voltage",
     "anomalies_count",
@@ -43,12 +45,14 @@ def tumbling(time: str, minutes: int = model.WINDOW_MINUTES, origin_minutes: int
 
 def reading_state(measures: Measures = Measures(), band: Band = Band()) -> list[Column]:
     """Aggregates that turn readings into mergeable state."""
-    voltage = F.col(measures.voltage)
+    voltage, current = F.col(measures.voltage), F.col(measures.current)
     return [
         F.count(F.lit(1)).alias("total_meters"),
         F.sum(fixed.to_fixed(measures.energy, model.ENERGY_DIGITS)).alias("energy_units"),
         F.sum(fixed.to_fixed(measures.voltage, model.VOLTAGE_DIGITS)).alias("voltage_units"),
+        F.count(voltage).alias("voltage_count"),
         F.sum(fixed.to_fixed(measures.current, model.CURRENT_DIGITS)).alias("current_units"),
+        F.count(current).alias("current_count"),
         F.min(voltage).alias("min_voltage"),
         F.max(voltage).alias("max_voltage"),
         F.count_if(bands.out_of_band(voltage, band)).alias("anomalies_count"),
@@ -106,18 +110,23 @@ def finish(
 ) -> DataFrame:
     """Record columns of a level: window bounds, sums and means instead of state.
 
-    ``digits=True`` rounds to the decimals a record is published with.
+    A mean is over the readings that have the measure, and null if none has. An
+    energy without any value is 0. ``digits=True`` rounds to the decimals a
+    record is published with.
     """
-    count = F.nullif(F.col("total_meters"), F.lit(0))
-    sums = {
-        "total_energy_kwh": (fixed.from_fixed("energy_units", model.ENERGY_DIGITS), 4),
-        "avg_voltage": (fixed.from_fixed("voltage_units", model.VOLTAGE_DIGITS) / count, 2),
-        "avg_current": (fixed.from_fixed("current_units", model.CURRENT_DIGITS) / count, 3),
+    def mean(units: str, count: str, places: int) -> Column:
+        return fixed.from_fixed(units, places) / F.nullif(F.col(count), F.lit(0))
+
+    energy = F.coalesce(fixed.from_fixed("energy_units", model.ENERGY_DIGITS), F.lit(0.0))
+    values = {
+        "total_energy_kwh": (energy, 4),
+        "avg_voltage": (mean("voltage_units", "voltage_count", model.VOLTAGE_DIGITS), 2),
+        "avg_current": (mean("current_units", "current_count", model.CURRENT_DIGITS), 3),
     }
-    measures = []
-    for name, (value, places) in sums.items():
-        value = F.coalesce(value, F.lit(0.0))
-        measures.append((fixed.rounded(value, places) if digits else value).alias(name))
+    measures = [
+        (fixed.rounded(value, places) if digits else value).alias(name)
+        for name, (value, places) in values.items()
+    ]
     kept = [c for c in level.columns if c not in STATE and c != "window_start"]
     return level.select(
         *kept,
@@ -135,10 +144,10 @@ def finish(
 def weighted_mean(mean: Column, weight: Column, digits: int) -> Column:
     """Mean of group means weighted by group size, 0.0 when the weights sum to 0.
 
-    ``digits`` are the decimals of the values behind the means; the product of a
+    A group without a mean has no weight. ``digits`` are the decimals of the values behind the means; the product of a
     mean and its count is a sum of such values.
     """
-    total = F.nullif(F.sum(weight), F.lit(0))
+    total = F.nullif(F.sum(F.when(mean.isNotNull(), weight)), F.lit(0))
     return F.coalesce(fixed.fixed_sum(mean * weight, digits) / total, F.lit(0.0))
 
 
@@ -176,22 +185,33 @@ def nest_children(
     child_count: str,
     into: str = "districts",
     per_record: int = 1000,
+    totals: Sequence[str] = (),
 ) -> DataFrame:
     """Parent records holding their child rows as an array of structs.
 
-    A parent with more than ``per_record`` children becomes several records that
-    share its columns and are told apart by ``part``; the children are spread
-    over the parts by a hash of their id, so no array grows with the data and
-    no child is left out.
+    Each parent has ``parts`` records, numbered by ``part`` from 0; one with more
+    than ``per_record`` children has several. The children are spread over them
+    by a hash of their id, so no array grows with the data and no child is left
+    out. The columns in ``totals`` are in part 0 only and null in the others:
+    adding records up never counts a parent twice.
     """
     fields = [c for c in children.columns if c != child_id]
     record = F.struct(child_id, *fields).alias("_child")
     placed = children.select(*keys, record).join(parents, list(keys), "inner")
     parts = F.ceil(F.col(child_count) / F.lit(float(per_record))).cast("int")
     part = F.pmod(F.xxhash64(F.col("_child")[child_id]), parts).cast("int")
-    return placed.groupBy(*parents.columns, part.alias("part")).agg(
+    records = placed.groupBy(*parents.columns, part.alias("_slot")).agg(
         F.array_sort(F.collect_list("_child")).alias(into)
     )
+    # A parent has a few records at most: its children divided by per_record.
+    own = Window.partitionBy(*keys)
+    number = (F.row_number().over(own.orderBy("_slot")) - 1).alias("part")
+    numbered = records.select("*", number, F.count(F.lit(1)).over(own).cast("int").alias("parts"))
+    held = [
+        F.when(F.col("part") == 0, F.col(c)).alias(c) if c in totals else F.col(c)
+        for c in parents.columns
+    ]
+    return numbered.select(*held, "part", "parts", into)
 
 
 def unnest_children(parents: DataFrame, column: str = "districts") -> DataFrame:

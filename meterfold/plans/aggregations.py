@@ -110,12 +110,19 @@ def global_recap(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.finish(si.level4(spark, folder))
 
 
-def nested_recap(spark: SparkSession, folder: str, per_record: int = 1000) -> DataFrame:
+def nested_recap(spark: SparkSession, folder: str, per_record: int = 4) -> DataFrame:
+    """Recaps in several parts: a window of the given tables has up to 25 districts."""
     l3 = si.level3_table(spark, folder)
     children = rollup.finish(l3).select("window_start", "district", "total_meters", "total_energy_kwh")
     parents = rollup.recap(l3).select("window_start", "districts_reported", "total_meters")
     return rollup.nest_children(
-        parents, children, ["window_start"], "district", "districts_reported", per_record=per_record
+        parents,
+        children,
+        ["window_start"],
+        "district",
+        "districts_reported",
+        per_record=per_record,
+        totals=["districts_reported", "total_meters"],
     )
 
 
@@ -125,20 +132,21 @@ def nested_recap(spark: SparkSession, folder: str, per_record: int = 1000) -> Da
         kids AS (SELECT window_start, min(district) AS first_child, max(district) AS last_child,
                  CAST(sum(total_meters) AS BIGINT) AS child_meters FROM l3 GROUP BY 1)
         SELECT window_start, districts_reported, total_meters,
-               CAST(districts_reported AS INTEGER) AS children, first_child, last_child, child_meters
+               districts_reported AS children, first_child, last_child, child_meters, true AS numbered
         FROM l4 JOIN kids USING (window_start)""",
 )
 def nested_children(spark: SparkSession, folder: str) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     meters = F.aggregate("districts", zero, lambda acc, d: acc + d["total_meters"])
-    return nested_recap(spark, folder).select(
-        "window_start",
-        "districts_reported",
-        "total_meters",
-        F.size("districts").alias("children"),
-        F.element_at("districts", 1)["district"].alias("first_child"),
-        F.element_at("districts", -1)["district"].alias("last_child"),
-        meters.alias("child_meters"),
+    parts = F.array_sort(F.collect_list("part"))
+    return nested_recap(spark, folder).groupBy("window_start").agg(
+        F.sum("districts_reported").alias("districts_reported"),
+        F.sum("total_meters").alias("total_meters"),
+        F.sum(F.size("districts")).alias("children"),
+        F.min(F.element_at("districts", 1)["district"]).alias("first_child"),
+        F.max(F.element_at("districts", -1)["district"]).alias("last_child"),
+        F.sum(meters).alias("child_meters"),
+        (parts == F.sequence(F.lit(0), F.max("parts") - 1)).alias("numbered"),
     )
 
 
@@ -218,16 +226,21 @@ def series_total(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT time_bucket(INTERVAL '1 day', ts) AS day, "
     + ", ".join(
         f"CAST(sum({si.fx('value', 4)}) FILTER (WHERE event_type = '{t}') AS BIGINT) / 1e4 AS {t}"
-        for t in si.EVENT_TYPES
+        for t in si.EVENT_TYPES[:4]
     )
-    + " FROM events GROUP BY 1",
+    + f""", CAST(sum({si.fx('value', 4)}) FILTER (WHERE event_type IS NULL OR event_type NOT IN
+          ('click', 'error', 'purchase', 'signup')) AS BIGINT) / 1e4 AS other,
+        CAST(sum({si.fx('value', 4)}) AS BIGINT) / 1e4 AS total FROM events GROUP BY 1""",
 )
 def pivot(spark: SparkSession, folder: str) -> DataFrame:
     events = tables.load(spark, folder, "events").select(
         F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("day"), "event_type", "value"
     )
     measure = fixed.fixed_sum("value", model.ENERGY_DIGITS)
-    return reports.pivot_measure(events, "day", "event_type", si.EVENT_TYPES, measure)
+    # One type is left out of the list on purpose: its rows are under "other".
+    return reports.pivot_measure(
+        events, "day", "event_type", si.EVENT_TYPES[:4], measure, other="other", total="total"
+    )
 
 
 @query(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,8 +50,25 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Delete what is stored inside the block when it ends, and nothing else.
+
+    Frames that read stored tables must be used up before. Blocks may be nested;
+    what other threads store meanwhile belongs to the innermost open block.
+    """
+    first = len(_CREATED)
+    try:
+        yield
+    finally:
+        own = _CREATED[first:]
+        del _CREATED[first:]
+        for path in own:
+            delete(spark, path)
+
+
 def clear(spark: SparkSession) -> None:
-    """Delete what this process put into the shared folder."""
+    """Delete all that this process put into the shared folder."""
     while _CREATED:
         delete(spark, _CREATED.pop())
 

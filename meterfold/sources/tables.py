@@ -47,7 +47,8 @@ def stream(
 ) -> DataFrame:
     """The files of one table as a stream.
 
-    The pattern matches a table stored as one file or as a folder of files.
+    The pattern matches a table stored as one file or as a folder of files, and
+    nothing else whose name begins like it.
     ``files_per_batch`` bounds what a batch takes on; files then arrive in the
     order of their age, and readings behind the watermark are late.
     """
@@ -55,4 +56,4 @@ def stream(
     reader = spark.readStream.schema(layout)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(table_path(folder, name) + "*")
+    return reader.parquet(f"{table_path(folder, name)[:-1]}[t]")

@@ -172,3 +172,15 @@ def test_vectors(spark):
 
 def test_band_defaults():
     assert (Band().low, Band().high, Band().nominal) == (207.0, 253.0, 230.0)
+
+
+@pytest.mark.parametrize("value", ["double('NaN')", "double('Infinity')", "-1e300D", "1e16D"])
+def test_uncountable_measures_raise(spark, value):
+    rows = spark.sql(f"SELECT {value} AS x")
+    with pytest.raises(Exception, match="not a countable measure"):
+        rows.select(fixed.to_fixed("x", 4)).collect()
+
+
+def test_missing_measures_stay_missing(spark):
+    row = spark.sql("SELECT CAST(NULL AS DOUBLE) AS x, 1.25D AS y").select(fixed.to_fixed("x", 2).alias("x"), fixed.to_fixed("y", 2).alias("y")).first()
+    assert (row.x, row.y) == (None, 125)

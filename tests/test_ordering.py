@@ -100,7 +100,7 @@ def test_level_counts_and_control_totals(spark, members):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(ids=st.sets(st.integers(-(2**40), 2**40), min_size=1, max_size=50), blocks=st.integers(1, 64))
+@given(ids=st.sets(st.integers(-(2**63), 2**63 - 1), min_size=1, max_size=50), blocks=st.integers(1, 64))
 def test_spread_blocks_are_few_and_ordered(spark, ids, blocks):
     rows = spark.createDataFrame([(i,) for i in ids], "m BIGINT")
     cut = rows.select("m", ordering.spread_blocks(rows, "m", blocks).alias("b")).orderBy("m").collect()
@@ -108,6 +108,18 @@ def test_spread_blocks_are_few_and_ordered(spark, ids, blocks):
     assert buckets == sorted(buckets) and 0 <= buckets[0] and buckets[-1] < blocks
 
 
+def test_spread_blocks_are_even_with_an_outlier(spark):
+    ids = spark.range(20_000).select("id").union(spark.sql("SELECT 9223372036854775807L UNION ALL SELECT -9223372036854775808L"))
+    sizes = ids.groupBy(ordering.spread_blocks(ids, "id", 16).alias("b")).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) <= 2 * 20_002 / 16
+
+
+def test_id_blocks_of_large_ids(spark):
+    ids = [2**62 + i for i in range(2000)] + [-(2**63), -501, -500, -1, 0, 499, 500, 2**63 - 1]
+    rows = spark.createDataFrame([(i,) for i in ids], "m BIGINT")
+    assert {r.m: r.b for r in rows.select("m", ordering.id_block("m", 500).alias("b")).collect()} == {i: i // 500 for i in ids}
+
+
 def test_text_ids_are_cut_by_a_prefix(members):
     named = members.select("g", F.format_string("M-%05d", "m").alias("name"), "m")
     prefix = F.substring("name", 1, 5)

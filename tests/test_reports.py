@@ -126,3 +126,19 @@ def test_pivot_uses_the_given_values(spark):
     wide = reports.pivot_measure(rows, "w", "k", ["x", "y", "z"], F.sum("v")).orderBy("w")
     assert wide.columns == ["w", "x", "y", "z"]
     assert [tuple(r) for r in wide.collect()] == [(1, 2.0, 3.0, None), (2, 4.0, None, None)]
+
+
+def test_pivot_keeps_unlisted_values(spark):
+    rows = spark.createDataFrame([(1, "a", 1), (1, "zz", 5), (1, None, 7), (2, "b", 2)], "d INT, t STRING, v INT")
+    wide = reports.pivot_measure(rows, "d", "t", ["a", "b"], F.sum("v"), other="other", total="total")
+    assert [tuple(r) for r in wide.orderBy("d").collect()] == [(1, 1, None, 12, 13), (2, None, 2, None, 2)]
+    with pytest.raises(Exception, match="not listed: zz|not listed: null"):
+        reports.pivot_measure(rows, "d", "t", ["a", "b"], F.sum("v")).collect()
+
+
+def test_dense_grid_has_one_row_per_cell(spark):
+    facts = spark.createDataFrame([("x", 1, 5.0, 1), ("x", 1, 3.0, 2), ("x", 2, 1.0, 1)], "k STRING, w INT, v DOUBLE, at INT")
+    got = lookup.dense_grid(facts.select("k"), facts.select("w"), facts, ["k"], "w", "v", last=1, written="at").collect()
+    assert [tuple(r) for r in got] == [("x", 2, 1.0)]
+    got = lookup.dense_grid(facts.select("k"), facts.select("w"), facts, ["k"], "w", "v", written="at").orderBy("w").collect()
+    assert [tuple(r) for r in got] == [("x", 1, 3.0), ("x", 2, 1.0)]

@@ -88,6 +88,30 @@ def test_upper_levels_agree_with_direct_aggregation(spark):
     assert direct.select(*shared).exceptAll(top).isEmpty()
 
 
+def test_missing_measures_do_not_bias_means(spark):
+    rows = spark.createDataFrame(
+        [("a", T0, 1.0, 230.0, None), ("a", T0, None, None, None), ("b", T0, 2.0, 210.0, 4.0)],
+        "distributor_id STRING, timestamp TIMESTAMP_NTZ, energy_consumption DOUBLE, voltage DOUBLE, current DOUBLE",
+    )
+    level2 = rollup.by_distributor(rows)
+    a = rollup.finish(level2).where("distributor_id = 'a'").first()
+    assert (a.total_meters, a.total_energy_kwh, a.avg_voltage, a.avg_current) == (2, 1.0, 230.0, None)
+    top = rollup.finish(rollup.recap(level2)).first()
+    assert (top.total_meters, top.avg_voltage, top.avg_current) == (3, 220.0, 4.0)
+
+
+@pytest.mark.parametrize("children", [999, 1000, 1001])
+def test_nested_layout_does_not_depend_on_the_number_of_children(spark, children):
+    parents = spark.createDataFrame([(1, children, children)], "w INT, n BIGINT, meters BIGINT")
+    rows = spark.range(children).select(F.lit(1).alias("w"), F.col("id").alias("child"))
+    nested = rollup.nest_children(parents, rows, ["w"], "child", "n", totals=["n", "meters"])
+    assert nested.columns == ["w", "n", "meters", "part", "parts", "districts"]
+    found = nested.orderBy("part").collect()
+    assert [r.part for r in found] == list(range(found[0].parts)) and len(found) == (1 if children <= 1000 else 2)
+    assert [r.meters for r in found] == [children] + [None] * (len(found) - 1)
+    assert sorted(d.child for r in found for d in r.districts) == list(range(children))
+
+
 @pytest.mark.parametrize("per_record", [1, 7, 1000])
 def test_nested_children_are_whole(spark, per_record):
     parents = spark.createDataFrame([(1, 50), (2, 1)], "w INT, n BIGINT")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterfold import model, scratch
 from meterfold.operators import bundles, rollup, series
-from meterfold.sources import history, messages, rows
+from meterfold.sources import history, messages, rows, tables
 
 T0 = dt.datetime(2026, 5, 16, 23, 30)
 
@@ -248,3 +248,21 @@ def test_retention_as_a_frame(levels):
     _, _, level3 = levels
     kept = series.in_last_windows(level3, "window_start", 2)
     assert kept.count() == 8 and series.in_last_windows(kept, "window_start", 2).count() == 8
+
+
+def test_streams_leave_neighbouring_tables_alone(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    spark.range(2).write.parquet(str(tmp_path / "t.parquet_backup"))
+    rows = tables.stream(spark, str(tmp_path), "t", "id BIGINT")
+    query = rows.writeStream.format("memory").queryName("only_t").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("only_t").count() == 3
+
+
+def test_jobs_delete_only_their_own_tables(spark):
+    outer = scratch.stored(spark.range(4), "outer")
+    with scratch.job(spark):
+        assert scratch.stored(spark.range(5), "inner").count() == 5
+        path = scratch._CREATED[-1]
+    assert outer.count() == 4
+    assert scratch.delete(spark, path) is False
