@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import brute
+from meterfold.llm import ngram_lm
+
+SCHEMA = "doc_id long, text string"
+
+
+def train(doc):
+    return zlib.crc32(("" if doc is None else str(doc)).encode()) % 5 != 1
+
+
+def texts():
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        own, w = [], rng.choice(words)
+        for _ in range(rng.randint(0, 40)):
+            w = words[(words.index(w) * 7 + rng.choice((0, 0, 0, 1, 2))) % 60] if w in words else rng.choice(words)
+            own.append(rng.choice((w, w, w.upper(), w, f"rare{rng.randint(0, 999)}")))
+        rows.append((i, rng.choice((" ", "\n")).join(own)))
+    return rows + [(None, "w1 w2"), (400, None), (401, ""), rows[3], rows[3]]
+
+
+@pytest.mark.parametrize("block", [2000, 1 << 20])
+def test_against_plain_counts(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_lm, "BLOCK_TEXT", block)
+    rows = texts()
+    frame = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA + ", block int").repartition(3)
+    found = ngram_lm.scores(frame, parts=4).collect()
+    assert len(found) == len(rows)
+    counts = brute.token_counts(rows, train)
+    n, v = sum(counts.values()), len(counts)
+    known = dict(rows)
+    model = base = 0.0
+    for r in found:
+        tokens = [*brute.WORDS.findall(brute.lower(known[r["doc_id"]])), None]
+        want = sum(math.log10((counts[t] + 0.5) / (n + 0.5 * (v + 1))) for t in tokens)
+        assert r["base_score"] == pytest.approx(want)
+        assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (not train(r["doc_id"]), len(tokens), n)
+        assert r["n_known"] == sum(counts[t] > 0 for t in tokens)
+        assert r["score"] < 0
+        if r["held_out"]:
+            model, base = model + r["score"], base + r["base_score"]
+    assert model > base  # word pairs help on texts that were held out
+
+
+def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
+    rows = spark.createDataFrame(texts(), SCHEMA)
+    found = []
+    for block, parts in ((1000, 7), (1 << 20, 2)):
+        monkeypatch.setattr(ngram_lm, "BLOCK_TEXT", block)
+        found.append(sorted((r["n_tokens"], round(r["score"], 6)) for r in ngram_lm.scores(rows, parts).collect()))
+    assert found[0] == found[1]
+
+
+def test_shares_add_up(spark):
+    """Over all words and an unknown one, chances after one context sum to one."""
+    rng = np.random.default_rng(1)
+    weights = ngram_lm.mixture(
+        np.array([((1 + i % 5) * 1001 + rng.integers(0, 80)) * 1001 + rng.integers(0, 120) for i in range(400)]),
+        rng.integers(1, 50, 400).astype(float), 90,
+    )
+    assert weights.sum(1) == pytest.approx(np.ones(64)) and (weights[1:] > 0).all() and weights[0, 0] == 0
+    pairs, words = Counter(a=3, b=1), Counter(a=10, b=20, c=60)
+    n, types, context = 90, 3, 4
+    w = weights[ngram_lm.bucket(np.array([context]))[0]]
+    total = sum(w[0] * pairs[t] / context + w[1] * words[t] / n + w[2] / (types + 1) for t in "abc") + w[2] / (types + 1)
+    assert total == pytest.approx(1.0)
+
+
+def test_packed_numbers():
+    for numbers in ([], [0], [5, 0, 2**63], list(range(1000))):
+        numbers = np.array(numbers, dtype=np.uint64)
+        assert (ngram_lm.unpacked(ngram_lm.packed(numbers)) == numbers).all()
+        assert (ngram_lm.unpacked_sorted(ngram_lm.packed_sorted(np.sort(numbers))) == np.sort(numbers)).all()
+
+
+def test_empty_table(spark):
+    assert ngram_lm.scores(spark.createDataFrame([], SCHEMA)).count() == 0
+    row = ngram_lm.scores(spark.createDataFrame([(1, None)], SCHEMA)).first()
+    assert row["n_tokens"] == 1
