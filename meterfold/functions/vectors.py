@@ -29,6 +29,36 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, gap: acc + gap * gap))
 
 
+def matrix(batch: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors of an Arrow column that are there, and marks for which those are.
+
+    A vector of another length, or with a missing number, raises an error.
+    """
+    present = batch.is_valid().to_numpy(zero_copy_only=False)
+    lengths = batch.value_lengths().to_numpy(zero_copy_only=False)[present]
+    if (lengths != width).any():
+        raise ValueError(f"a vector has {int(lengths[lengths != width][0])} numbers instead of {width}")
+    numbers = batch.flatten()
+    if numbers.null_count:
+        raise ValueError("a vector lacks a number")
+    return numbers.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width), present
+
+
+def nearest(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Index of the nearest row of ``table``; the lowest index wins a tie."""
+    distances = np.empty((len(rows), len(table)))
+    for i, centroid in enumerate(table):
+        gaps = rows - centroid
+        np.einsum("ij,ij->i", gaps, gaps, out=distances[:, i])
+    return np.sqrt(distances).argmin(axis=1).astype(np.int32)
+
+
+def of_length(vector: Column, width: int) -> Column:
+    """The vector; null stays null, another length raises an error."""
+    message = F.concat(F.lit("a vector has "), F.size(vector).cast("string"), F.lit(f" numbers instead of {width}"))
+    return F.when(F.size(vector) == width, vector).when(vector.isNotNull(), F.raise_error(message).cast("array<double>"))
+
+
 def nearest_in_arrow(point: Column, centroids: Sequence[Sequence[float]]) -> Column:
     """Index of the nearest centroid, worked out per Arrow batch.
 
@@ -38,19 +68,13 @@ def nearest_in_arrow(point: Column, centroids: Sequence[Sequence[float]]) -> Col
     table = np.array(centroids, dtype=np.float64)
 
     @F.arrow_udf("int")
-    def nearest(batch: pa.Array) -> pa.Array:
-        present = batch.is_valid().to_numpy(zero_copy_only=False)
-        rows = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        rows = rows.reshape(-1, table.shape[1])
-        distances = np.empty((len(rows), len(table)))
-        for i, centroid in enumerate(table):
-            gaps = rows - centroid
-            np.einsum("ij,ij->i", gaps, gaps, out=distances[:, i])
+    def place(batch: pa.Array) -> pa.Array:
+        rows, present = matrix(batch, table.shape[1])
         found = np.zeros(len(batch), dtype=np.int32)
-        found[present] = np.sqrt(distances).argmin(axis=1)
+        found[present] = nearest(rows, table)
         return pa.array(found, mask=~present)
 
-    return nearest(point)
+    return place(point)
 
 
 def first_smallest(distances: Column) -> Column:

@@ -1,17 +1,20 @@
 """k-means on a column of vectors.
 
-The driver holds k x d numbers and nothing else. One round is one scan: the
-nearest centroid is a column expression against a literal table, and the sums
-per (cluster, coordinate) are combined in the map tasks, so k x d partial rows
-per task cross the shuffle however many points a cluster has.
+The driver holds k x d numbers and nothing else. One round is one scan: tasks
+find the nearest centroids of an Arrow batch of vectors and add the vectors up,
+so k x d partial sums per batch are all that leaves them, however many points a
+cluster has. Sums are kept as whole numbers, a whole part and a fraction, which makes
+centroids, rounds and the stop the same for every partitioning.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +24,11 @@ from meterfold.operators import sampling
 
 Centroids = Sequence[Sequence[float]]
 
+#: Fractions are counted in this many parts; 2^-40 is far below what vectors hold.
+_FRACTION = 2.0**40
+#: Whole parts of a batch add up safely below this.
+_LARGEST = 2.0**46
+
 
 @dataclass(frozen=True)
 class KMeansResult:
@@ -55,7 +63,7 @@ def assign(
     if arrow:
         return points.withColumn(cluster, vectors.nearest_in_arrow(F.col(vector), centroids))
     table = vectors.centroid_table(centroids)
-    point = F.col(vector).cast("array<double>")
+    point = vectors.of_length(F.col(vector).cast("array<double>"), len(centroids[0]))
     distances = F.transform(table, lambda c: vectors.euclidean(point, c))
     held = points.select("*", distances.alias("_distances"))
     return held.select(
@@ -66,9 +74,72 @@ def assign(
 def group_means(
     rows: DataFrame, group: str, vector: str
 ) -> DataFrame:
-    """Component-wise mean per group as (group, pos, mean) rows."""
-    parts = rows.select(group, F.posexplode(F.col(vector).cast("array<double>")).alias("pos", "x"))
-    return parts.groupBy(group, "pos").agg(F.avg("x").alias("mean"))
+    """Component-wise mean per group as (group, pos, mean) rows.
+
+    Missing vectors are left out; all others of a batch must have one length.
+    """
+    kind = rows.schema[group].dataType.simpleString()
+    chosen = rows.select(F.col(group).alias("g"), F.col(vector).cast("array<double>").alias("v"))
+    return _means(chosen.mapInArrow(_group_sums, f"g {kind}, {_SUMS}"), group)
+
+
+_SUMS = "pos int, n bigint, whole bigint, fraction bigint"
+
+
+def _sums(found: np.ndarray, rows: np.ndarray, groups: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Group, members, and the sums of whole parts and fractions of each coordinate."""
+    if not (np.abs(rows) < _LARGEST).all():
+        raise ValueError(f"a coordinate is not a number below {_LARGEST:g}")
+    whole = np.rint(rows)
+    parts = np.rint((rows - whole) * _FRACTION).astype(np.int64)
+    whole = whole.astype(np.int64)
+    for g in range(groups):
+        own = found == g
+        if own.any():
+            yield g, int(own.sum()), whole[own].sum(0), parts[own].sum(0)
+
+
+def _records(groups: pa.Array, sums: Iterator) -> pa.RecordBatch:
+    found = list(sums)
+    width = len(found[0][2]) if found else 0
+    columns = [
+        groups.take(pa.array(np.repeat([f[0] for f in found], width).astype(np.int64))),
+        pa.array(np.tile(np.arange(width, dtype=np.int32), len(found))),
+        pa.array(np.repeat(np.array([f[1] for f in found], dtype=np.int64), width)),
+        *(pa.array(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64)) for i in (2, 3)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["g", "pos", "n", "whole", "fraction"])
+
+
+def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held = batch.column("v")
+        if held.null_count < len(held):
+            width = int(held.value_lengths().drop_null()[0].as_py())
+            rows, present = vectors.matrix(held, width)
+            coded = batch.column("g").dictionary_encode(null_encoding="encode")
+            codes = coded.indices.to_numpy(zero_copy_only=False)[present]
+            yield _records(coded.dictionary, _sums(codes, rows, len(coded.dictionary)))
+
+
+def _cluster_sums(centroids: Centroids):
+    table = np.array(centroids, dtype=np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, _ = vectors.matrix(batch.column("v"), table.shape[1])
+            numbers = pa.array(np.arange(len(table), dtype=np.int32))
+            yield _records(numbers, _sums(vectors.nearest(rows, table), rows, len(table)))
+
+    return run
+
+
+def _means(sums: DataFrame, group: str) -> DataFrame:
+    def total(column: str):
+        return F.sum(F.col(column).cast("decimal(38,0)")).cast("double")
+
+    mean = (total("whole") + total("fraction") / F.lit(_FRACTION)) / F.sum("n")
+    return sums.groupBy(F.col("g").alias(group), "pos").agg(mean.alias("mean"))
 
 
 def mean_vectors(rows: DataFrame, group: str, vector: str, into: str = "centroid") -> DataFrame:
@@ -111,24 +182,29 @@ def fit(
     max_rounds: int = 20,
     tolerance: float = 1e-4,
     storage: StorageLevel | None = None,
-    arrow: bool = False,
+    arrow: bool = True,
 ) -> KMeansResult:
     """Repeat assign and move until the total shift is below the tolerance.
 
     ``storage`` keeps the vector column between rounds; without it every round
-    scans the source again, which needs no executor memory or disk.
+    scans the source again, which needs no executor memory or disk. With
+    ``arrow=False`` the distances are built-in expressions.
     """
     if max_rounds < 1 or not start:
         raise ValueError("max_rounds and the number of start centroids must be positive")
     current = [[float(x) for x in c] for c in start]
-    data = points.select(vector)
+    data = points.select(F.col(vector).cast("array<double>").alias("v"))
     if storage is not None:
         data = data.persist(storage)
     try:
         for done in range(1, max_rounds + 1):
-            held = assign(data, current, vector, arrow=arrow)
             following = [list(c) for c in current]
-            for row in group_means(held, "cluster", vector).collect():
+            if arrow:
+                sums = data.mapInArrow(_cluster_sums(current), f"g int, {_SUMS}")
+                means = _means(sums, "cluster")
+            else:
+                means = group_means(assign(data, current, "v").where("v is not null"), "cluster", "v")
+            for row in means.collect():
                 following[row["cluster"]][row["pos"]] = row["mean"]
             shift = total_shift(current, following)
             current = following

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterfold import scratch
 from meterfold.functions import fixed, slots
 from meterfold.operators import hierarchy, ordering, reports, rollup, series
 from meterfold.plans import standins as si
@@ -147,9 +148,9 @@ def plot_scale(spark: SparkSession, folder: str) -> DataFrame:
         END AS x FROM series""",
 )
 def relative_position(spark: SparkSession, folder: str) -> DataFrame:
-    placed = ordering.positions(
-        energy_series(spark, folder), ["window_start"], _day("window_start"), total="n"
-    )
+    # Numbering reads its input twice: the events are aggregated once, before.
+    held = scratch.stored(energy_series(spark, folder), "series")
+    placed = ordering.positions(held, ["window_start"], _day("window_start"), total="n")
     x = (F.col("position") - 1) / F.nullif(F.col("n") - 1, F.lit(0))
     return placed.select("window_start", "energy", F.coalesce(x, F.lit(0.5)).alias("x"))
 
@@ -180,7 +181,7 @@ def window_number(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("readings")
     )
     return ordering.positions(
-        windows, ["window_start"], _day("window_start"), position="cycle_id"
+        scratch.stored(windows, "windows"), ["window_start"], _day("window_start"), position="cycle_id"
     )
 
 

@@ -123,8 +123,11 @@ def split_history(parsed: DataFrame) -> History:
 
 
 def load_history(spark: SparkSession, path: str) -> History:
-    """Read a log written by :func:`append_history` or an envelope log."""
-    return split_history(parse_lines(spark.read.text(path, lineSep="\n")))
+    """Read a log written by :func:`append_history` or an envelope log.
+
+    The parsed lines feed several branches: they are parsed once and stored.
+    """
+    return split_history(scratch.stored(parse_lines(spark.read.text(path, lineSep="\n")), "parsed"))
 
 
 def trim_history(spark: SparkSession, path: str, windows: int = model.HISTORY_WINDOWS) -> None:

@@ -110,22 +110,26 @@ def one_record(line: Column, schema: str) -> Column:
     """The record of a line that holds exactly one JSON object, else null.
 
     Read as a one-element array, a line with anything after the object is
-    malformed; on its own the parser would stop behind the object.
+    malformed; on its own the parser would stop behind the object. The array is
+    named once, by the lambda, so a line is parsed once.
     """
     wrapped = F.concat(F.lit("["), line, F.lit("]"))
     found = F.from_json(wrapped, f"ARRAY<STRUCT<{schema}>>", {"mode": "PERMISSIVE"})
-    return F.when(F.size(found) == 1, found[0])
+    single = F.transform(F.array(found), lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0))))
+    return F.get(single, F.lit(0))
 
 
 def parse_envelopes(lines: DataFrame, column: str = "line") -> DataFrame:
     """Strict parse of envelope lines: blank lines are skipped, a bad one fails."""
     stripped = lines.select(text.strip(F.col(column)).alias("line")).where(F.col("line") != "")
-    parsed = stripped.select("line", one_record(F.col("line"), model.ENVELOPE_SCHEMA).alias("m"))
+    # A generated row: filters on the topic stay above it and do not repeat the parse.
+    record = one_record(F.col("line"), model.ENVELOPE_SCHEMA)
+    parsed = stripped.select("line", F.inline(F.array(record)))
     topic = F.when(
-        F.col("m.topic").isNull() | F.col("m.value").isNull(),
-        F.raise_error(F.concat(F.lit("not a message: "), F.substring("line", 1, 200))),
-    ).otherwise(F.col("m.topic"))
-    return parsed.select(topic.alias("topic"), F.col("m.key").alias("key"), F.col("m.value").alias("value"))
+        F.col("topic").isNull() | F.col("value").isNull(),
+        F.raise_error(F.concat(F.lit("not a message: "), F.substring("line", 1, 200))).cast("string"),
+    ).otherwise(F.col("topic"))
+    return parsed.select(topic.alias("topic"), "key", "value")
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:

@@ -87,3 +87,27 @@ def test_start_is_repeatable(spark):
 def test_spark_ml_form(spark):
     model = kmeans.ml_kmeans(_frame(spark, _blobs()), "p", 3)
     assert len(model.clusterCenters()) == 3
+
+
+@pytest.mark.parametrize("arrow", [False, True])
+def test_vectors_of_another_length_are_refused(spark, arrow):
+    points = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0, 3.0])], "id INT, p ARRAY<DOUBLE>").coalesce(1)
+    with pytest.raises(Exception, match="instead of 2"):
+        kmeans.assign(points, [[0.0, 0.0], [1.0, 1.0]], "p", arrow=arrow).collect()
+    with pytest.raises(Exception, match="instead of 2"):
+        kmeans.fit(points, "p", [[0.0, 0.0]])
+
+
+def test_missing_vectors_have_no_cluster_and_no_weight(spark):
+    points = spark.createDataFrame([(1, [1.0, 1.0]), (2, None), (3, [3.0, 5.0])], "id INT, p ARRAY<DOUBLE>")
+    for arrow in (False, True):
+        held = kmeans.assign(points, [[0.0, 0.0]], "p", arrow=arrow)
+        assert {r.id: r.cluster for r in held.collect()} == {1: 0, 2: None, 3: 0}
+    assert kmeans.fit(points, "p", [[0.0, 0.0]]).centroids == [[2.0, 3.0]]
+
+
+def test_fit_does_not_depend_on_partitions(spark):
+    points = spark.range(3000).selectExpr("id", "array(sin(id) * 1e3, cos(id * 7) / 3, id / 7) p")
+    start = kmeans.start_centroids(points, 4, "id", "p")
+    found = [kmeans.fit(points.repartition(n), "p", start) for n in (1, 3, 8)]
+    assert found[0] == found[1] == found[2]
