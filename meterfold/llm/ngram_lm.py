@@ -17,7 +17,7 @@ from meterfold import scratch
 from meterfold.llm.text import ASCII_LOWER, SPACE_WORDS, blocks, mix, pair
 
 #: Bytes of text whose tokens go together as one block.
-BLOCK_TEXT = 24 << 20
+BLOCK_TEXT = 4 << 20
 FOLDS, HELD_OUT = 5, 1
 #: Names of the end of a text and of the place before its first word.
 END, START = (np.uint64(x) for x in (0x9D39247E33776D41, 0x2AF7398005AAA5C7))
@@ -102,8 +102,14 @@ class Tokens:
     held: np.ndarray  #: per text
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one at a time: a block may have many MB."""
+    for i in range(batch.num_rows):
+        yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+
+
 def _opened(row: dict) -> Tokens:
-    words, tokens = unpacked_sorted(row["words"]), unpacked(row["tokens"]).astype(np.int64)
+    words, tokens = unpacked_sorted(row["words"]), unpacked(row["tokens"]).astype(np.int32)
     sizes = np.array(row["sizes"], dtype=np.int64)
     heads = np.cumsum(sizes) - sizes
     contexts = np.empty_like(tokens)
@@ -111,7 +117,7 @@ def _opened(row: dict) -> Tokens:
     contexts[heads] = len(words)
     all_words = np.append(words, START)
     pairs, pair_of = np.unique(pair(all_words[contexts], words[tokens]), return_inverse=True)
-    return Tokens(words, tokens, contexts, pairs, pair_of, sizes, np.array(row["held"], dtype=bool))
+    return Tokens(words, tokens, contexts, pairs, pair_of.astype(np.int32), sizes, np.array(row["held"], dtype=bool))
 
 
 def _asked(parts: int):
@@ -120,7 +126,7 @@ def _asked(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = [np.uint64((i << 64) // parts) for i in range(parts)]
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 own = _opened(row)
                 train = np.repeat(~own.held, own.sizes)
                 rows = []
@@ -205,7 +211,7 @@ def _deleted(train_docs: int, n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 own = _counted(row, train_docs)
                 train = np.repeat(~own.held, own.sizes)
                 context = own.contexts[train] - 1
@@ -253,7 +259,7 @@ SCORES = (
 def _scores(train_docs: int, n: int, types: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 own = _counted(row, train_docs)
                 heads = np.cumsum(own.sizes) - own.sizes
                 w = weights[bucket(own.contexts)]
