@@ -10,11 +10,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterfold import scratch
-from meterfold.llm.text import ASCII_LOWER, SPACE_WORDS, blocks, mix, pair
+from meterfold.llm.text import ASCII_LOWER, SPACE_WORDS, blocks, pair
 
 #: Bytes of text whose tokens go together as one block.
 BLOCK_TEXT = 4 << 20
@@ -56,11 +57,9 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
-def _block(docs: list, sizes: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
+def _block(key: int, docs: list, sizes: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
     lengths, flat = np.concatenate(sizes), np.concatenate(names)
     words, tokens = np.unique(flat, return_inverse=True)
-    number = zlib.crc32(repr((docs[0], docs[-1], len(docs), len(flat), int(flat.sum()))).encode())
-    key = int(mix(np.array([number], np.uint64) ^ flat[:1] ^ flat.sum(dtype=np.uint64)).view(np.int64)[0])
     return pa.RecordBatch.from_arrays(
         [
             pa.array([key]), pa.array([docs], pa.list_(pa.int64())), pa.array([lengths.tolist()], pa.list_(pa.int64())),
@@ -72,6 +71,8 @@ def _block(docs: list, sizes: list[np.ndarray], names: list[np.ndarray]) -> pa.R
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with keys of their own, whatever they hold: the task's partition and a number in it."""
+    key = TaskContext.get().partitionId() << 32
     docs, sizes, names, held = [], [], [], 0
     for batch in batches:
         ids = batch.column(0).to_pylist()
@@ -83,10 +84,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names.append(np.insert(found, first[1:], END))
             held += len(block.data)
             if held >= BLOCK_TEXT:
-                yield _block(docs, sizes, names)
+                yield _block(key, docs, sizes, names)
+                key += 1
                 docs, sizes, names, held = [], [], [], 0
     if docs:
-        yield _block(docs, sizes, names)
+        yield _block(key, docs, sizes, names)
 
 
 @dataclass

@@ -63,6 +63,25 @@ def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
     assert found[0] == found[1]
 
 
+@pytest.mark.parametrize("block", [500, 1 << 20])
+def test_blocks_of_the_same_rows(spark, monkeypatch, block):
+    """Whole blocks recur: every row counts, as if it stood elsewhere."""
+    monkeypatch.setattr(ngram_lm, "BLOCK_TEXT", block)
+    docs = spark.createDataFrame(texts(), SCHEMA).repartition(2)
+    twice = ngram_lm.scores(docs.union(docs), parts=3).collect()
+    assert len(twice) == 2 * len(texts())
+    together = ngram_lm.scores(spark.createDataFrame(texts() * 2, SCHEMA).coalesce(1), parts=1).collect()
+
+    def rows(found):
+        return sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in found)
+
+    assert rows(twice) == rows(together)
+    counts = brute.token_counts(texts() * 2, train)
+    assert {r["train_tokens"] for r in twice} == {sum(counts.values())}
+    alone = spark.createDataFrame([(1, "a b c")], SCHEMA)
+    assert len({tuple(r) for r in ngram_lm.scores(alone.union(alone)).collect()}) == 1
+
+
 def test_shares_add_up(spark):
     """Over all words and an unknown one, chances after one context sum to one."""
     rng = np.random.default_rng(1)
