@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Path segments of a URL that a list entry may name.
-PATH_DEPTH = 3
 #: Captures and intervals meet in stretches of so many days.
 STRETCH_DAYS = 32
 
@@ -18,15 +16,21 @@ def host_of(url: Column) -> Column:
     return F.when(found != "", found)
 
 
-def _keys(url: Column, host: Column) -> Column:
-    """All entry names that would cover a URL: its domains, and its host with leading path parts."""
+def _parts(path: Column) -> Column:
+    return F.filter(F.split(path, "/", -1), lambda x: x != "")
+
+
+def _keys(url: Column, host: Column, deepest: Column) -> Column:
+    """All entry names that would cover a URL: its domains, and its host with leading path parts.
+
+    Names are in lower case, as entries are. No entry has more than ``deepest`` path parts.
+    """
     labels = F.split(host, r"\.", -1)
-    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    parts = F.filter(F.split(path, "/", -1), lambda x: x != "")
+    parts = _parts(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)))
     domains = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
-    depth = F.least(F.size(parts), F.lit(PATH_DEPTH))
+    depth = F.least(F.size(parts), deepest)
     prefixes = F.when(
         depth > 0,
         F.transform(F.sequence(F.lit(1), depth), lambda i: F.concat_ws("/", host, F.array_join(F.slice(parts, 1, i), "/"))),
@@ -59,7 +63,8 @@ def as_of(captures: DataFrame, events: DataFrame) -> DataFrame:
 
     ``captures`` has ``page_id``, ``url`` and ``fetched`` (a date). ``n_active`` counts the entries
     that cover the URL and were listed that day, ``entry`` is the first of them by
-    name. A capture without a host or day meets none. Repeated rows are looked up once
+    name. Entries may have any number of path parts; case makes no difference in host
+    or path. A capture without a host or day meets none. Repeated rows are looked up once
     and come back each. The join key is the entry and a stretch of days, so a host with a
     third of all captures is spread over the stretches before Spark splits what is
     still large; each URL and day is looked up once, however often it was captured.
@@ -67,8 +72,10 @@ def as_of(captures: DataFrame, events: DataFrame) -> DataFrame:
     rows = captures.select("page_id", "url", F.col("fetched").cast("date").alias("fetched"))
     asked = rows.where("url is not null and fetched is not null").select("url", "fetched").distinct()
     asked = asked.withColumn("host", host_of(F.col("url"))).where("host is not null")
-    keyed = asked.select(
-        "url", "fetched", _stretch(F.col("fetched")).alias("stretch"), F.explode(_keys(F.col("url"), F.col("host"))).alias("entry")
+    deepest = events.agg(F.coalesce(F.max(F.size(_parts(F.col("entry"))) - 1), F.lit(0)).alias("deepest"))
+    keyed = asked.crossJoin(F.broadcast(deepest)).select(
+        "url", "fetched", _stretch(F.col("fetched")).alias("stretch"),
+        F.explode(_keys(F.col("url"), F.col("host"), F.col("deepest"))).alias("entry"),
     )
     last = asked.agg(F.max("fetched").alias("last"))
     spans = intervals(events).crossJoin(F.broadcast(last)).where(F.col("since") <= F.col("last"))

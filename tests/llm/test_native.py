@@ -98,3 +98,23 @@ def test_list_entries_as_of_the_fetch(spark):
     assert url_lists.as_of(frame.limit(0), spark.createDataFrame(events, "entry string, at date, listed boolean")).count() == 0
     none = spark.createDataFrame([], "entry string, at date, listed boolean")
     assert url_lists.as_of(frame, none).where(F.col("blocked")).count() == 0
+
+
+def test_deep_entries_and_capitals_in_paths(spark):
+    day = dt.date(2024, 3, 1)
+    deep = "x.org/" + "/".join(f"p{i}" for i in range(12))
+    events = [(n, day, True) for n in ("x.org/a/b/c/d", "x.org/a/b/c/d/e", deep, "Y.net/News/Old", "z.com/only/listed/else/where")]
+    urls = {
+        "http://x.org/a/b/c/d": 1, "http://x.org/a/b/c/d/e/f?q": 2, "http://x.org/a/b/c": 0, f"http://{deep}/more": 1,
+        "http://y.net/News/Old/1": 1, "http://Y.NET/news/old": 1, "http://y.net/NEWS": 0, "http://x.org/A/b/C/d": 1, "http://z.com/": 0,
+    }
+    captures = spark.createDataFrame([(i, u, day) for i, u in enumerate(urls)], "page_id long, url string, fetched date")
+    found = url_lists.as_of(captures, spark.createDataFrame(events, "entry string, at date, listed boolean")).collect()
+    assert {r["url"]: r["n_active"] for r in found} == urls
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/News/{i}") for i in range(60)], "page_id long, url string")
+    made = url_lists.derived_events(pages)
+    sections = {r["entry"] for r in made.where(F.col("entry").contains("/")).collect()}
+    later = pages.withColumn("fetched", F.lit("2025-06-01").cast("date"))
+    hits = {r["page_id"]: r["n_active"] for r in url_lists.as_of(later, made).collect()}
+    names = {r["entry"] for r in made.collect()}
+    assert sections and hits == {i: (f"h{i}.org" in names) + (f"h{i}.org/news" in names) for i in range(60)}
