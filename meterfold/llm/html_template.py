@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -21,9 +22,11 @@ MANY_PAGES = 5
 # role for what is not their article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset(
-    "head title script style noscript template iframe object svg canvas audio video nav footer aside form button "
-    "input select option textarea label fieldset dialog menu".split()
+    "head title script style noscript template iframe object svg canvas audio video button input select option "
+    "textarea".split()
 )
+PARTS = frozenset("nav footer aside menu".split())
+WRAPS = frozenset("form label fieldset dialog".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote caption center dd details div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead "
@@ -38,6 +41,10 @@ HINTS = frozenset(
     "related recommended toolbar pagination pager search form widget skip".split()
 )
 COMMENT_HINTS = frozenset("comment comments reply replies".split())
+#: What announces adverts, and other texts than the page's own.
+AD_HINTS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion".split())
+OTHER_HINTS = COMMENT_HINTS | frozenset("disqus related recommended".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 _SPLIT = re.compile(r"[^a-z]+")
@@ -45,75 +52,161 @@ _CUT_TAG = re.compile(r"<(?:[A-Za-z/!?][^<>]*)?\Z")
 _SPACE = re.compile(r"\s+")
 
 
+def _name_kind(tag: str, region: str, named: dict[str, str]) -> tuple[str, bool]:
+    """What the names of an element say: what it surely is if not article, and whether they hint at that.
+
+    A class token or id counts if it has hint words only. One that has others as well
+    (``has-sidebar``, ``related-work``) is a hint. Headings are never judged by a name,
+    paragraphs not by their id.
+    """
+    if tag in ("html", "body", "main") or tag in HEADINGS:
+        return "", False
+    tokens = named.get("class", "").split() + ([] if tag == "p" else [named.get("id", "")])
+    words = [[w for w in _SPLIT.split(t) if w] for t in tokens]
+    if tag == "article":
+        return ("other" if any(w and (set(w) <= COMMENT_HINTS or w[0] in ("comment", "reply")) for w in words) else ""), False
+    known = HINTS - {"header", "masthead"} if region else HINTS
+    sure = {x for w in words if w and set(w) <= known for x in w}
+    kind = "part" if sure & AD_HINTS else "other" if sure & OTHER_HINTS else "name" if sure else ""
+    return kind or ("name" if named.get("role") in ROLES else ""), any(known & set(w) for w in words)
+
+
+@dataclass(slots=True)
+class _Open:
+    """An open element; counts are those of the reader when it opened."""
+
+    tag: str
+    silent: bool  #: has no text
+    region: str
+    first: int  #: event
+    number: int
+    marks: tuple[int, ...]  #: numbers of the elements from the page to here that may be no article
+    link: bool
+    title: bool
+    unsure: str = ""  #: what is decided when it closes
+    chars: int = 0
+    linked: int = 0
+    mains: int = 0
+    titles: int = 0
+
+
+@dataclass(slots=True)
+class _Text:
+    text: str
+    region: str
+    around: tuple[int, ...]  #: numbers of containers
+    marks: tuple[int, ...]
+    title: bool
+
+
 class _Reader(HTMLParser):
-    """Blocks of text with their region and the subtrees around them that may be template."""
+    """Blocks of text with their region, the subtrees around them that may be template, and what marks them as no article."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        #: Open elements: tag, whether its text is dropped, region, first event, number.
-        self.open: list[tuple[str, bool, str, int, int]] = []
+        self.open: list[_Open] = []
         self.events: list[str] = []
-        self.blocks: list[tuple[str, str, tuple[int, ...]]] = []  # text, region, numbers of containers
+        self.blocks: list[_Text] = []
         self.hashes: dict[int, int] = {}
-        self.text: list[str] = []
-        self.regions = self.numbers = 0
-
-    def _state(self) -> tuple[bool, str]:
-        return self.open[-1][1:3] if self.open else (False, "")
+        #: Elements that are no article: "part" of the site, "other" texts, form ("wrap"), or by "name".
+        self.dropped: dict[int, str] = {}
+        self.inline: set[int] = set()
+        #: Marks around each region.
+        self.outer: dict[str, set[int]] = {}
+        self.text: list[tuple[str, tuple[int, ...]]] = []
+        self.regions = self.numbers = self.chars = self.linked = self.mains = self.titles = 0
 
     def flush(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.text)).strip()
+        pieces: dict[tuple[int, ...], list[str]] = {}
+        for piece, marks in self.text:
+            pieces.setdefault(marks, []).append(piece)
         self.text.clear()
-        if text:
-            self.events.append(text)
-            around = tuple(n for tag, _, _, _, n in self.open if tag in CONTAINERS)
-            self.blocks.append((text, self._state()[1], around))
+        for marks, own in pieces.items():
+            text = _SPACE.sub(" ", "".join(own)).strip()
+            if text:
+                if not self.inline.intersection(marks):
+                    self.events.append(text)
+                around = tuple(e.number for e in self.open if e.tag in CONTAINERS)
+                top = self.open[-1] if self.open else None
+                self.blocks.append(_Text(text, top.region if top else "", around, marks, bool(top and top.title)))
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
-            self.text.append(" ")
+            self.text.append((" ", self.open[-1].marks if self.open else ()))
             return
         if tag in BLOCKS:
             self.flush()
-            if any(e[0] == "p" for e in self.open):
+            if any(e.tag == "p" for e in self.open):
                 self._close("p")
             if tag in SIBLINGS:
                 for k in range(len(self.open) - 1, -1, -1):
-                    if self.open[k][0] in SIBLINGS[tag]:
+                    if self.open[k].tag in SIBLINGS[tag]:
                         self._pop_to(k)
                         break
-                    if self.open[k][0] in ("ul", "ol", "dl", "table"):
+                    if self.open[k].tag in ("ul", "ol", "dl", "table"):
                         break
         if tag in VOID:
             return
-        dropped, region = self._state()
+        up = self.open[-1] if self.open else None
+        silent, region, marks = (up.silent, up.region, up.marks) if up else (False, "", ())
+        silent = silent or tag in NO_TEXT
         named = {k: (v or "").lower() for k, v in attrs if k in ("class", "id", "role", "hidden")}
-        if not dropped:
-            dropped = tag in NO_TEXT or (tag == "header" and not region) or "hidden" in named
-            if not dropped and tag not in ("html", "body", "main"):
-                words = set(_SPLIT.split(f"{named.get('class', '')} {named.get('id', '')}"))
-                dropped = bool(words & (COMMENT_HINTS if tag == "article" else HINTS)) or named.get("role") in ROLES
-        if tag == "article" and not dropped and not region.startswith("article"):
-            self.regions += 1
-            region = f"article {self.regions}"
-        elif tag == "main" and not region:
-            region = "main"
         self.numbers += 1
-        self.open.append((tag, dropped, region, len(self.events), self.numbers))
-        if not dropped:
+        kind = unsure = ""
+        if not silent:
+            kind, hint = _name_kind(tag, region, named)
+            if tag in PARTS or "hidden" in named:
+                kind = "part"
+            elif not kind and tag == "header" and not region:
+                kind = "name"
+            elif not kind and tag in WRAPS:
+                unsure = "wrap"
+            elif not kind and hint and tag in BLOCKS and tag != "p":
+                unsure = "name"
+            if kind or unsure:
+                marks = (*marks, self.numbers)
+            if kind:
+                self.dropped[self.numbers] = kind
+            if (kind or unsure) and tag not in BLOCKS:
+                self.inline.add(self.numbers)
+            if tag == "article" and not region.startswith("article"):
+                self.regions += 1
+                region = f"article {self.regions}"
+                self.outer[region] = set(marks)
+            elif tag == "main" and not region:
+                region = "main"
+                self.outer[region] = self.outer.get(region, set(marks)) & set(marks)
+        self.open.append(
+            _Open(
+                tag, silent, region, len(self.events), self.numbers, marks, tag == "a" or bool(up and up.link),
+                tag == "h1" or bool(up and up.title), unsure, self.chars, self.linked, self.mains, self.titles,
+            )
+        )
+        if not silent:
+            self.mains += tag in ("article", "main")
+            self.titles += tag == "h1"
             self.events.append(f"<{tag} {named.get('class', '')}>")
 
+    def _shut(self, e: _Open) -> None:
+        """Settle what a closed element is. What is no article leaves nothing in the subtrees around it."""
+        if e.unsure and self.mains == e.mains:
+            chars, linked = self.chars - e.chars, self.linked - e.linked
+            if e.unsure == "wrap" and self.titles == e.titles or e.unsure == "name" and 2 * linked > chars:
+                self.dropped[e.number] = e.unsure
+        if e.number in self.dropped:
+            del self.events[e.first :]
+        elif e.tag in CONTAINERS and not e.silent:
+            self.hashes[e.number] = xxhash.xxh64_intdigest("\x1f".join(self.events[e.first :]).encode("utf-8", "replace"))
+
     def _pop_to(self, k: int) -> None:
         """Close the open elements from the k-th on."""
         self.flush()
         while len(self.open) > k:
-            tag, dropped, _, first, number = self.open.pop()
-            if tag in CONTAINERS and not dropped:
-                self.hashes[number] = xxhash.xxh64_intdigest("\x1f".join(self.events[first:]).encode("utf-8", "replace"))
+            self._shut(self.open.pop())
 
     def _close(self, tag: str) -> None:
         for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
+            if self.open[k].tag == tag:
                 self._pop_to(k)
                 return
 
@@ -124,10 +217,11 @@ class _Reader(HTMLParser):
             if tag not in BLOCKS and self.open:
                 # An inline end tag never closes the block it is in.
                 for k in range(len(self.open) - 1, -1, -1):
-                    if self.open[k][0] == tag:
-                        del self.open[k:]
+                    if self.open[k].tag == tag:
+                        while len(self.open) > k:
+                            self._shut(self.open.pop())
                         return
-                    if self.open[k][0] in BLOCKS:
+                    if self.open[k].tag in BLOCKS:
                         return
             else:
                 self._close(tag)
@@ -136,32 +230,72 @@ class _Reader(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data):
-        if not self._state()[0]:
-            self.text.append(data)
+        top = self.open[-1] if self.open else None
+        if not (top and top.silent):
+            self.text.append((data, top.marks if top else ()))
+            size = len(data.strip())
+            self.chars += size
+            self.linked += size if top and top.link else 0
 
     def finish(self) -> None:
         self.close()
         self._pop_to(0)
 
 
+def _chosen(blocks: list[_Text]) -> str | None:
+    """The article with the most text, else ``main``, else nothing for the page."""
+    sizes: dict[str, int] = {}
+    for b in blocks:
+        sizes[b.region] = sizes.get(b.region, 0) + len(b.text)
+    articles = [r for r in sizes if r.startswith("article")]
+    return max(articles, key=lambda r: (sizes[r], -int(r.split()[1]))) if articles else "main" if "main" in sizes else None
+
+
 def read_page(html: str | None) -> list[tuple[str, list[int]]]:
     """Blocks of the article in page order, each with the hashes of the containers around it.
 
-    The article is the ``article`` element with the most text, else ``main``, else the page.
-    Elements that are no text, or that their name, class, id or role marks as a
-    part of the site, are left out.
+    The article is the ``article`` element with the most text, else ``main``, else the page;
+    a title of ``main`` goes with an article that has none. Elements that are no text, or
+    that their name, class, id or role marks as a part of the site, are left out, unless
+    they are around an article that has more text than all articles outside them, or
+    nothing else is left.
     """
     reader = _Reader()
     reader.feed(_CUT_TAG.sub("", html or ""))
     reader.finish()
-    sizes: dict[str, int] = {}
-    for text, region, _ in reader.blocks:
-        sizes[region] = sizes.get(region, 0) + len(text)
-    articles = [r for r in sizes if r.startswith("article")]
-    chosen = max(articles, key=lambda r: (sizes[r], -int(r.split()[1]))) if articles else "main" if "main" in sizes else None
+    dropped = reader.dropped
+
+    def left(but: set[int]) -> list[_Text]:
+        return [b for b in reader.blocks if all(n not in dropped or n in but for n in b.marks)]
+
+    def of_kinds(*kinds: str) -> set[int]:
+        return {n for n, kind in dropped.items() if kind in kinds}
+
+    blocks = left(set())
+    chosen = _chosen(blocks)
+    regional, found = sum(len(b.text) for b in blocks if b.region), []
+    for region, marks in reader.outer.items():
+        around = {n for n in marks if n in dropped}
+        if around and all(dropped[n] in ("name", "wrap") for n in around):
+            inside = left(around)
+            size = sum(len(b.text) for b in inside if b.region == region)
+            if size > regional:
+                found.append((region != "main", size, region, inside))
+    if found:
+        _, _, chosen, blocks = max(found, key=lambda f: f[:2])
+    if chosen is None:
+        whole = left(of_kinds("wrap"))
+        if sum(len(b.text) for b in whole) > 2 * sum(len(b.text) for b in blocks):
+            blocks, chosen = whole, _chosen(whole)
+    for kinds in (("wrap", "name"), ("wrap", "name", "other")):
+        if not blocks:
+            blocks = left(of_kinds(*kinds))
+            chosen = _chosen(blocks)
+    untitled = chosen not in (None, "main") and not any(b.title for b in blocks if b.region == chosen)
     return [
-        (text, [reader.hashes[n] for n in around if n in reader.hashes])
-        for text, region, around in reader.blocks if chosen is None or region == chosen
+        (b.text, [reader.hashes[n] for n in b.around if n in reader.hashes])
+        for b in blocks
+        if chosen is None or b.region == chosen or untitled and b.title and b.region == "main"
     ]
 
 

@@ -33,6 +33,40 @@ def test_odd_pages():
     assert len(texts("<div>" * 3000 + "deep")) == 1
 
 
+def test_names_of_wrappers_and_headings():
+    story = "<article><h1>Title</h1><p>Story.</p></article>"
+    want = ["Title", "Story."]
+    for around in ('div id="content-sidebar-wrap"', 'div class="layout has-sidebar"', 'div class="sidebar"', "form", 'section role="search"'):
+        tag = around.split()[0]
+        assert texts(f"<body><div>Brand bar</div><{around}>{story}</{tag}></body>") == want, around
+        assert texts(f"<body><{around}><main>{story[9:-10]}</main></{tag}></body>") == want, around
+        assert texts(f"<body><{around}>{story[9:-10]}</{tag}></body>") == want, around
+    inside = [
+        '<h2 id="related-work">A</h2>', '<section id="search-engines"><h2>A</h2></section>', '<div class="article-header"><h1>A</h1></div>',
+        '<p id="notice">A</p>', '<div class="header"><h1>A</h1></div>', '<h2 class="banner">A</h2>',
+    ]
+    for part in inside:
+        assert texts(f"<article>{part}<p>Story.</p></article>") == ["A", "Story."], part
+    assert texts('<form action="/"><a href="/">Home</a><div><h2>A</h2><p>A long story.</p></div></form><p>x</p>') == ["Home", "A", "A long story.", "x"]
+    assert texts("<main><header><h1>Title</h1></header><p>x</p><article><p>Story.</p></article></main>") == want
+    assert texts("<h1>Site</h1><main><h1>Other</h1><article><h1>Title</h1><p>Story.</p></article></main>") == want
+
+
+def test_parts_of_the_site_still_go():
+    story = "<article><h1>Title</h1><p>Story.%s</p>%s</article>"
+    want = ["Title", "Story."]
+    links = '<div class="related-posts"><a href="/1">One more story</a> <a href="/2">Another one</a></div>'
+    more = "<p>longer longer longer longer longer</p>"
+    for inner, after in (
+        ("<span class=share>share</span>", ""), ("", links), ("", '<div id="cookie-notice">Cookies!</div>'), ("", "<form>Sign up</form>"),
+        ("", f"<nav>{more}</nav>"), ("", f'<section class="comments">{more}</section>'), ("", '<p class="ad">Buy</p>'),
+    ):
+        assert texts(story % (inner, after)) == want, after
+    for outside in (f'<div class="comments"><article>{more}</article></div>', f"<aside><article>{more}</article></aside>", f'<article id="comment-7">{more}</article>'):
+        assert texts(f"<main>{story % ('', '')}</main>{outside}") == want, outside
+    assert texts(f"<nav>{more}</nav><div class=ad>Buy</div><article></article>") == []
+
+
 def test_repeated_subtrees_go_and_shared_passages_stay(spark):
     def page(i, extra=""):
         return f"<body><div>Brand bar</div><article><p>Text {i} here</p><p>Shared passage</p>{extra}<div>Read on</div></article></body>"
