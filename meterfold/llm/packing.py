@@ -17,7 +17,7 @@ CAPACITY = 2048
 #: Chunks of text whose ids one Python worker remembers, and the longest of them.
 KEPT_CHUNKS, KEPT_LENGTH = 500_000, 48
 #: Choices the search may take before it returns its best packing so far.
-NODES = 2_000
+NODES = 20_000
 
 _encoders: dict[str, "Encoder"] = {}
 

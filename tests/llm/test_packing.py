@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import inspect
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -126,3 +127,9 @@ def test_numbering_is_spread(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), tokenizer_file()).count() == 0
+
+
+def test_search_is_not_cut_short():
+    """The search of a plan and of a job may take 20,000 fillings unless told otherwise."""
+    for job in (packing.plan, packing.pack):
+        assert inspect.signature(job).parameters["nodes"].default == 20_000
