@@ -42,7 +42,8 @@ def tags(spark: SparkSession, folder: str) -> DataFrame:
         max_voltage, anomalies_count FROM l4""",
 )
 def drop_column(spark: SparkSession, folder: str) -> DataFrame:
-    return si.level4(spark, folder).drop("energy_units", "voltage_units", "current_units")
+    inner = [name for name in rollup.STATE if name.endswith(("_units", "_count")) and name != "anomalies_count"]
+    return si.level4(spark, folder).drop(*inner)
 
 
 PLACES_SQL = """places AS (
