@@ -5,6 +5,7 @@ with a hot key sends a third of them there. Here the order is cut into buckets
 by an expression that never decreases along it (a day, a block of ids). Rows
 are numbered inside their bucket and shifted by the totals of the buckets
 before it; only the bucket totals, one row each, are ever ordered as a whole.
+:func:`sorted_positions` needs no such expression: it sorts the rows into ranges.
 """
 
 from __future__ import annotations
@@ -14,6 +15,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterfold import scratch
+
+#: A monotonically increasing id is the partition number above so many bits of row number.
+_ROW_BITS = 33
+
 
 def id_block(column: str, width: int) -> Column:
     """Bucket for a whole-number order column: blocks of ``width`` ids.
@@ -96,3 +102,48 @@ def positions(
     for name, source in running.items():
         added.append((F.col(f"_before_{name}") + F.sum(source).over(so_far)).alias(name))
     return joined.select(*rows.columns, *added)
+
+
+def sorted_positions(
+    rows: DataFrame,
+    order_by: Sequence[str],
+    keys: Sequence[str] = (),
+    position: str = "position",
+    total: str | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add the 1-based place of each row along ``order_by`` within ``keys``.
+
+    A sample sort with prefix sums: rows are dealt by ranges of (``keys``, ``order_by``),
+    sorted inside each range and stored once with their number in it; the counts per
+    range, few rows, give each range its shift. Ranges come from a sample of the rows
+    themselves, so neither a hot key nor far outliers make one of them large. Rows
+    that tie along all of ``order_by`` take places in any order.
+
+    ``total`` names a column for the number of rows of the key. Nulls come first.
+    """
+    by = [*keys, *order_by]
+    number = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()
+    table = scratch.stored(
+        rows.repartitionByRange(number, *by)
+        .sortWithinPartitions(*by)
+        .withColumn("_place", place)
+        .withColumn("_range", F.shiftright("_place", _ROW_BITS))
+        .withColumn("_place", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))),
+        "sorted",
+    )
+    parts = [*keys, "_range"]
+    counted = table.groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counted.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(parts)],
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+        F.sum("_rows").over(whole).alias("_total"),
+    )
+    same = [table[c].eqNullSafe(shifts[f"_k{i}"]) for i, c in enumerate(parts)]
+    added = [(F.col("_place") + F.col("_shift")).alias(position)]
+    if total:
+        added.append(F.col("_total").alias(total))
+    return table.join(shifts, same).select(*rows.columns, *added)
