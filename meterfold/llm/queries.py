@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.llm import decontaminate, html_template, line_dedup, ngram_lm, packing, quality, recompression, rules, simhash, suffix_array, url_lists
+from meterfold.llm import decontaminate, html_template, line_dedup, merkle, ngram_lm, packing, quality, recompression, rules, simhash, suffix_array, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +96,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op11_line_dedup", line_dedup.SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.without_common_lines(_table(spark, folder, "documents"), with_text=False).drop("kept")
+
+
+@_query("op13_merkle_manifest", merkle.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(_table(spark, folder, "documents"), merkle.every_fifth())
