@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.llm import decontaminate, html_template, line_dedup, merkle, ngram_lm, packing, quality, recompression, rules, simhash, suffix_array, url_lists
+from meterfold.llm import decontaminate, html_template, line_dedup, merkle, ngram_lm, packing, quality, ranked_search, recompression, rules, simhash, suffix_array, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +101,8 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op13_merkle_manifest", merkle.SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified(_table(spark, folder, "documents"), merkle.every_fifth())
+
+
+@_query("op12_ranked_lexical_search", ranked_search.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=20)
