@@ -9,6 +9,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark drops the shuffle files of a finished statement while this holds.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_FOLDER: str | None = None
 _CREATED: list[str] = []
 
@@ -42,11 +44,17 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
 
     A roll-up level is small next to the readings it comes from. Written once,
     it saves each branch a pass over the readings (branches that need different
-    columns share no shuffle), and its size is known when joins are planned.
+    columns share no shuffle), and its size is known when joins are planned. The
+    shuffle files that led to it go as soon as it is written.
     """
     spark = rows.sparkSession
     path = new_path(spark, label)
-    rows.write.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(rows.schema).parquet(path)
 
 
