@@ -12,95 +12,153 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterfold import scratch
+from meterfold.llm.text import ASCII_LOWER, Block, blocks, mix
 
 CAPACITY = 2048
-#: Chunks of text whose ids one Python worker remembers, and the longest of them.
-KEPT_CHUNKS, KEPT_LENGTH = 500_000, 48
-#: Choices the search may take before it returns its best packing so far.
-NODES = 20_000
+#: Different parts of words whose ids one Python worker remembers.
+KEPT_PARTS = 2_000_000
+#: Text that is cut into parts at once.
+TEXT_BYTES = 1 << 21
+#: Fillings the search may take, and sizes it may look at, before it returns its best packing so far.
+NODES, WORK = 20_000, 3_000_000
 
 _encoders: dict[str, "Encoder"] = {}
 
-
-class _Memory:
-    """A bounded store. What was not asked for since the last turn is forgotten."""
-
-    def __init__(self, size: int):
-        self._size, self.new, self._old = size // 2, {}, {}
-
-    def get(self, key: str) -> bytes | None:
-        found = self.new.get(key)
-        if found is None and (found := self._old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(key) <= KEPT_LENGTH:
-            if len(self.new) >= self._size:
-                self._old, self.new = self.new, {}
-            self.new[key] = value
+# Kinds of bytes: white space, letter, digit, other sign; the rest makes a chunk odd.
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KIND = np.full(256, _ODD, dtype=np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _LETTER
+_KIND[[0x20, 0x0A]] = _SPACE
+_NOT_SPACE = _KIND != _SPACE
+#: The second byte of Latin-1 letters, and of those in upper case.
+_LATIN = np.zeros(256, dtype=bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+_LATIN_UPPER = _LATIN.copy()
+_LATIN_UPPER[0x9F:] = False
+#: Bytes as the signs that stand for them in the tokenizer's model: printable ones as they are, the others from 256 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SIGNS = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+#: Endings that the tokenizer takes together with the apostrophe before them.
+_ENDINGS = (b"s", b"t", b"m", b"d", b"re", b"ve", b"ll")
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit numbers.
-
-    The tokenizer never joins characters across a space or line end, so ids of the
-    chunks between them, one after another, are the ids of the text. A chunk seen before
-    is looked up; a new one is split by the tokenizer's own normaliser and
-    pre-tokenizer, and its parts are looked up in turn.
+    """Ids of texts, a block of texts at a time.
+
+    The tokenizer never joins characters across a space or line end. A chunk between two of
+    them made of printable ASCII signs and Latin-1 letters falls into the parts its
+    pre-tokenizer makes: runs of letters, single digits, runs of other signs, an apostrophe
+    with its ending. Parts are known by a 64-bit name of their lower-case bytes; a new one
+    goes through the tokenizer's model once. Any other chunk (other characters, control
+    characters, perhaps a special token) is one part, and goes through the whole
+    tokenizer once.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._chunks, self._parts = _Memory(KEPT_CHUNKS), _Memory(KEPT_CHUNKS)
-
-    def _part(self, part: str) -> bytes:
-        found = self._parts.get(part)
-        if found is None:
-            found = np.array([t.id for t in self._tokenizer.model.tokenize(part)], dtype="<u4").tobytes()
-            self._parts.put(part, found)
-        return found
-
-    def _encoded(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks without spaces or special tokens, split in one call."""
-        line = self._tokenizer.normalizer.normalize_str(" ".join(chunks))
-        parts = self._tokenizer.pre_tokenizer.pre_tokenize_str(line)
-        found, k = [], 0
-        end = -1
-        for chunk in line.split(" "):
-            end += len(chunk) + 1
-            own = []
-            while k < len(parts) and parts[k][1][0] < end:
-                own.append(self._part(parts[k][0]))
-                k += 1
-            found.append(b"".join(own))
-        return found
-
-    def ids(self, text: str) -> bytes:
-        chunks, new = text.replace("\n", " ").split(" "), self._chunks.new
-        try:
-            return b"".join([new[c] for c in chunks])
-        except KeyError:
-            pass
-        known, missing = {"": b""}, []
-        for c in set(chunks) - {""}:
-            found = self._chunks.get(c)
-            if found is None:
-                missing.append(c)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._names = np.zeros(0, np.uint64)
+        self._starts, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._flat = np.zeros(0, "<u4")
+
+    def _learn(self, names: np.ndarray, odd: np.ndarray, parts: list[bytes]) -> None:
+        """Remember the ids of new parts; ``names`` are sorted."""
+        encode, model, found = self._tokenizer.encode, self._tokenizer.model.tokenize, []
+        for is_odd, part in zip(odd.tolist(), parts):
+            if is_odd:
+                found.append(encode(part.decode("utf-8"), add_special_tokens=False).ids)
             else:
-                known[c] = found
-        plain = [c for c in missing if c.isprintable() and not any(t in c for t in self._special)]
-        for at in range(0, len(plain), 4096):
-            known.update(zip(plain[at : at + 4096], self._encoded(plain[at : at + 4096])))
-        for c in missing:
-            if c not in known:
-                ids = self._tokenizer.encode(c, add_special_tokens=False).ids
-                known[c] = np.array(ids, dtype="<u4").tobytes()
-            self._chunks.put(c, known[c])
-        return b"".join([known[c] for c in chunks])
+                text = part.decode("latin-1")
+                found.append([t.id for t in model(text if text.isascii() else text.translate(_SIGNS))])
+        sizes = np.array([len(f) for f in found], dtype=np.int64)
+        starts = len(self._flat) + np.cumsum(sizes) - sizes
+        self._flat = np.concatenate((self._flat, np.array([i for f in found for i in f], dtype="<u4")))
+        at = np.searchsorted(self._names, names)
+        self._names = np.insert(self._names, at, names)
+        self._starts, self._sizes = np.insert(self._starts, at, starts), np.insert(self._sizes, at, sizes)
+
+    @staticmethod
+    def _parts(block: Block) -> tuple[Block, np.ndarray, np.ndarray, np.ndarray]:
+        """The block in lower case, starts and ends of the parts in it, and which are odd chunks."""
+        data = block.data
+        starts, ends, _ = block.words(_NOT_SPACE)
+        kind, folded = _KIND[data], ASCII_LOWER[data]
+        latin = np.flatnonzero(data[:-1] == 0xC3)
+        latin = latin[_LATIN[data[latin + 1]]]
+        kind[latin] = kind[latin + 1] = _LETTER
+        upper = latin[_LATIN_UPPER[data[latin + 1]]] + 1
+        folded[upper] += 0x20
+        lower = Block(folded, block.offsets, block.first)
+        if not len(starts):
+            return lower, starts, ends, np.zeros(0, bool)
+        opens = np.zeros(len(data) + 1, dtype=bool)
+        opens[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        opens[starts] = True
+        mark = np.append(np.flatnonzero((data == 0x27) & opens[:-1]), len(data))
+        chunk_end = np.append(ends[np.searchsorted(starts, mark[:-1], "right") - 1], 0)
+        taken = np.zeros(len(mark), dtype=bool)
+        for ending in _ENDINGS:
+            fits = ~taken & (mark + 1 + len(ending) <= chunk_end)
+            for k, byte in enumerate(ending):
+                fits &= folded[np.minimum(mark + 1 + k, len(data) - 1)] == byte
+            at = mark[fits]
+            opens[at + 1] = False
+            after = at + 1 + len(ending)
+            opens[after[after < len(data)]] |= kind[after[after < len(data)]] != _SPACE
+            taken |= fits
+        # A chunk with an odd byte, or with what may open a special token, stays whole.
+        odd_byte = kind == _ODD
+        odd_byte[:-1] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)
+        before = np.append(0, np.cumsum(odd_byte))
+        odd = before[ends] > before[starts]
+        if odd.any():
+            change = np.zeros(len(data) + 1, dtype=np.int8)
+            change[starts[odd]] += 1
+            change[ends[odd]] -= 1
+            opens[:-1] &= np.cumsum(change[:-1]) == 0
+            opens[starts] = True
+        opens[:-1] &= kind != _SPACE
+        opens[-1] = False
+        first = np.flatnonzero(opens)
+        chunk = np.searchsorted(starts, first, "right") - 1
+        last = np.minimum(np.append(first[1:], len(data)), ends[chunk])
+        return lower, first, last, odd[chunk]
+
+    def _unknown(self, names: np.ndarray) -> np.ndarray:
+        if not len(self._names):
+            return np.ones(len(names), dtype=bool)
+        return self._names[np.minimum(np.searchsorted(self._names, names), len(self._names) - 1)] != names
+
+    def ids(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a block one after another, and where each text starts."""
+        lower, first, last, odd = self._parts(block)
+        names = lower.names(first, last)
+        if odd.any():
+            names[odd] = mix(block.names(first[odd], last[odd]) + np.uint64(1))
+        own, at, inverse = np.unique(names, return_index=True, return_inverse=True)
+        new = self._unknown(own)
+        if len(self._names) + new.sum() > KEPT_PARTS:
+            self._forget()
+            new[:] = True
+        if new.any():
+            first_of, is_odd = at[new], odd[at[new]]
+            raw, plain = block.data.tobytes(), lower.data.tobytes()
+            bounds = zip(is_odd.tolist(), first[first_of].tolist(), last[first_of].tolist())
+            self._learn(own[new], is_odd, [(raw if o else plain)[a:b] for o, a, b in bounds])
+        place = np.searchsorted(self._names, own)
+        sizes = self._sizes[place][inverse]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self._starts[place][inverse] - ends + sizes, sizes)
+        found = self._flat[shift + np.arange(len(shift))]
+        bounds = np.append(0, ends)[np.searchsorted(first, block.offsets)]
+        return found, bounds
 
 
 def encoder(path: str) -> Encoder:
@@ -114,19 +172,23 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(path).ids
+        known = encoder(path)
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                doc, ids = doc.as_py(), ids_of(text.as_py() or "") + b"\0\0\0\0"
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    for held, value in zip(rows, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))):
-                        held.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(rows, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"]
-            )
+            docs = batch.column(0).to_pylist()
+            for block in blocks(batch.column(1), TEXT_BYTES):
+                ids, bounds = known.ids(block)
+                rows: tuple[list, ...] = ([], [], [], [], [])
+                for doc, low, high in zip(docs[block.first :], bounds[:-1].tolist(), bounds[1:].tolist()):
+                    own = ids[low:high].tobytes() + b"\0\0\0\0"
+                    for piece, at in enumerate(range(0, len(own), 4 * capacity)):
+                        part = own[at : at + 4 * capacity]
+                        for held, value in zip(rows, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))):
+                            held.append(value)
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, k) for v, k in zip(rows, kinds)],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     return run
 
@@ -144,7 +206,13 @@ Pattern = tuple[tuple[int, ...], int]  #: lengths in one bin, and how many such
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """No packing has fewer bins: by volume, and by what large pieces leave for others."""
+    """No packing has fewer bins.
+
+    By volume; by what large pieces leave for others; and by dual feasible functions: if a
+    length s counts as floor((k + 1) s / capacity) / k of a bin, no bin holds more than one.
+    Before that, pieces up to some length may count as nothing, if those that
+    leave no more than that length free count as whole bins.
+    """
     total = sum(n * c for n, c in counts.items())
     best = -(-total // capacity)
     for least in sorted({n for n in counts if n <= capacity // 2} | {0}):
@@ -153,6 +221,20 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
         room = sum((capacity - n) * c for n, c in counts.items() if capacity // 2 < n <= capacity - least)
         small = sum(n * c for n, c in counts.items() if least <= n <= capacity // 2)
         best = max(best, huge + large + max(0, -(-(small - room) // capacity)))
+    if not counts:
+        return 0
+    lengths, many = (np.array(c, dtype=np.int64) for c in zip(*sorted(counts.items())))
+    limits = np.append(0, lengths[lengths <= capacity // 2])
+    for k in range(1, 101):
+        whole = (k + 1) * lengths % capacity == 0
+        # Shares in units of 1 / (k (k + 1)); a length that divides evenly counts as it is.
+        share = np.where(whole, (k + 1) * lengths // capacity * k, (k + 1) * lengths // capacity * (k + 1))
+        parts = np.append(0, np.cumsum(share * many))
+        counted = np.append(0, np.cumsum(many))
+        low = np.searchsorted(lengths, limits, "left")
+        high = np.maximum(np.searchsorted(lengths, capacity - limits, "right"), low)
+        units = parts[high] - parts[low] + (counted[-1] - counted[high]) * k * (k + 1)
+        best = max(best, -(-int(units.max()) // (k * (k + 1))))
     return best
 
 
@@ -184,101 +266,133 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return [p for group in open_bins.values() for p in group]
 
 
-def _fillings(counts: Counter, sizes: list[int], room: int, most_waste: int, wanted: int = 6) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room``, least waste first.
+def _grown(sums: int, length: int, times: int, mask: int) -> int:
+    """Reachable sums, as bits of a number, with up to so many pieces of a length more."""
+    step = 1
+    while times > 0:
+        step = min(step, times)
+        sums |= sums << length * step & mask
+        times -= step
+        step *= 2
+    return sums
 
-    A filling is dominated if some of its pieces could give way to one larger piece
-    that fits as well: the smaller ones are easier to place elsewhere.
-    """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    tries = 0
-
-    def dominated(chosen: tuple[int, ...], waste: int) -> bool:
-        sums = {0: ()}
-        for x in chosen:
-            sums |= {s + x: (*p, x) for s, p in list(sums.items()) if len(p) < 4}
-        held = Counter(chosen)
-        for s, part in sums.items():
-            for x in range(s + (len(part) == 1), s + waste + 1):
-                if x and part != (x,) and counts.get(x, 0) > held[x] and (s or x <= waste):
-                    return True
-        return False
-
-    def fill(chosen: tuple[int, ...], left: int, start: int) -> None:
-        nonlocal tries
-        used, fits = Counter(chosen), 0
-        for k in range(start, len(sizes)):
-            x = sizes[k]
-            if x > left or counts[x] <= used[x]:
-                continue
-            if tries > 400 or len(found) >= wanted:
-                return
-            tries, fits = tries + 1, fits + 1
-            fill((*chosen, x), left - x, k)
-            if x == left or fits >= 4:
-                return
-        if not fits and left <= most_waste and not dominated(chosen, left):
-            found.append((left, chosen))
 
-    fill((), room, 0)
-    return [c for _, c in sorted(found, key=lambda f: (f[0], len(f[1])))]
+def _dominated(chosen: tuple[int, ...], waste: int, free: int) -> bool:
+    """Whether some of the pieces could give way to one larger free piece that fits as well.
 
-
-def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
+    ``free`` has a bit for each length of which pieces are left. Two or more pieces may also
+    give way to one of their common length: the smaller ones are easier to place elsewhere.
+    """
+    one = several = 0
+    for n in chosen:
+        several |= (several | one) << n
+        one |= 1 << n
+    reach, width = (1 | one | several) << 1, 1
+    while width < waste:
+        step = min(width, waste - width)
+        reach |= reach << step
+        width += step
+    return bool(((reach if waste else 0) | several) & free)
+
+
+def _fillings(
+    left: dict[int, int], room: int, most_waste: int, work: list[int]
+) -> Iterator[tuple[int, ...]]:
+    """Undominated ways to fill ``room``, least waste first, then larger pieces first.
+
+    Sums that the shorter lengths can reach are kept as bits, so only branches with
+    a solution are entered. Looking at a length costs one of ``work[0]``; without any
+    left the search ends.
+    """
+    sizes = sorted((n for n, c in left.items() if c and n <= room), reverse=True)
+    work[0] -= len(sizes)
+    mask, reach = (1 << room + 1) - 1, [1]
+    for n in reversed(sizes):
+        reach.append(_grown(reach[-1], n, min(left[n], room // n), mask))
+    reach.reverse()
+
+    def fill(first: int, target: int, used: int) -> Iterator[tuple[int, ...]]:
+        if not target:
+            yield ()
+            return
+        for k in range(first, len(sizes)):
+            if not reach[k] >> target & 1 or work[0] <= 0:
+                return
+            work[0] -= 1
+            n = sizes[k]
+            taken = used if k == first else 0
+            if n <= target and taken < left[n] and reach[k] >> target - n & 1:
+                for more in fill(k, target - n, taken + 1):
+                    yield (n, *more)
+
+    free = sum(1 << n for n, c in left.items() if c)
+    for waste in range(min(room, most_waste) + 1):
+        if reach[0] >> room - waste & 1:
+            for chosen in fill(0, room - waste, 0):
+                gone = sum(1 << n for n, c in Counter(chosen).items() if c >= left[n])
+                if not _dominated(chosen, waste, free & ~gone):
+                    yield chosen
+        if work[0] <= 0:
+            return
+
+
+def plan(
+    counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, work: int = WORK
+) -> list[Pattern]:
     """Bins for so many pieces of each length.
 
     Branch and bound by bin completion: the largest piece left opens a bin, and the search
     branches over its undominated fillings. A filling is used for as many bins as
     its pieces allow. Best-fit decreasing gives the first packing to beat; a branch
-    whose waste rules out a better one is cut, and the search ends at the lower
-    bound or after ``nodes`` fillings. Its size follows the number of lengths,
-    of which there are at most ``capacity``, not the number of pieces.
+    whose waste rules out a better one is cut. The search ends at the lower bound, or after
+    ``nodes`` fillings or ``work`` looks at a length, whichever comes first, with the best
+    packing so far. Its time follows the number of lengths, of which there are at most
+    ``capacity``, not the number of pieces.
     """
     counts = {n: c for n, c in counts.items() if c}
     total = sum(n * c for n, c in counts.items())
     bound, best = lower_bound(counts, capacity), best_fit(counts, capacity)
     fewest = sum(m for _, m in best)
-    left, chosen, waste = Counter(counts), [], 0
-    stack: list[tuple[list[tuple[int, ...]], int]] = []
+    left, waste, looks = Counter(counts), 0, [work]
+    stack: list[tuple[int, Iterator[tuple[int, ...]]]] = []
+    chosen: list[Pattern] = []
 
-    def branch() -> tuple[list[tuple[int, ...]], int]:
-        sizes = sorted((n for n, c in left.items() if c), reverse=True)
-        largest = sizes[0]
-        left[largest] -= 1
+    def opened() -> tuple[int, Iterator[tuple[int, ...]]]:
+        largest = max(n for n, c in left.items() if c)
+        others = {n: c - (n == largest) for n, c in left.items()}
         slack = (fewest - 1) * capacity - total - waste
-        ways = _fillings(left, sizes, capacity - largest, slack)
-        left[largest] += 1
-        return [(largest, *w) for w in reversed(ways)], waste
-
-    while fewest > bound and nodes > 0:
-        if not +left:
-            bins = sum(m for _, m in chosen)
-            if bins < fewest:
-                best, fewest = list(chosen), bins
-        elif len(stack) == len(chosen):
-            stack.append(branch())
-        ways = stack[-1][0] if len(stack) > len(chosen) else []
-        if not ways:
-            if len(stack) > len(chosen):
-                stack.pop()
-            if not chosen:
-                break
+        return largest, _fillings(others, capacity - largest, slack, looks)
+
+    if fewest > bound:
+        stack.append(opened())
+    while stack and fewest > bound and nodes > 0 and looks[0] > 0:
+        if len(chosen) == len(stack):
             lengths, many = chosen.pop()
             left.update({n: c * many for n, c in Counter(lengths).items()})
             waste -= (capacity - sum(lengths)) * many
+        largest, ways = stack[-1]
+        way = next(ways, None)
+        if way is None:
+            stack.pop()
             continue
         nodes -= 1
-        lengths = ways.pop()
-        need = Counter(lengths)
+        lengths = (largest, *way)
+        need, spare = Counter(lengths), capacity - largest - sum(way)
         many = min(left[n] // c for n, c in need.items())
-        spare = capacity - sum(lengths)
+        allowed = (fewest - 1) * capacity - total - waste
         if spare:
-            many = min(many, max(1, ((fewest - 1) * capacity - total - waste) // spare))
-        if waste + spare * many > (fewest - 1) * capacity - total:
+            many = min(many, max(1, allowed // spare))
+        if spare * many > allowed:
             continue
         chosen.append((lengths, many))
         left.subtract({n: c * many for n, c in need.items()})
         waste += spare * many
+        if any(left.values()):
+            stack.append(opened())
+            continue
+        bins = sum(m for _, m in chosen)
+        if bins < fewest:
+            best, fewest = list(chosen), bins
     return best
 
 

@@ -6,11 +6,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from meterfold.llm import packing
 from meterfold.llm.queries import tokenizer_file
+from meterfold.llm.text import blocks
 
 ODD = [
     "á b", "ΣΑΣ ΟΔΟΣ. x", "İstanbul ǅ ﬁ", "don't we'll x's 's 'S", "a_b 12,3 ½ ²", "<|startoftext|> a<|endoftext|>b <|STARTOFTEXT|>",
@@ -30,12 +32,15 @@ def ids_of(tokenizer, text):
 
 
 def test_encoder_gives_the_ids_of_the_tokenizer(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "KEPT_CHUNKS", 16)
+    monkeypatch.setattr(packing, "KEPT_PARTS", 16)
     encoder = packing.Encoder(tokenizer_file())
     rng = random.Random(1)
     texts = ODD + [" ".join(rng.choice(ODD) for _ in range(6)) for _ in range(60)]
-    for text in texts * 2:
-        assert encoder.ids(text) == ids_of(tokenizer, text), repr(text)
+    for some in [[t] for t in texts * 2] + [texts, texts[:30] * 3]:
+        (block,) = blocks(pa.array(some))
+        ids, bounds = encoder.ids(block)
+        for text, low, high in zip(some, bounds, bounds[1:]):
+            assert ids[low:high].tobytes() == ids_of(tokenizer, text), repr(text)
 
 
 def check_plan(counts, capacity=2048, **settings):
@@ -133,3 +138,36 @@ def test_search_is_not_cut_short():
     """The search of a plan and of a job may take 20,000 fillings unless told otherwise."""
     for job in (packing.plan, packing.pack):
         assert inspect.signature(job).parameters["nodes"].default == 20_000
+
+
+def test_bounds_and_search_of_hard_lengths():
+    """Many documents of few lengths: a proven bound where best fit is right, fewer bins where it is not."""
+    rng = random.Random(1)
+    assert check_plan({700: 10_000} | Counter(rng.randint(90, 400) for _ in range(8_000))) == 5_000
+    counts = Counter(rng.randint(300, 1000) for _ in range(30_000))
+    best_fit = sum(m for _, m in packing.best_fit(counts, 2048))
+    assert check_plan(counts, work=1_000_000) < 0.98 * best_fit
+
+
+def test_fillings_are_complete_and_undominated():
+    rng = random.Random(6)
+    for _ in range(200):
+        left = Counter(rng.randint(1, 12) for _ in range(rng.randint(1, 7)))
+        room = rng.randint(1, 20)
+        every = {()}
+        for n, c in left.items():
+            every |= {tuple(sorted((*f, *[n] * k), reverse=True)) for f in every for k in range(1, c + 1)}
+        every = {f for f in every if sum(f) <= room}
+
+        def beaten(f):
+            subsets = {()}
+            for n in f:
+                subsets |= {(*s, n) for s in subsets}
+            free = [n for n, c in left.items() if c > f.count(n)]
+            return any(
+                (sum(s) < n or len(s) > 1 and sum(s) == n) and sum(f) - sum(s) + n <= room for s in subsets for n in free
+            )
+
+        found = list(packing._fillings(left, room, room, [10**6]))
+        assert len(found) == len(set(found))
+        assert set(found) == {f for f in every if not beaten(f)}
