@@ -235,7 +235,8 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. A null text has no words.
     Earlier is a smaller ``doc_id``, or the same one and an earlier start; windows are judged
     on the input. Rows that repeat a ``doc_id`` with its text are one document and come
-    back alike; a row without a ``doc_id`` comes back whole. ``kept`` holds the kept words
+    back alike; texts that share a ``doc_id`` are documents of their own, in the order of
+    their digests. A row without a ``doc_id`` comes back whole. ``kept`` holds the kept words
     with one space between them.
 
     Rounds name runs of one symbol, then pairs of a left and a right symbol, after nothing
@@ -244,9 +245,10 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     the same one; shared symbols reveal repeats, the names of whole runs and
     windows verify them.
     """
-    rows = _texts(docs)
+    rows = repeats.with_variants(_texts(docs))
     found = repeats.repeated(rows, runs, windows)
-    return rows.join(found, "doc_id", "left").select("doc_id", "text", "repeats").mapInArrow(_kept(with_text), RESULT)
+    joined = rows.join(found, [*repeats.DOC], "left").select("doc_id", "text", "repeats")
+    return joined.mapInArrow(_kept(with_text), RESULT)
 
 
 def _replaced(at: int):
@@ -267,9 +269,14 @@ def _replaced(at: int):
 
 
 def cut_texts(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated words gone from ``text``; texts without any stay as they are."""
-    found = repeats.repeated(_texts(docs), runs, windows).withColumnRenamed("doc_id", "found_id")
+    """``docs`` with the repeated words gone from ``text``; texts without any stay as they are.
+
+    Documents are those of :func:`without_repeats`; all columns come back as they were.
+    """
     rows = docs.select(F.struct("*").alias("kept_row"))
-    joined = rows.join(found, F.col("kept_row.doc_id") == F.col("found_id"), "left").select("kept_row", "repeats")
+    texts = F.col("kept_row.doc_id").cast("bigint").alias("doc_id"), F.col("kept_row.text").cast("string").alias("text")
+    rows = repeats.with_variants(rows.select("kept_row", *texts))
+    found = repeats.repeated(rows, runs, windows)
+    joined = rows.join(found, [*repeats.DOC], "left").select("kept_row", "repeats")
     kind = f"kept_row {rows.schema['kept_row'].dataType.simpleString()}"
     return joined.mapInArrow(_replaced(docs.columns.index("text")), kind).select("kept_row.*")

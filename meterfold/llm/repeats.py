@@ -7,7 +7,8 @@ how they give each window an anchor; both hand over runs of windows that share o
 * ``name`` names all units the run covers, so equal (``key``, ``name``) are equal runs.
 * ``start`` and ``count`` are its first window and how many windows it has.
 
-Spark sorts the runs by (key, name, document, start). A run that equals an earlier
+A document is a ``doc_id`` and its text: where an id comes with several texts, ``variant`` is a digest
+of the text, else 0. Spark sorts the runs by (key, name, document, start). A run that equals an earlier
 one repeats whole. Where different runs share a key, as at the ends of a repeated
 passage, their windows are named one by one and sorted again. A key on its own is unique:
 none of its windows can occur elsewhere.
@@ -35,8 +36,9 @@ from meterfold.llm.text import Block, blocks, mix
 #: share of the sampled runs is one. There are at most as many as the share allows.
 SAMPLE_ONE_IN, SPREAD_SHARE = 64, 1 / 20_000
 
-RUNS = "key bigint, name bigint, doc_id bigint, start int, count int, settled boolean, spread boolean"
-MARKS = "doc_id bigint, start int, count int, open boolean"
+DOC = ("doc_id", "variant")
+RUNS = "key bigint, name bigint, doc_id bigint, variant bigint, start int, count int, settled boolean, spread boolean"
+MARKS = "doc_id bigint, variant bigint, start int, count int, open boolean"
 #: What a first refinement may leave with its rows for a second one without the texts.
 DETAILS = ("core", "left", "right", "shift")
 _DETAILS = "".join(f", {n} bigint" for n in DETAILS)
@@ -46,36 +48,41 @@ _NO_KEYS = np.zeros(0, np.uint64)
 Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _emit(docs: np.ndarray, parts: list[Runs], hot: np.ndarray = _NO_KEYS) -> pa.RecordBatch:
+def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(batch.column(n).to_numpy(zero_copy_only=False) for n in DOC)
+
+
+def _emit(docs: tuple[np.ndarray, np.ndarray], parts: list[Runs], hot: np.ndarray = _NO_KEYS) -> pa.RecordBatch:
     """Rows of a batch; a run that equals an earlier one of the batch is settled here."""
     key, name, row, start, count, *more = (np.concatenate(p) for p in zip(*parts))
-    doc = docs[row]
-    order = np.lexsort((start, doc, name, key))
-    key, name, doc, start, count = key[order], name[order], doc[order], start[order], count[order]
+    doc, variant = docs[0][row], docs[1][row]
+    order = np.lexsort((start, variant, doc, name, key))
+    key, name, start, count = key[order], name[order], start[order], count[order]
+    doc, variant = doc[order], variant[order]
     more = [m[order] for m in more]
     fresh = np.ones(len(key), dtype=bool)
     fresh[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
     lead = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0))
-    settled = (doc != doc[lead]) | (start != start[lead])
+    settled = (doc != doc[lead]) | (variant != variant[lead]) | (start != start[lead])
     spread = np.isin(key, hot) if len(hot) else np.zeros(len(key), dtype=bool)
     # A settled run only passes through the sort: it goes anywhere.
     place = mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
     key = np.where(settled, place, key)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(doc),
+            pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(doc), pa.array(variant),
             pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(settled), pa.array(spread),
             *(pa.array(m.view(np.int64)) for m in more),
         ],
-        names=["key", "name", "doc_id", "start", "count", "settled", "spread", *DETAILS[: len(more)]],
+        names=["key", "name", *DOC, "start", "count", "settled", "spread", *DETAILS[: len(more)]],
     )
 
 
 def _all_runs(runs_of: Callable[[Block], Runs], hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, parts, held = batch.column(0).to_numpy(zero_copy_only=False), [], 0
-            for block in blocks(batch.column(1)):
+            docs, parts, held = _documents(batch), [], 0
+            for block in blocks(batch.column("text")):
                 key, name, row, start, count = runs_of(block)
                 parts.append((key, name, row + block.first, start, count))
                 held += len(key)
@@ -99,11 +106,11 @@ def _refined(parts_of: Callable[[Block, np.ndarray, np.ndarray, np.ndarray], Run
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, parts, held = batch.column(0).to_numpy(zero_copy_only=False), [], 0
+            docs, parts, held = _documents(batch), [], 0
             lists = batch.column("open")
             bounds, flat = lists.offsets.to_numpy(), lists.values
             starts, counts = (flat.field(n).to_numpy().astype(np.int64) for n in ("start", "count"))
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column("text")):
                 own = bounds[block.first : block.first + len(block) + 1]
                 row = np.repeat(np.arange(len(block)), np.diff(own))
                 key, name, row, *rest = parts_of(block, row, starts[own[0] : own[-1]], counts[own[0] : own[-1]])
@@ -126,8 +133,7 @@ def _split(windows_of: Callable[..., tuple[np.ndarray, ...]]):
             if batch.num_rows:
                 columns = (batch.column(n).to_numpy() for n in ("start", "count", *DETAILS))
                 key, name, row, start = windows_of(*columns)
-                docs = batch.column("doc_id").to_numpy()
-                yield _emit(docs, [(key, name, row, start, np.ones(len(row), np.int64))])
+                yield _emit(_documents(batch), [(key, name, row, start, np.ones(len(row), np.int64))])
 
     return run
 
@@ -138,18 +144,18 @@ def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of each pair (key, name) the first run is the earliest. It is open if its key has
     another name, or is one of those that are spread.
     """
-    last = None  # key, name, doc, start of the first run of the current pair
+    last = None  # key, name, doc, variant, start of the first run of the current pair
     pending = None  # that run's mark, while no other name of its key was seen
     shared = False  # whether the current key has several names
 
     def marks(batch, at, opened):
-        own = batch.select([n for n in ("doc_id", "start", "count", *DETAILS) if n in batch.schema.names]).take(pa.array(at))
-        columns = [*own.columns[:3], pa.array(opened, pa.bool_()), *own.columns[3:]]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "count", "open", *own.schema.names[3:]])
+        own = batch.select([n for n in (*DOC, "start", "count", *DETAILS) if n in batch.schema.names]).take(pa.array(at))
+        columns = [*own.columns[:4], pa.array(opened, pa.bool_()), *own.columns[4:]]
+        return pa.RecordBatch.from_arrays(columns, names=[*DOC, "start", "count", "open", *own.schema.names[4:]])
 
     for batch in batches:
         settled = batch.column("settled").to_numpy(zero_copy_only=False)
-        doc, start = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
+        (doc, variant), start = _documents(batch), batch.column("start").to_numpy()
         if settled.any():
             yield marks(batch, np.flatnonzero(settled), np.zeros(settled.sum(), bool))
         live = np.flatnonzero(~settled)
@@ -157,7 +163,7 @@ def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         key, name = batch.column("key").to_numpy()[live], batch.column("name").to_numpy()[live]
         spread = batch.column("spread").to_numpy(zero_copy_only=False)[live]
-        doc, start = doc[live], start[live]
+        doc, variant, start = doc[live], variant[live], start[live]
         n = len(key)
         new_key, new_name = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
         new_key[1:] = key[1:] != key[:-1]
@@ -167,10 +173,10 @@ def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new_name[0] = new_key[0] or name[0] != last[1]
         lead = np.maximum.accumulate(np.where(new_name, np.arange(n), -1))
         inside = lead >= 0
-        lead_doc, lead_start = doc[lead], start[lead]
+        lead_doc, lead_variant, lead_start = doc[lead], variant[lead], start[lead]
         if not inside.all():
-            lead_doc[~inside], lead_start[~inside] = last[2], last[3]
-        repeats = (doc != lead_doc) | (start != lead_start)
+            lead_doc[~inside], lead_variant[~inside], lead_start[~inside] = last[2:]
+        repeats = (doc != lead_doc) | (variant != lead_variant) | (start != lead_start)
         # Names of each key in this batch; the first key may go on from the one before.
         group = np.cumsum(new_key) - int(new_key[0])
         names = np.bincount(group, weights=new_name, minlength=group[-1] + 1)
@@ -191,14 +197,14 @@ def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = int(np.flatnonzero(new_key)[-1])
             pending = marks(batch, live[at : at + 1], [True])
         shared = bool(several[final])
-        last = (int(key[-1]), int(name[-1]), int(lead_doc[-1]), int(lead_start[-1]))
+        last = tuple(int(c[-1]) for c in (key, name, lead_doc, lead_variant, lead_start))
 
 
 def _sorted_marks(runs: DataFrame) -> DataFrame:
     details = _DETAILS if DETAILS[0] in runs.columns else ""
     return (
         runs.repartition("key", F.when(F.col("spread"), F.col("name")))
-        .sortWithinPartitions("key", "name", "doc_id", "start")
+        .sortWithinPartitions("key", "name", *DOC, "start")
         .mapInArrow(_ranked, MARKS + details)
     )
 
@@ -214,36 +220,46 @@ def _keys_to_spread(rows: DataFrame, runs_of: Callable[[Block], Runs]) -> np.nda
     return np.array(found, dtype=np.int64).view(np.uint64)
 
 
+def with_variants(rows: DataFrame) -> DataFrame:
+    """Add ``variant``: a digest of the text where its ``doc_id`` has several texts, else 0."""
+    digest = F.xxhash64("text")
+    several = rows.groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high")).where("low <> high")
+    several = scratch.stored(several.select(F.col("doc_id").alias("several_id")), "several-texts")
+    variant = F.when(F.col("several_id").isNotNull(), digest).otherwise(F.lit(0).cast("bigint"))
+    joined = rows.join(several, F.col("doc_id") == F.col("several_id"), "left")
+    return joined.withColumn("variant", variant).drop("several_id")
+
+
 def repeated(
-    docs: DataFrame,
+    rows: DataFrame,
     runs_of: Callable[[Block], Runs],
     parts_of: Callable[[Block, np.ndarray, np.ndarray, np.ndarray], Runs],
     windows_of: Callable[..., tuple[np.ndarray, ...]] | None = None,
 ) -> DataFrame:
-    """``doc_id`` and ``repeats``, a list of (``start``, ``count``) of windows that start earlier.
+    """``doc_id``, ``variant`` and ``repeats``, a list of (``start``, ``count``) of windows that start earlier.
 
-    ``docs`` has ``doc_id`` and ``text``. Documents without such windows are not in the
+    ``rows`` has ``doc_id``, ``variant`` and ``text``. Documents without such windows are not in the
     result. A row without a ``doc_id`` takes no part. Rows with one ``doc_id`` and text are
-    one document. ``parts_of`` refines open runs to single windows, or to smaller runs
+    one document; texts that share a ``doc_id`` stand in the order of their digests.
+    ``parts_of`` refines open runs to single windows, or to smaller runs
     with details from which ``windows_of`` makes the single windows of those still open.
     """
-    rows = docs.where("doc_id is not null and text is not null")
+    rows = rows.where("doc_id is not null and text is not null").select(*DOC, "text")
     hot = _keys_to_spread(rows, runs_of)
     marks = scratch.stored(_sorted_marks(rows.mapInArrow(_all_runs(runs_of, hot), RUNS)), "marks")
-    still = marks.where("open").groupBy("doc_id").agg(F.collect_set(F.struct("start", "count")).alias("open"))
-    parts = rows.join(still, "doc_id").select("doc_id", "text", "open").mapInArrow(
+    still = marks.where("open").groupBy(*DOC).agg(F.collect_set(F.struct("start", "count")).alias("open"))
+    parts = rows.join(still, [*DOC]).select(*DOC, "text", "open").mapInArrow(
         _refined(parts_of), RUNS + (_DETAILS if windows_of else "")
     )
-    last = _sorted_marks(parts)
-    closed = [marks, last]
+    closed = [marks, scratch.stored(_sorted_marks(parts), "marks")]
     if windows_of:
-        closed[1] = scratch.stored(last, "marks")
-        closed.append(_sorted_marks(closed[1].where("open").mapInArrow(_split(windows_of), RUNS)))
+        last = _sorted_marks(closed[1].where("open").mapInArrow(_split(windows_of), RUNS))
+        closed.append(scratch.stored(last, "marks"))
     found = None
     for part in closed:
-        part = part.where("not open").select("doc_id", "start", "count")
+        part = part.where("not open").select(*DOC, "start", "count")
         found = part if found is None else found.union(part)
-    return found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "count")).alias("repeats"))
+    return found.groupBy(*DOC).agg(F.collect_set(F.struct("start", "count")).alias("repeats"))
 
 
 def covered(size: int, starts: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:

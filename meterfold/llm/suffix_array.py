@@ -179,7 +179,8 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. A null text is empty.
     Earlier is a smaller ``doc_id``, or the same one and an earlier start; strings are judged on
     the input. Rows that repeat a ``doc_id`` with its text are one document and come
-    back alike; a row without a ``doc_id`` comes back whole. ``kept`` is the rest as
+    back alike; texts that share a ``doc_id`` are documents of their own, in the order of
+    their digests. A row without a ``doc_id`` comes back whole. ``kept`` is the rest as
     text, without characters that the cut has split.
 
     Ranks are names made by doubling: of 32 bytes at every position, where Spark sorts only
@@ -188,5 +189,7 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     with all windows of its anchor, leaves the search.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = repeats.with_variants(rows)
     found = repeats.repeated(rows, runs, parts, windows)
-    return rows.join(found, "doc_id", "left").select("doc_id", "text", "repeats").mapInArrow(_kept(with_text), RESULT)
+    joined = rows.join(found, [*repeats.DOC], "left").select("doc_id", "text", "repeats")
+    return joined.mapInArrow(_kept(with_text), RESULT)

@@ -102,7 +102,7 @@ def test_marks_do_not_depend_on_batches():
     name = np.array([1, 1, 7, 2, 2, 3, 1, 1, 2, 2, 9])
     doc = np.arange(11)
     columns = {
-        "key": key, "name": name, "doc_id": doc, "start": np.zeros(11, np.int32), "count": np.ones(11, np.int32),
+        "key": key, "name": name, "doc_id": doc, "variant": np.zeros(11, np.int64), "start": np.zeros(11, np.int32), "count": np.ones(11, np.int32),
         "settled": np.zeros(11, bool), "spread": np.zeros(11, bool),
     }
     whole = pa.RecordBatch.from_pydict({n: pa.array(c) for n, c in columns.items()})
@@ -113,6 +113,26 @@ def test_marks_do_not_depend_on_batches():
         assert {(r["doc_id"], r["open"]) for r in found} == want and len(found) == len(want)
 
 
+def test_texts_that_share_an_id(spark):
+    """Each is a document of its own: nothing goes that is not in another one."""
+    first = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, first), (2, first), (2, other), (2, other), (2, None), (3, other), (None, first)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    size = len(first)
+    found = sorted((r["doc_id"] or 0, r["kept"], r["n_removed"]) for r in suffix_array.without_repeats(frame).collect())
+    assert found == sorted([(1, first, 0), (2, "", size), (2, other, 0), (2, other, 0), (2, "", 0), (3, "", size), (0, first, 0)])
+    found = sorted((r["doc_id"] or 0, r["kept"], r["n_removed"]) for r in recompression.without_repeats(frame).collect())
+    assert found == sorted([(1, first, 0), (2, "", 60), (2, other, 0), (2, other, 0), (2, "", 0), (3, "", 60), (0, first, 0)])
+    cut = [(r["doc_id"], r["text"]) for r in recompression.cut_texts(frame).collect()]
+    want = [(1, first), (2, ""), (2, other), (2, other), (2, None), (3, ""), (None, first)]
+    assert sorted(cut, key=repr) == sorted(want, key=repr)
+    # Two texts under one id that share a passage: the one with the smaller digest keeps it.
+    twins = spark.createDataFrame([(5, first + " a"), (5, first + " b")], SCHEMA)
+    for operator in (suffix_array, recompression):
+        assert sorted(r["n_removed"] > 0 for r in operator.without_repeats(twins).collect()) == [False, True]
+
+
 def test_cut_texts_keeps_columns_and_untouched_texts(spark):
     passage = " ".join(f"p{i}" for i in range(30))
     rows = [(1, "a  b\n" + passage, "en"), (2, passage + " tail", "de"), (3, "x  y", None), (None, passage, "fr")]
