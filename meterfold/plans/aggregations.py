@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold import model
+from meterfold import incremental, model, scratch
 from meterfold.functions import bands, fixed
 from meterfold.operators import counting, hierarchy, kmeans, reports, rollup, series
 from meterfold.plans import standins as si
@@ -110,6 +110,21 @@ def global_recap(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.finish(si.level4(spark, folder))
 
 
+@query(
+    "AGG-9_incremental_recap",
+    f"{si.TO_LEVEL4} SELECT districts_reported, {si.record_sql()} FROM l4",
+)
+def incremental_recap(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches, each with readings of old windows; one is sent twice."""
+    table = incremental.RollUpTable(
+        spark, scratch.new_path(spark, "roll-up"), si.hierarchy(spark, folder), si.PARENT_KEYS, band=si.BAND
+    )
+    readings = si.readings(spark, folder)
+    for batch in (0, 1, 1, 2):
+        table.merge(readings.where(F.col("meter_id") % 3 == batch), f"batch-{batch}")
+    return rollup.finish(table.read("level4"))
+
+
 def nested_recap(spark: SparkSession, folder: str, per_record: int = 4) -> DataFrame:
     """Recaps in several parts: a window of the given tables has up to 25 districts."""
     l3 = si.level3_table(spark, folder)

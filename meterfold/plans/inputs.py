@@ -12,7 +12,8 @@ from meterfold.functions import text
 from meterfold.operators import counting, rollup
 from meterfold.plans import standins as si
 from meterfold.plans.registry import query
-from meterfold.sources import history, messages, rows, tables
+from meterfold.sources import growing, history, messages, rows, tables, versions
+from meterfold.streaming import cascade
 
 
 def purchases_copy(spark: SparkSession, folder: str) -> DataFrame:
@@ -275,3 +276,75 @@ def history_append(spark: SparkSession, folder: str) -> DataFrame:
         F.sum("anomalies_count").alias("anomalies"),
         F.max("cycle_id").alias("last_cycle"),
     )
+
+
+@query(
+    "SNK-1_exactly_once",
+    """SELECT topic, CAST(event_id AS VARCHAR) AS key, value
+       FROM events, (VALUES ('first'), ('second')) t(topic)""",
+)
+def exactly_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches: the first is sent twice, the second fails before its commit and is sent again."""
+    path = scratch.new_path(spark, "committed")
+    events = tables.load(spark, folder, "events")
+    sent = {
+        topic: messages.message_frame([messages.Route(events, topic, F.col("event_id"))])
+        for topic in ("first", "second")
+    }
+    target = messages.Target(path=path)
+    versions.write(messages.envelope_lines(sent["second"]), path, "second")
+    for topic in ("first", "first", "second"):
+        messages.publish(sent[topic], target, batch=topic)
+    value = F.get_json_object("value", "$.value").cast("double")
+    return messages.read_committed(spark, path).select("topic", "key", value.alias("value"))
+
+
+def _append_to_files(path: str, sizes: dict[str, int]):
+    """Append a partition's lines to the partition's own file, as the writer of a log does.
+
+    ``sizes`` has the files' lengths before: a repeated task cuts off what its first
+    attempt wrote.
+    """
+
+    def run(batches):
+        import os
+
+        from pyspark import TaskContext
+
+        name = f"{path}/log-{TaskContext.get().partitionId():05d}.jsonl"
+        os.makedirs(path, exist_ok=True)
+        with open(name, "ab") as log:
+            log.truncate(sizes.get(name, 0))
+            for batch in batches:
+                log.writelines(line.as_py().encode("utf-8") + b"\n" for line in batch.column("value"))
+        yield from ()
+
+    return run
+
+
+@query(
+    "SRC-5_growing_log",
+    """SELECT 'events' AS topic, CAST(event_id AS VARCHAR) AS key, value,
+              event_id % 3 = 0 AS second FROM events""",
+)
+def growing_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream over files that are appended to after its first run, and its restart."""
+    path, out, state = (scratch.new_path(spark, n) for n in ("growing", "lines", "lines-state"))
+    local = path.removeprefix("file://") if path.startswith("file:///") else path
+    events = tables.load(spark, folder, "events")
+    second = F.col("event_id") % 3 == 0
+    for part in (~second, second):
+        routes = [messages.Route(events.where(part), "events", F.col("event_id"))]
+        lines = messages.envelope_lines(messages.message_frame(routes))
+        sizes = growing.LogReader(local, growing.SPLIT_BYTES).latestOffset() if scratch.exists(spark, path) else {}
+        # Dealt out by value, not by file: about as many lines for each file.
+        dealt = lines.repartition(8, F.xxhash64("value"))
+        dealt.mapInArrow(_append_to_files(local, sizes), "value string").write.format("noop").mode("overwrite").save()
+        cascade.run_to_files(growing.stream_envelopes(spark, local, 1 << 16), out, state)
+    found = spark.read.parquet(out)
+    return found.select(
+        "topic",
+        "key",
+        F.get_json_object("value", "$.value").cast("double").alias("value"),
+        (F.col("key").cast("bigint") % 3 == 0).alias("second"),
+    )

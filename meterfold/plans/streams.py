@@ -11,7 +11,7 @@ from meterfold.operators import rollup
 from meterfold.plans import standins as si
 from meterfold.plans.registry import query
 from meterfold.sources import messages, tables
-from meterfold.streaming import cascade
+from meterfold.streaming import cascade, late
 
 # Windows the watermark has closed once all rows are read.
 CLOSED_SQL = "window_start + INTERVAL '15 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"
@@ -110,7 +110,7 @@ def fan_out(spark: SparkSession, folder: str) -> DataFrame:
         si.hierarchy(spark, folder),
         si.PARENT_KEYS,
         "concentrator_id",
-        cascade.file_publisher(f"{base}/out/level=upper"),
+        cascade.committed_publisher(f"{base}/out", "upper"),
         f"{base}/upper-state",
         band=si.BAND,
     )
@@ -118,11 +118,11 @@ def fan_out(spark: SparkSession, folder: str) -> DataFrame:
     raw = cascade.forward_readings(
         si.as_readings(tables.stream(spark, folder, "events")),
         F.col("meter_id"),
-        cascade.file_publisher(f"{base}/out/level=raw"),
+        cascade.committed_publisher(f"{base}/out", "raw"),
         f"{base}/raw-state",
     )
     raw.awaitTermination()
-    log = messages.read_envelopes(spark, f"{base}/out")
+    log = messages.read_committed(spark, f"{base}/out")
     return log.select(
         "topic",
         "key",
@@ -142,3 +142,44 @@ def watermark(spark: SparkSession, folder: str) -> DataFrame:
     counted = _readings(spark, folder).groupBy(window).agg(F.count(F.lit(1)).alias("readings"))
     closed = _to_table(spark, cascade.plain_windows(counted), "watermark")
     return closed.select("window_start", text.clock(F.col("window_start")).alias("clock"), "readings")
+
+
+# The second delivery: one reading in twenty comes after all others.
+SECOND = "event_id % 20 = 0"
+
+
+@query(
+    "STR-7_late_readings",
+    f"""WITH placed AS (
+            SELECT ts, time_bucket(INTERVAL '15 minutes', ts) AS window_start, {SECOND} AS second,
+                   {si.fx('value', 4)} AS units FROM events),
+        marks AS (
+            SELECT max(ts) FILTER (NOT second) - INTERVAL '10 minutes' AS first_mark,
+                   max(ts) - INTERVAL '10 minutes' AS last_mark FROM placed),
+        judged AS (
+            SELECT *, second AND window_start + INTERVAL '15 minutes' <= first_mark AS late,
+                   window_start + INTERVAL '15 minutes' <= last_mark AS closed FROM placed, marks)
+        SELECT window_start, late, count(*) AS readings, CAST(sum(units) AS BIGINT) AS energy_units
+        FROM judged WHERE late OR closed GROUP BY 1, 2""",
+)
+def late_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries into one folder, a run of the stream after each."""
+    arrived = scratch.new_path(spark, "arrived")
+    out, state = scratch.new_path(spark, "late"), scratch.new_path(spark, "late-state")
+    events = si.as_readings(tables.load(spark, folder, "events"))
+    for part in (f"NOT {SECOND}", SECOND):
+        delivered = events.where(part.replace("event_id", "meter_id"))
+        delivered.write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(events.schema).parquet(arrived)
+        rows = late.closed_and_late(
+            cascade.with_watermark(stream, "timestamp"),
+            "timestamp",
+            {
+                "readings": F.lit(1),
+                "energy_units": fixed.to_fixed("energy_consumption", model.ENERGY_DIGITS),
+            },
+            spread=F.col("meter_id"),
+        )
+        with cascade.many_keys(spark):
+            cascade.run_to_files(rows, out, state)
+    return late.per_window(spark.read.parquet(out), ["readings", "energy_units"])

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterfold import scratch
-from meterfold.functions import fixed, slots
+from meterfold.functions import fixed, slots, text
 from meterfold.operators import hierarchy, ordering, reports, rollup, series
 from meterfold.plans import standins as si
 from meterfold.plans.aggregations import energy_series
 from meterfold.plans.registry import query
-from meterfold.sources import tables
+from meterfold.sources import history, tables
+from meterfold.sources import rows as source_rows
 
 
 def _day(column: str):
@@ -100,6 +101,39 @@ def retention(spark: SparkSession, folder: str) -> DataFrame:
     return series.in_last_windows(l3, "window_start", 96)
 
 
+@query(
+    "WIN-7_snapshot_retention",
+    f"""{si.TO_LEVEL4}, {si.CYCLES_SQL},
+        log AS (
+            SELECT 'district' AS kind, district, window_start, total_meters FROM l3
+            UNION ALL SELECT 'cycle', NULL, window_start, total_meters FROM cycles),
+        kept AS (SELECT * FROM log QUALIFY dense_rank() OVER (ORDER BY window_start DESC) <= 96)
+        SELECT 'after' AS reader, kind, count(*) AS n, min(window_start) AS oldest,
+               CAST(sum(total_meters) AS BIGINT) AS meters FROM kept GROUP BY kind
+        UNION ALL
+        SELECT 'before', kind, count(*), min(window_start), CAST(sum(total_meters) AS BIGINT)
+        FROM log GROUP BY kind""",
+)
+def snapshot_retention(spark: SparkSession, folder: str) -> DataFrame:
+    """A flat log is taken in and trimmed; a reader from before still has all rows."""
+    flat, path = scratch.new_path(spark, "flat"), scratch.new_path(spark, "versions")
+    l3 = si.level3_table(spark, folder)
+    lines = history.history_lines(rollup.finish(l3), rollup.cycles(rollup.recap(l3)))
+    source_rows.write_lines(lines, "value", flat)
+    history.adopt_flat(spark, flat, path)
+    before = history.committed_lines(spark, path)
+    history.trim_committed(spark, path, 96)
+    found = None
+    for reader, log in (("before", before), ("after", history.committed_lines(spark, path))):
+        counted = history.parse_lines(log).groupBy(F.lit(reader).alias("reader"), "kind").agg(
+            F.count(F.lit(1)).alias("n"),
+            text.parse_iso(F.min("window_start")).alias("oldest"),
+            F.sum("total_meters").alias("meters"),
+        )
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
 _NATION_SQL = f"""nations AS (
     SELECT c_nationkey, {si.fsum('c_acctbal', 2)} AS balance FROM customer GROUP BY 1)"""
 

@@ -89,6 +89,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``."""
     jvm = spark.sparkContext._jvm

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from meterfold import model, scratch
 from meterfold.functions import fixed, text
 from meterfold.operators import series
-from meterfold.sources import messages
+from meterfold.sources import messages, versions
 
 PARTITION = "window_date"
+#: Segment of a versioned log for lines without a window.
+UNDATED = "undated"
 
 
 def history_rows(concentrators: DataFrame, cycles: DataFrame) -> DataFrame:
@@ -130,6 +132,76 @@ def load_history(spark: SparkSession, path: str) -> History:
     return split_history(scratch.stored(parse_lines(spark.read.text(path, lineSep="\n")), "parsed"))
 
 
+def _line_start() -> Column:
+    """Window of a log line: its start, or that of its cycle; null for a line without one."""
+    return text.parse_iso(
+        F.coalesce(F.get_json_object("value", "$.window_start"), F.get_json_object("value", "$.cycle_start"))
+    )
+
+
+def append_committed(concentrators: DataFrame, cycles: DataFrame, path: str, batch: str) -> bool:
+    """Add windows to a versioned log, once per batch name; whether they were added."""
+    lines = history_lines(concentrators, cycles).hint("rebalance", PARTITION)
+    return versions.append(lines, path, batch, by=PARTITION)
+
+
+def adopt_flat(spark: SparkSession, flat: str, path: str, batch: str | None = None) -> bool:
+    """Take a flat log, one file or a folder of lines, into a versioned one, once per ``batch``.
+
+    Lines keep their text. Those without a window have a segment of their own, which
+    no retention drops. ``batch`` is the flat log's path unless given.
+    """
+    lines = spark.read.text(flat, lineSep="\n")
+    day = F.coalesce(F.date_format(_line_start(), "yyyy-MM-dd"), F.lit(UNDATED))
+    dated = lines.withColumn(PARTITION, day).hint("rebalance", PARTITION)
+    return versions.append(dated, path, batch or flat, by=PARTITION)
+
+
+def committed_lines(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Lines of a versioned log as ``value``."""
+    return versions.read(spark, path, version=version)
+
+
+def trim_committed(spark: SparkSession, path: str, windows: int = model.HISTORY_WINDOWS) -> int:
+    """Keep the last ``windows`` windows of a versioned log; 0 keeps all. The version that holds.
+
+    Segments of earlier days leave the manifest, those of later days stay the files they
+    are, and the day of the oldest kept window is written anew if it holds older rows. No
+    file is changed or deleted: a reader that was opened before still reads all its rows,
+    until ``versions.vacuum``. The log is scanned newest day first, and only as many
+    days as it takes to find the windows.
+    """
+    if windows < 0:
+        raise ValueError("windows must not be negative")
+    base = versions.manifest(spark, path)
+    days = sorted({s.key for s in base.segments if s.key != UNDATED}, reverse=True)
+    oldest, found = None, 0
+    for last in range(len(days)) if windows else ():
+        timed = versions.read(spark, path, keys=[days[last]], version=base.version).withColumn("_start", _line_start())
+        kept = series.last_windows(timed, "_start", windows - found).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_start").alias("oldest")
+        ).first()
+        found += kept["n"]
+        if found == windows:
+            oldest = kept["oldest"]
+            break
+    if oldest is None:
+        return base.version
+    day = oldest.strftime("%Y-%m-%d")
+    drop = [s for s in base.segments if s.key < day and s.key != UNDATED]
+    boundary = base.of([day])
+    timed = versions.read(spark, path, keys=[day], version=base.version).withColumn("_start", _line_start())
+    kept = F.col("_start") >= F.lit(oldest).cast("timestamp_ntz")
+    add: list[versions.Segment] = []
+    if not timed.where(~kept).isEmpty():
+        lines = timed.where(kept).select("value", F.lit(day).alias(PARTITION))
+        add, _ = versions.write(lines, path, "", by=PARTITION)
+        drop += boundary
+    if not drop:
+        return base.version
+    return versions.commit(spark, path, base, add, drop).version
+
+
 def trim_history(spark: SparkSession, path: str, windows: int = model.HISTORY_WINDOWS) -> None:
     """Keep the last ``windows`` windows of a log on disk; 0 keeps all.
 
@@ -141,11 +213,7 @@ def trim_history(spark: SparkSession, path: str, windows: int = model.HISTORY_WI
         raise ValueError("windows must not be negative")
     if windows == 0:
         return
-    log = spark.read.text(path, lineSep="\n")
-    start = text.parse_iso(
-        F.coalesce(F.get_json_object("value", "$.window_start"), F.get_json_object("value", "$.cycle_start"))
-    )
-    timed = log.withColumn("_start", start)
+    timed = spark.read.text(path, lineSep="\n").withColumn("_start", _line_start())
     kept = series.last_windows(timed, "_start", windows).agg(
         F.count(F.lit(1)).alias("n"), F.min("_start").alias("oldest")
     ).first()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from meterfold import model
 from meterfold.functions import text
+from meterfold.sources import versions
 
 # Nulls stay visible; timestamps inside nested records look like the others.
 _JSON = {"ignoreNullFields": "false", "timestampNTZFormat": text.ISO_SECONDS}
@@ -82,13 +83,19 @@ class Target:
             raise ValueError("a target needs a path or broker servers")
 
 
-def publish(messages: DataFrame, target: Target) -> None:
-    """Write (topic, key, value) rows to the target."""
+def publish(messages: DataFrame, target: Target, batch: str | None = None) -> None:
+    """Write (topic, key, value) rows to the target.
+
+    With the name of a ``batch`` a file target takes them once, however often the job is
+    repeated, and all or none of them (:func:`read_committed`). Without one they are appended.
+    """
     if target.servers:
         writer = messages.write.format("kafka").option("kafka.bootstrap.servers", target.servers)
         for name, value in BROKER_OPTIONS.items():
             writer = writer.option(name, value)
         writer.save()
+    elif batch is not None:
+        versions.append(envelope_lines(messages), target.path, batch)
     else:
         envelope_lines(messages).write.mode("append").text(target.path, lineSep="\n")
 
@@ -137,6 +144,11 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return parse_envelopes(spark.read.text(path, lineSep="\n").withColumnRenamed("value", "line"))
 
 
+def read_committed(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """(topic, key, value) rows of the committed batches below ``path``."""
+    return parse_envelopes(versions.read(spark, path, version=version), "value")
+
+
 def stream_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """Envelope log as a stream of (topic, key, value) rows."""
     lines = spark.readStream.text(path, lineSep="\n")

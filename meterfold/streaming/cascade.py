@@ -7,7 +7,8 @@ are combined in the map tasks before they reach it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import contextlib
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from meterfold import model
 from meterfold.model import Band, Measures
 from meterfold.operators import rollup
+from meterfold.session import DEFAULTS
 from meterfold.sources import messages
 
 DELAY = "10 minutes"
@@ -77,6 +79,18 @@ def duty_cycle(
     return placed.where(F.col(time) < limit)
 
 
+@contextlib.contextmanager
+def many_keys(spark: SparkSession) -> Iterator[None]:
+    """Streams started in the block keep their state off-heap, which stateful processors need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, DEFAULTS[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Process what is available now into Parquet files."""
     query = (
@@ -160,6 +174,15 @@ def file_publisher(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def committed_publisher(path: str, name: str) -> Callable[[DataFrame, int], None]:
+    """Publisher that commits each batch of the stream ``name`` once; read by ``messages.read_committed``."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        messages.publish(batch, messages.Target(path=path), batch=f"{name}-{number}")
+
+    return write
+
+
 def forward_readings(
     readings: DataFrame, key: Column, publish: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
