@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from meterfold.functions import text
 from meterfold.operators import ordering
 
-BLOCKS = 128
 LIST_BLOCK = 10_000
 
 
@@ -48,25 +47,16 @@ def balanced_parents(
     member: str,
     parents: int,
     parent: str = "parent_no",
-    blocks: int = BLOCKS,
-    bucket: Column | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Spread the members of each group over ``parents`` parents in id order.
 
     Every parent gets n div k members and the first n mod k one more. The place
-    of a member comes from :func:`ordering.positions`, so a group with a third
-    of all members is numbered block by block. Ids that are not whole numbers
-    need a ``bucket`` that never decreases along them, such as a prefix.
+    of a member comes from :func:`ordering.sorted_positions`: ids of any type that
+    sorts, and a group with a third of all members lies in many ranges.
     """
-    if bucket is None:
-        bucket = ordering.spread_blocks(members, member, blocks)
-    placed = ordering.positions(
-        members,
-        [member],
-        bucket,
-        keys=group,
-        position="_place",
-        total="_size",
+    placed = ordering.sorted_positions(
+        members, [member], keys=group, position="_place", total="_size", partitions=partitions
     )
     base = F.floor(F.col("_size") / F.lit(parents))
     longer = F.col("_size") - base * F.lit(parents)
@@ -84,16 +74,12 @@ def sequence_keys(
     parts: Sequence[Column],
     key: str = "member_key",
     width: int = 5,
-    blocks: int = BLOCKS,
-    bucket: Column | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Number the members of each group and build ``PFX-CODE-MTR-00001`` keys.
-
-    ``bucket`` is as in :func:`balanced_parents`.
-    """
-    if bucket is None:
-        bucket = ordering.spread_blocks(members, member, blocks)
-    placed = ordering.positions(members, [member], bucket, keys=group, position="_place")
+    """Number the members of each group and build ``PFX-CODE-MTR-00001`` keys."""
+    placed = ordering.sorted_positions(
+        members, [member], keys=group, position="_place", partitions=partitions
+    )
     return placed.withColumn(
         key, text.sequence_key(list(parts), F.col("_place"), width)
     ).drop("_place")

@@ -70,6 +70,7 @@ def closed_and_late(
     nothing). A window closes when the watermark reaches its end and gives one row per slot
     then; the readings of a batch that come later give one row per window and slot. Adding up
     the slots gives the window (:func:`per_window`). ``spread`` deals readings out to slots.
+    A reading without a time is in no window.
 
     The event time itself does not go into the processor: rows that still carry it
     would be dropped by the engine once they are behind the watermark.
@@ -83,7 +84,7 @@ def closed_and_late(
         *[F.coalesce(value.cast("bigint"), F.lit(0)).alias(name) for name, value in sums.items()],
     )
     columns = "".join(f", {name} bigint" for name in sums)
-    found = keyed.groupBy("end_ms", "slot").transformWithStateInPandas(
+    found = keyed.where(F.col("end_ms").isNotNull()).groupBy("end_ms", "slot").transformWithStateInPandas(
         statefulProcessor=_Windows(list(sums)),
         outputStructType=f"end_ms bigint, slot int, late boolean{columns}",
         outputMode="append",

@@ -63,7 +63,7 @@ def test_positions_keep_null_keys(spark):
 
 @pytest.mark.parametrize("parents", [1, 7, 5000])
 def test_balanced_parents(members, parents):
-    got = hierarchy.balanced_parents(members, ["g"], "m", parents, blocks=30).collect()
+    got = hierarchy.balanced_parents(members, ["g"], "m", parents, partitions=30).collect()
     assert len(got) == 3000
     for g, ordered in _groups(members).items():
         numbers = [r.parent_no for r in sorted((r for r in got if r.g == g), key=lambda r: r.m)]
@@ -72,8 +72,37 @@ def test_balanced_parents(members, parents):
         assert numbers == want
 
 
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_sorted_positions(spark, members, partitions):
+    """Also with null keys, ties, and two ids far from all others."""
+    far = [(2**63 - 1, 0), (-(2**63), 0), (5, None), (7, None), (None, None), (9, 1), (9, 1)]
+    rows = members.union(spark.createDataFrame(far, "m long, g long"))
+    got = ordering.sorted_positions(rows, ["m"], keys=["g"], total="size", partitions=partitions).collect()
+    groups = defaultdict(list)
+    for r in rows.collect():
+        groups[r.g].append((r.m is not None, r.m or 0))
+    assert len(got) == 3007
+    for g, ordered in groups.items():
+        ordered.sort()
+        own = sorted((r for r in got if r.g == g), key=lambda r: r.position)
+        assert [r.position for r in own] == list(range(1, len(ordered) + 1))
+        assert [(r.m is not None, r.m or 0) for r in own] == ordered
+        assert {r.size for r in own} == {len(ordered)}
+    assert ordering.sorted_positions(rows.where("false"), ["m"]).count() == 0
+
+
+def test_sorted_ranges_are_even_with_outliers(spark, monkeypatch):
+    ids = spark.range(40_000).select("id").union(spark.sql("SELECT 9223372036854775807L UNION ALL SELECT -9223372036854775808L"))
+    stored = []
+    keep = ordering.scratch.stored
+    monkeypatch.setattr(ordering.scratch, "stored", lambda rows, label: stored.append(keep(rows, label)) or stored[-1])
+    assert ordering.sorted_positions(ids, ["id"], partitions=16).count() == 40_002
+    sizes = [r["count"] for r in stored[0].groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * 40_002 / 16
+
+
 def test_sequence_keys(members):
-    got = hierarchy.sequence_keys(members, ["g"], "m", [F.lit("P"), F.col("g").cast("string")], blocks=50)
+    got = hierarchy.sequence_keys(members, ["g"], "m", [F.lit("P"), F.col("g").cast("string")], partitions=50)
     groups = _groups(members)
     for r in got.collect():
         assert r.member_key == f"P-{r.g}-{groups[r.g].index(r.m) + 1:05d}"
@@ -123,10 +152,10 @@ def test_id_blocks_of_large_ids(spark):
 def test_text_ids_are_cut_by_a_prefix(members):
     named = members.select("g", F.format_string("M-%05d", "m").alias("name"), "m")
     prefix = F.substring("name", 1, 5)
-    got = hierarchy.balanced_parents(named, ["g"], "name", 7, bucket=prefix)
+    got = hierarchy.balanced_parents(named, ["g"], "name", 7)
     plain = hierarchy.balanced_parents(named, ["g"], "m", 7)
     assert got.exceptAll(plain.select(*got.columns)).isEmpty() and got.count() == 3000
-    keyed = hierarchy.sequence_keys(named, ["g"], "name", [F.lit("P")], bucket=prefix)
+    keyed = hierarchy.sequence_keys(named, ["g"], "name", [F.lit("P")])
     assert keyed.exceptAll(
         hierarchy.sequence_keys(named, ["g"], "m", [F.lit("P")]).select(*keyed.columns)
     ).isEmpty()
