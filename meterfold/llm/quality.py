@@ -158,9 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> d
         .orderBy(F.xxhash64("label_id")).limit(sample_docs)
     )
     # At most sample_docs rows of three values: small enough to send to every task.
-    sample = docs.join(F.broadcast(chosen), docs["doc_id"].cast("bigint") == F.col("label_id")).select(
-        F.col("text").cast("string").alias("text"), *HEADS
-    )
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("label_id"), F.col("text").cast("string").alias("text"))
+    sample = texts.join(F.broadcast(chosen), "label_id").select("text", *HEADS)
     sample = scratch.stored(sample, "labelled")
     counts = sample.mapInArrow(
         _counted, "word binary, low_yes bigint, low_no bigint, toxic_yes bigint, toxic_no bigint"
@@ -293,8 +292,10 @@ def classified(
 def kept(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
     bad = classified(docs, labels, **settings).where("not kept").select("doc_id", "digest").distinct()
-    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("digest").alias("bad_digest"))
-    text = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(
-        bad, F.col("bad_digest").eqNullSafe(text) & F.col("bad_id").eqNullSafe(docs["doc_id"].cast("bigint")), "left_anti"
+    rows = docs.select(
+        F.struct("*").alias("kept_row"),
+        F.col("doc_id").cast("bigint").alias("own_id"),
+        F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own_digest"),
     )
+    same = F.col("own_digest").eqNullSafe(F.col("digest")) & F.col("own_id").eqNullSafe(F.col("doc_id"))
+    return rows.join(bad, same, "left_anti").select("kept_row.*")

@@ -143,12 +143,26 @@ def _fingerprints(width: int):
                 (fingerprint(x.as_py(), width) for x in batch.column(1)), np.uint64, batch.num_rows
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [*batch.columns[::2], pa.array(found.view(np.int64))], names=["doc_id", "digest", "fp"]
             )
 
     return run
 
 
+def _grouped(docs: DataFrame, radius: int, width: int) -> DataFrame:
+    """``doc_id``, ``digest`` of the text, ``fp`` and ``root`` of every row."""
+    text = F.col("text").cast("string")
+    prints = scratch.stored(
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("digest"))
+        .mapInArrow(_fingerprints(width), "doc_id bigint, digest bigint, fp bigint"),
+        "prints",
+    )
+    distinct = scratch.stored(prints.select("fp").distinct(), "prints")
+    roots = components(links(distinct, radius)).withColumnRenamed("node", "fp")
+    ids = distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return prints.join(ids, "fp")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFrame:
     """``doc_id``, ``fingerprint``, ``component_id`` of every row of ``docs``.
 
@@ -158,19 +172,9 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFra
     keeps its row but never names a component. Copies meet in one fingerprint
     before the search, so a large group of them costs one row in it.
     """
-    prints = scratch.stored(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .mapInArrow(_fingerprints(width), "doc_id bigint, fp bigint"),
-        "prints",
-    )
-    distinct = scratch.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    roots = components(links(distinct.select("fp"), radius))
-    grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = grouped.join(named, "root").select("fp", "component_id")
-    return prints.join(ids, "fp").select(
+    rows = scratch.stored(_grouped(docs, radius, width), "grouped")
+    named = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(named, "root").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
@@ -180,10 +184,16 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFra
 def one_of_each(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFrame:
     """One row of ``docs`` for each near-duplicate group, that of the smallest ``doc_id``.
 
-    All columns stay. Repeated rows of that document are one document. A row without a
-    ``doc_id`` cannot be told apart and stays.
+    All columns stay. Texts that share a ``doc_id`` are told apart; of those in one group the one
+    with the smallest digest stays. Repeated rows are one document. A row without
+    a ``doc_id`` cannot be told apart and stays.
     """
-    found = near_duplicates(docs.where("doc_id is not null"), radius, width)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    rows = docs.join(first, docs["doc_id"].cast("bigint") == F.col("first_id"), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
+    found = _grouped(docs.where("doc_id is not null"), radius, width)
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("first")).select("first.*").distinct()
+    rows = docs.select(
+        F.struct("*").alias("kept_row"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("digest"),
+    )
+    chosen = rows.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
+    return chosen.select("kept_row").union(rows.where("doc_id is null").select("kept_row")).select("kept_row.*")

@@ -142,7 +142,7 @@ SQL = r"""
 WITH p AS (
   SELECT page_id, url, CAST(DATE '2024-01-01' + CAST((page_id * 37) % 360 AS INTEGER) AS DATE) AS fetched,
     nullif(regexp_replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^.*@', ''), '\.?(:[0-9]*)?$', ''), '') AS host,
-    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts,
+    list_filter(string_split(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '/'), lambda x: x <> '') AS parts,
     regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS section
   FROM pages
 ), names AS (
@@ -162,7 +162,7 @@ WITH p AS (
 ), keyed AS (
   SELECT page_id, url, fetched, array_to_string(l[i:], '.') AS entry FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM labels)
   UNION SELECT page_id, url, fetched, host || '/' || array_to_string(parts[1:i], '/')
-  FROM (SELECT *, unnest(range(1, least(len(parts), 3) + 1)) AS i FROM labels)
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM labels)
 ), hits AS (
   SELECT page_id, count(*) AS n_active, min(k.entry) AS entry
   FROM keyed k JOIN spans s ON k.entry = s.entry AND s.since <= k.fetched AND (s.until IS NULL OR k.fetched < s.until)

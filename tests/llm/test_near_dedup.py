@@ -68,6 +68,14 @@ def test_near_duplicates(spark):
     assert ids == sorted({g for d, g in groups.items() if d is not None}) + [None]
 
 
+def test_texts_that_share_an_id(spark):
+    """Each stays unless a near copy of it does."""
+    first, other = (" ".join(f"{w}{i}" for i in range(100)) for w in "vw")
+    rows = [(1, first), (2, first), (2, other), (2, other), (3, other), (4, first + " x")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"] < 4) == [(1, first), (2, other)]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randint(-50, 400), rng.randint(-50, 400)) for _ in range(250)]

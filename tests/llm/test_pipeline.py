@@ -63,10 +63,14 @@ def test_stages_against_brute_force(spark):
 def test_clashing_columns_and_empty_documents(spark, tmp_path):
     for table in ("labels", "benchmark"):
         spark.read.parquet(f"{FOLDER}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
-    schema = "doc_id long, text string, lang string, source string, n_chars long, kept int, n_words int"
-    odd = [(1, None, None, None, None, 1, 1), (2, "", "en", "s", 0, 1, 1), (None, "some words", "en", None, 10, 1, 1)]
+    clashing = ["kept", "n_words", "first_id", "bad_id", "bad_digest", "label_id", "digest", "root", "fp", "kept_row"]
+    clashing += ["several_id", "variant", "repeats", "own_id", "component_id", "host", "path", "contaminated"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", {n} int" for n in clashing)
+    more = tuple(range(len(clashing)))
+    odd = [(1, None, None, None, None, *more), (2, "", "en", "s", 0, *more), (None, "some words", "en", None, 10, *more)]
     for rows in ([], odd):
         docs = spark.createDataFrame(rows, schema)
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             docs = scratch.stored(stage(spark, docs, str(tmp_path)), "stage")
+            assert name == "best-fit packing" or docs.columns[5:] == clashing
         assert docs.count() == (2 if rows else 0)
