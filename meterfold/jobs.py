@@ -12,6 +12,7 @@ from meterfold.functions import text
 from meterfold.model import Band, Measures
 from meterfold.operators import rollup
 from meterfold.sources import history, messages
+from meterfold.streaming import cascade
 
 
 def roll_up(
@@ -24,32 +25,36 @@ def roll_up(
     band: Band = Band(),
     keep_windows: int = model.HISTORY_WINDOWS,
     first_cycle: int = 1,
+    minutes: int = model.WINDOW_MINUTES,
+    origin_minutes: int = 0,
+    active: int | None = None,
+    cycle: int = model.CYCLE_MINUTES,
+    batch: str | None = None,
 ) -> DataFrame:
     """Publish all four levels of a batch of readings and log its windows.
 
+    Windows begin ``origin_minutes`` after the epoch. ``active`` leaves out the readings after
+    the first minutes of every cycle. With a ``batch`` name messages and history go to
+    versioned tables and the job can be repeated without doubling them.
+
     ``hierarchy`` holds ``distributor_id`` and the parent keys. Levels 2 and 3
     are written once and read by every branch behind them, so the readings are
     read twice: for their own messages and for the roll-up. Returns level 4,
     which reads the stored level 3: run the job inside ``scratch.job`` and use the
     result there, which then deletes what this job stored and nothing else.
     """
-    level2 = scratch.stored(
-        rollup.with_parents(rollup.by_distributor(readings, measures=measures, band=band), hierarchy),
-        "level2",
+    if active is not None:
+        readings = cascade.duty_cycle(readings, measures.time, active, cycle, origin_minutes).drop("cycle_start")
+    added = rollup.by_distributor(
+        readings, measures=measures, band=band, minutes=minutes, origin_minutes=origin_minutes
     )
+    level2 = scratch.stored(rollup.with_parents(added, hierarchy), "level2")
     level3 = scratch.stored(rollup.by_parent(level2, parent_keys), "level3")
-    districts = rollup.finish(level3, digits=True)
+    districts = rollup.concentrator_records(level3, minutes)
     shift = F.col("cycle_id") + F.lit(first_cycle - 1)
-    cycles = rollup.cycles(rollup.recap(level3)).withColumn("cycle_id", shift)
-    recaps = rollup.nest_children(
-        cycles,
-        districts,
-        ["window_start"],
-        "concentrator_id",
-        "districts_reported",
-        totals=["districts_reported", "total_meters", "total_energy_kwh", "anomalies_count"],
-    )
-    placed = rollup.finish(level2, digits=True)
+    cycles = rollup.cycles(rollup.recap(level3), minutes=minutes).withColumn("cycle_id", shift)
+    recaps = rollup.center_records(cycles, districts, "concentrator_id")
+    placed = rollup.distributor_records(level2, minutes)
     messages.publish(
         messages.message_frame(
             [
@@ -60,8 +65,12 @@ def roll_up(
             ]
         ),
         target,
+        batch,
     )
-    if history_path is not None:
+    if history_path is not None and batch is not None:
+        history.append_committed(districts, cycles, history_path, batch)
+        history.trim_committed(readings.sparkSession, history_path, keep_windows)
+    elif history_path is not None:
         history.append_history(districts, cycles, history_path)
         history.trim_history(readings.sparkSession, history_path, keep_windows)
     return cycles

@@ -141,6 +141,34 @@ def finish(
     )
 
 
+def distributor_records(level2: DataFrame, minutes: int = model.WINDOW_MINUTES) -> DataFrame:
+    """Level-2 records as published: rounded, with the window start once more as ``timestamp``."""
+    return finish(level2, minutes, digits=True).withColumn("timestamp", text.iso(F.col("window_start")))
+
+
+def concentrator_records(level3: DataFrame, minutes: int = model.WINDOW_MINUTES) -> DataFrame:
+    """Level-3 records as published: like level 2, without a mean current."""
+    return distributor_records(level3, minutes).drop("avg_current")
+
+
+def center_records(
+    center: DataFrame,
+    districts: DataFrame,
+    child_id: str,
+    per_record: int = 1000,
+) -> DataFrame:
+    """Level-4 records as published: cycle records with their districts nested."""
+    return nest_children(
+        center,
+        districts,
+        ["window_start"],
+        child_id,
+        "districts_reported",
+        per_record=per_record,
+        totals=["districts_reported", "total_meters", "total_energy_kwh", "anomalies_count"],
+    )
+
+
 def weighted_mean(mean: Column, weight: Column, digits: int) -> Column:
     """Mean of group means weighted by group size, 0.0 when the weights sum to 0.
 
@@ -156,12 +184,34 @@ def recap(concentrators: DataFrame) -> DataFrame:
     return by_parent(concentrators, [], children="districts_reported")
 
 
-def cycles(center: DataFrame, transmit_minutes: int = model.TRANSMIT_MINUTES) -> DataFrame:
+def cycles(
+    center: DataFrame,
+    transmit_minutes: int = model.TRANSMIT_MINUTES,
+    minutes: int = model.WINDOW_MINUTES,
+) -> DataFrame:
     """Finished level-4 records with their cycle number and bounds."""
-    done = finish(center).drop("avg_voltage", "avg_current", "min_voltage", "max_voltage")
+    done = finish(center, minutes)
     numbered = ordering.positions(
         done, ["window_start"], F.date_trunc("day", F.col("window_start")), position="cycle_id"
     )
+    return _cycle_columns(numbered, transmit_minutes)
+
+
+def stream_cycles(
+    center: DataFrame,
+    transmit_minutes: int = model.TRANSMIT_MINUTES,
+    minutes: int = model.WINDOW_MINUTES,
+) -> DataFrame:
+    """Level-4 records numbered without a count of the windows before them.
+
+    The number is the window's start written as ``yyyyMMddHHmm``: it rises with time and a
+    restart or a late part of the history does not shift it.
+    """
+    number = F.date_format("window_start", "yyyyMMddHHmm").cast("bigint")
+    return _cycle_columns(finish(center, minutes).withColumn("cycle_id", number), transmit_minutes)
+
+
+def _cycle_columns(numbered: DataFrame, transmit_minutes: int) -> DataFrame:
     ends = text.minutes_later(F.col("window_end"), transmit_minutes)
     return numbered.select(
         "cycle_id",

@@ -111,12 +111,15 @@ def level_messages(
     l3 = rollup.by_parent(placed, si.PARENT_KEYS)
     if model.TOPIC_CENTER in topics:
         l3 = scratch.stored(l3, "level3")
+    districts = rollup.concentrator_records(l3)
     routes = [
         messages.Route(si.readings(spark, folder), model.TOPIC_READINGS, F.col("meter_id")),
-        messages.Route(rollup.finish(placed), model.TOPIC_DISTRIBUTORS, F.col("distributor_id")),
-        messages.Route(rollup.finish(l3), model.TOPIC_CONCENTRATORS, F.col("concentrator_id")),
+        messages.Route(rollup.distributor_records(placed), model.TOPIC_DISTRIBUTORS, F.col("distributor_id")),
+        messages.Route(districts, model.TOPIC_CONCENTRATORS, F.col("concentrator_id")),
         messages.Route(
-            rollup.cycles(rollup.recap(l3)), model.TOPIC_CENTER, text.cycle_key(F.col("cycle_id"))
+            rollup.center_records(rollup.cycles(rollup.recap(l3)), districts, "concentrator_id"),
+            model.TOPIC_CENTER,
+            text.cycle_key(F.col("cycle_id")),
         ),
     ]
     return [r for r in routes if r.topic in topics]
@@ -243,6 +246,33 @@ def broker_frame(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "SNK-3_complete_records",
+    f"""{si.TO_LEVEL4}, {si.CYCLES_SQL}
+        SELECT 'cycle-' || cycle_id AS key, cycle_id, strftime(cycle_end, '%Y-%m-%dT%H:%M:%S') AS cycle_end,
+               districts_reported, district, l3.total_meters AS district_meters,
+               l3.energy_units / 1e4 AS district_energy, strftime(l3.window_start, '%Y-%m-%dT%H:%M:%S') AS "timestamp"
+        FROM cycles JOIN l3 ON cycles.window_start = l3.window_start""",
+)
+def complete_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Centre messages read back, one row per nested district."""
+    path = scratch.new_path(spark, "records")
+    routes = level_messages(spark, folder, (model.TOPIC_CENTER,))
+    messages.publish(messages.message_frame(routes), messages.Target(path=path), batch="all")
+    log = messages.of_topic(messages.read_committed(spark, path), model.TOPIC_CENTER, model.RECAP_SCHEMA)
+    rows = log.select("message_key", "cycle_id", "cycle_end", "districts_reported", F.explode("districts").alias("d"))
+    return rows.select(
+        F.col("message_key").alias("key"),
+        "cycle_id",
+        "cycle_end",
+        "districts_reported",
+        "d.district",
+        F.col("d.total_meters").alias("district_meters"),
+        F.col("d.total_energy_kwh").alias("district_energy"),
+        "d.timestamp",
+    )
+
+
 @query("SNK-3_publish", TOPIC_COUNTS_SQL)
 def publish(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch.new_path(spark, "published")

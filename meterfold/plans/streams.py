@@ -144,6 +144,35 @@ def watermark(spark: SparkSession, folder: str) -> DataFrame:
     return closed.select("window_start", text.clock(F.col("window_start")).alias("clock"), "readings")
 
 
+SLICES, SLICE_FILES = 4, 2
+
+
+@query(
+    "STR-2_bounded_batches",
+    f"{si.TO_LEVEL4} SELECT districts_reported, {si.record_sql()} FROM l4 WHERE {CLOSED_SQL}",
+)
+def bounded_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The cascade over readings that arrive slice by slice, one slice to a micro-batch."""
+    arrived = scratch.new_path(spark, "slices")
+    events = tables.load(spark, folder, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    width = (last - first) / SLICES
+    for number in range(SLICES):
+        part = events
+        if number:
+            part = part.where(F.col("ts") >= F.lit(first + number * width).cast("timestamp_ntz"))
+        if number + 1 < SLICES:
+            part = part.where(F.col("ts") < F.lit(first + (number + 1) * width).cast("timestamp_ntz"))
+        # Files of one slice only: the next one is written when this one is there.
+        part.repartition(SLICE_FILES, "event_id").write.mode("append").parquet(tables.table_path(arrived, "events"))
+    stream = tables.stream(spark, arrived, "events", files_per_batch=SLICE_FILES)
+    readings = cascade.with_watermark(si.as_readings(stream), "timestamp")
+    level2 = cascade.by_distributor(readings, ["distributor_id"], band=si.BAND)
+    level3 = cascade.by_parent(level2.join(si.hierarchy(spark, folder), "distributor_id"), si.PARENT_KEYS, "total_distributors")
+    level4 = cascade.by_parent(level3, [], "districts_reported")
+    return rollup.finish(_to_table(spark, cascade.plain_windows(level4), "bounded"))
+
+
 # The second delivery: one reading in twenty comes after all others.
 SECOND = "event_id % 20 = 0"
 

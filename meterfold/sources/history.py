@@ -56,10 +56,17 @@ class History:
     cycles: DataFrame
 
 
-def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Tolerant parse: blank and broken lines are dropped."""
-    parsed = lines.select(messages.one_record(F.col(column), model.HISTORY_SCHEMA).alias("r"))
-    return parsed.where(F.col("r").isNotNull()).select("r.*")
+def parse_lines(lines: DataFrame, column: str = "value", order: Column | None = None) -> DataFrame:
+    """Tolerant parse: blank and broken lines are dropped. ``order`` is kept as ``line_order``."""
+    kept = [] if order is None else [order.alias("line_order")]
+    parsed = lines.select(*kept, messages.one_record(F.col(column), model.HISTORY_SCHEMA).alias("r"))
+    return parsed.where(F.col("r").isNotNull()).select("r.*", *["line_order" for _ in kept])
+
+
+def _place() -> Column:
+    """Where a line stands: its file, the part of the file, and the line in that part."""
+    part = [F.col(f"_metadata.{n}") for n in ("file_path", "file_block_start")]
+    return F.struct(*part, F.monotonically_increasing_id().alias("line"))
 
 
 def _times(*fallback: str) -> Column:
@@ -80,8 +87,9 @@ def split_history(parsed: DataFrame) -> History:
     """District and cycle rows; windows fall back to the older field names.
 
     Without any district row the concentrator messages of an envelope log stand
-    in: the newest message per district becomes one window, and the cycle row is
-    added up from those. Both branches stay lazy; the check for district rows
+    in: the newest message per district becomes one window (of several for one window the
+    last line of the log, or the one with the largest digest where lines have no order),
+    and the cycle row is added up from those. Both branches stay lazy; the check for district rows
     stops at the first one.
     """
     kind = F.col("kind")
@@ -98,14 +106,17 @@ def split_history(parsed: DataFrame) -> History:
     )
 
     older = parsed.where(kind.isNull() & (F.col("topic") == model.TOPIC_CONCENTRATORS))
-    older = older.select(F.from_json("value", model.CONCENTRATOR_SCHEMA).alias("v")).select("v.*")
+    order = F.col("line_order") if "line_order" in parsed.columns else F.xxhash64("value")
+    record = F.from_json("value", model.CONCENTRATOR_SCHEMA).alias("v")
+    older = older.select(order.alias("line_order"), record).select("line_order", "v.*")
     older = older.select(
+        "line_order",
         *[c for c in _DISTRICT_FIELDS if c != "district"],
         F.coalesce("district", F.lit("?")).alias("district"),
         _times("window_start", "timestamp").alias("window_start"),
         _times("window_end", "timestamp").alias("window_end"),
     )
-    newest = series.latest_per_key(older, ["district"], ["window_start"])
+    newest = series.latest_per_key(older, ["district"], ["window_start", "line_order"]).drop("line_order")
     use_older = ~tagged.exists()
     stand_in = newest.where(use_older)
     summed = stand_in.agg(
@@ -129,7 +140,8 @@ def load_history(spark: SparkSession, path: str) -> History:
 
     The parsed lines feed several branches: they are parsed once and stored.
     """
-    return split_history(scratch.stored(parse_lines(spark.read.text(path, lineSep="\n")), "parsed"))
+    lines = spark.read.text(path, lineSep="\n")
+    return split_history(scratch.stored(parse_lines(lines, order=_place()), "parsed"))
 
 
 def _line_start() -> Column:

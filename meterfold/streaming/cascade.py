@@ -8,13 +8,14 @@ are combined in the map tasks before they reach it.
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterfold import model
+from meterfold.functions import text
 from meterfold.model import Band, Measures
 from meterfold.operators import rollup
 from meterfold.session import DEFAULTS
@@ -64,16 +65,24 @@ def plain_windows(level: DataFrame) -> DataFrame:
     return level.select(start.alias("window_start"), *rest)
 
 
+#: Take what is there now, then stop.
+ONCE = {"availableNow": True}
+
+
 def duty_cycle(
     readings: DataFrame,
     time: str,
     active: int = model.WINDOW_MINUTES,
     cycle: int = model.CYCLE_MINUTES,
+    origin_minutes: int = 0,
 ) -> DataFrame:
-    """Readings of the first ``active`` minutes of every cycle, with ``cycle_start``."""
+    """Readings of the first ``active`` minutes of every cycle, with ``cycle_start``.
+
+    Cycles begin ``origin_minutes`` after the epoch and every ``cycle`` minutes from there.
+    """
     if not 0 < active <= cycle:
         raise ValueError("active must be between 1 and the cycle length")
-    start = F.window(time, f"{cycle} minutes")["start"]
+    start = rollup.tumbling(time, cycle, origin_minutes % cycle)["start"]
     placed = readings.withColumn("cycle_start", start)
     limit = F.col("cycle_start") + F.expr(f"INTERVAL '{active}' MINUTE")
     return placed.where(F.col(time) < limit)
@@ -91,43 +100,47 @@ def many_keys(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what is available now into Parquet files."""
-    query = (
+def start_to_files(
+    stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = ONCE
+) -> StreamingQuery:
+    """Start a stream into Parquet files; ``trigger`` as in ``DataStreamWriter.trigger``."""
+    return (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
-    query.awaitTermination()
+
+
+def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Process what is available now into Parquet files."""
+    start_to_files(stream, path, checkpoint).awaitTermination()
 
 
 def cascade_routes(
-    distributors: DataFrame, hierarchy: DataFrame, parent_keys: Sequence[str], parent_id: str
+    distributors: DataFrame,
+    hierarchy: DataFrame,
+    parent_keys: Sequence[str],
+    parent_id: str,
+    minutes: int = model.WINDOW_MINUTES,
 ) -> list[messages.Route]:
-    """Routes of levels 2 to 4 for a set of closed windows."""
+    """Routes of the complete records of levels 2 to 4 for a set of closed windows."""
     placed = rollup.with_parents(distributors, hierarchy)
     concentrators = rollup.by_parent(placed, parent_keys)
-    center = rollup.recap(concentrators)
-    start = F.col("window_start")
+    districts = rollup.concentrator_records(concentrators, minutes)
+    center = rollup.stream_cycles(rollup.recap(concentrators), minutes=minutes)
+    recaps = rollup.center_records(center, districts, parent_id)
     return [
         messages.Route(
-            rollup.finish(placed), model.TOPIC_DISTRIBUTORS, F.col("distributor_id")
-        ),
-        messages.Route(
-            rollup.finish(concentrators), model.TOPIC_CONCENTRATORS, F.col(parent_id)
+            rollup.distributor_records(placed, minutes), model.TOPIC_DISTRIBUTORS, F.col("distributor_id")
         ),
-        messages.Route(rollup.finish(center), model.TOPIC_CENTER, _window_key(start)),
+        messages.Route(districts, model.TOPIC_CONCENTRATORS, F.col(parent_id)),
+        messages.Route(recaps, model.TOPIC_CENTER, text.cycle_key(F.col("cycle_id"))),
     ]
 
 
-def _window_key(start: Column) -> Column:
-    """Key of a window that needs no count of the windows before it."""
-    return F.concat(F.lit("cycle-"), F.date_format(start, "yyyyMMddHHmm"))
-
-
 def fan_out(
     readings: DataFrame,
     hierarchy: DataFrame,
@@ -137,19 +150,26 @@ def fan_out(
     checkpoint: str,
     measures: Measures = Measures(),
     band: Band = Band(),
+    minutes: int = model.WINDOW_MINUTES,
+    origin_minutes: int = 0,
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Publish levels 2 to 4, each to its topic, from one stateful aggregation.
 
     All rows of a window close in the same micro-batch, so the upper levels are
     plain aggregates of that batch. ``publish`` gets the batch number and must
-    replace what an earlier attempt of that batch wrote.
+    replace what an earlier attempt of that batch wrote. With a ``trigger`` such as
+    ``{"processingTime": "1 minute"}`` the query keeps running. Readings outside the
+    active part of a cycle are left out by :func:`duty_cycle` before.
     """
-    level = plain_windows(by_distributor(readings, ["distributor_id"], measures, band))
+    level = plain_windows(
+        by_distributor(readings, ["distributor_id"], measures, band, minutes, origin_minutes)
+    )
 
     def send(batch: DataFrame, number: int) -> None:
         held = batch.persist()
         try:
-            routes = cascade_routes(held, hierarchy, parent_keys, parent_id)
+            routes = cascade_routes(held, hierarchy, parent_keys, parent_id, minutes)
             publish(messages.message_frame(routes), number)
         finally:
             held.unpersist()
@@ -158,11 +178,51 @@ def fan_out(
         level.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(send)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
 
+def consume(
+    sent: DataFrame,
+    hierarchy: DataFrame,
+    parent_keys: Sequence[str],
+    parent_id: str,
+    publish: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    band: Band = Band(),
+    delay: str = DELAY,
+    active: int | None = None,
+    cycle: int = model.CYCLE_MINUTES,
+    origin_minutes: int = 0,
+    trigger: Mapping[str, object] = ONCE,
+) -> StreamingQuery:
+    """The whole consumer: level-1 messages of a stream in, messages of levels 2 to 4 out.
+
+    ``sent`` are the (topic, key, value) rows of ``messages.subscribe``, a growing log or a folder
+    of envelopes. ``active`` keeps only the first minutes of every cycle, as in the duty
+    cycle of the meters.
+    """
+    readings = with_watermark(messages.readings_of(sent), Measures().time, delay)
+    if active is not None:
+        readings = duty_cycle(readings, Measures().time, active, cycle, origin_minutes).drop("cycle_start")
+    # The record of a reading names its place; the hierarchy is the one that counts.
+    wanted = ["meter_id", "distributor_id", *(getattr(Measures(), f) for f in ("time", "energy", "voltage", "current"))]
+    return fan_out(
+        readings.select(*wanted), hierarchy, parent_keys, parent_id, publish, checkpoint,
+        band=band, origin_minutes=origin_minutes, trigger=trigger,
+    )
+
+
+def broker_publisher(servers: str) -> Callable[[DataFrame, int], None]:
+    """Publisher to a broker; a batch that is attempted again is sent again."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        messages.publish(batch, messages.Target(servers=servers))
+
+    return write
+
+
 def file_publisher(path: str) -> Callable[[DataFrame, int], None]:
     """Publisher that writes each batch to a folder of its own and overwrites it on retry."""
 
@@ -184,7 +244,11 @@ def committed_publisher(path: str, name: str) -> Callable[[DataFrame, int], None
 
 
 def forward_readings(
-    readings: DataFrame, key: Column, publish: Callable[[DataFrame, int], None], checkpoint: str
+    readings: DataFrame,
+    key: Column,
+    publish: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: Mapping[str, object] = ONCE,
 ) -> StreamingQuery:
     """Publish level 1: every reading, keyed by its meter."""
     def send(batch: DataFrame, number: int) -> None:
@@ -194,7 +258,7 @@ def forward_readings(
         readings.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(send)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 

@@ -54,3 +54,31 @@ def test_session_sizing():
     assert sized_for(10)["spark__sql__shuffle__partitions"] == "200"
     assert sized_for(10 * 2**40)["spark__sql__shuffle__partitions"] == "40960"
     assert sized_for(2**60)["spark__sql__shuffle__partitions"] == "100000"
+
+
+def test_a_named_batch_can_be_repeated(spark, tmp_path):
+    """Origin, duty cycle and versioned outputs of the batch job."""
+    readings = spark.range(7200).select(
+        F.concat(F.lit("M"), "id").alias("meter_id"),
+        F.concat(F.lit("D"), F.col("id") % 6).alias("distributor_id"),
+        (F.lit(T0).cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, 0, id)")).alias("timestamp"),
+        F.lit(0.5).alias("energy_consumption"),
+        F.lit(230.0).alias("voltage"),
+        F.lit(1.5).alias("current"),
+    )
+    hierarchy = spark.createDataFrame(
+        [(f"D{i}", f"C{i % 2}", f"Area{i % 2}", f"A{i % 2}", "Residential") for i in range(6)],
+        "distributor_id STRING, concentrator_id STRING, district STRING, district_code STRING, zone_type STRING",
+    )
+    log, target = str(tmp_path / "log"), messages.Target(path=str(tmp_path / "out"))
+    for _ in range(2):
+        jobs.roll_up(readings, hierarchy, target, log, origin_minutes=10, active=15, batch="14h", keep_windows=3)
+    sent = messages.read_committed(spark, target.path)
+    counts = {r["topic"]: r["count"] for r in sent.groupBy("topic").count().collect()}
+    # Cycles from 13:40: active 13:40-13:55, 14:10-14:25, 14:40-14:55, 15:10-15:25, 15:40-15:55.
+    assert counts == {
+        model.TOPIC_READINGS: 3600, model.TOPIC_DISTRIBUTORS: 24, model.TOPIC_CONCENTRATORS: 8, model.TOPIC_CENTER: 4,
+    }
+    kept = history.split_history(history.parse_lines(history.committed_lines(spark, log)))
+    assert sorted(r.window_start.strftime("%H:%M") for r in kept.cycles.collect()) == ["14:40", "15:10", "15:40"]
+    assert kept.districts.count() == 6

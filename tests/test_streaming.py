@@ -166,3 +166,65 @@ def test_forward_readings(spark, folder, tmp_path):
 def test_broker_sink_options():
     options = cascade.sink_options("/ck", "host:1")
     assert options["kafka.acks"] == "1" and options["checkpointLocation"] == "/ck"
+
+
+def test_published_records_are_complete(spark, folder, hierarchy, tmp_path):
+    """Every topic read back, field by field, against the batch records."""
+    out = str(tmp_path / "out")
+    query = cascade.fan_out(
+        _stream(spark, folder), hierarchy, ["concentrator_id"], "concentrator_id",
+        cascade.committed_publisher(out, "levels"), str(tmp_path / "s"),
+    )
+    query.awaitTermination()
+    log = messages.read_committed(spark, out)
+    level2 = rollup.with_parents(_closed(rollup.by_distributor(tables.load(spark, folder, "readings"))), hierarchy)
+    level3 = rollup.by_parent(level2, ["concentrator_id"])
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c)
+    for topic, want, schema in (
+        (model.TOPIC_DISTRIBUTORS, rollup.distributor_records(level2), model.DISTRIBUTOR_SCHEMA),
+        (model.TOPIC_CONCENTRATORS, rollup.concentrator_records(level3), model.CONCENTRATOR_SCHEMA),
+    ):
+        got = messages.of_topic(log, topic, schema)
+        want = want.withColumns({c: iso(c) for c in ("window_start", "window_end")})
+        assert _same(got.select(*want.columns), want)
+        assert got.where("timestamp is null or timestamp <> window_start").isEmpty()
+    fields = log.where(F.col("topic") == model.TOPIC_CONCENTRATORS).select(F.json_object_keys("value").alias("k")).first()["k"]
+    assert "avg_current" not in fields and "timestamp" in fields
+    center = messages.of_topic(log, model.TOPIC_CENTER, model.RECAP_SCHEMA)
+    for r in center.collect():
+        start = r.window_start
+        assert r.message_key == f"cycle-{r.cycle_id}" and r.cycle_start == start
+        assert dt.datetime.fromisoformat(r.cycle_end) == dt.datetime.fromisoformat(start) + dt.timedelta(minutes=17)
+        assert r.districts_reported == len(r.districts) == 2
+        assert r.total_meters == sum(d.total_meters for d in r.districts)
+        assert {d.timestamp for d in r.districts} == {start}
+    text = log.where(F.col("topic") == model.TOPIC_CENTER).select(F.json_object_keys("value").alias("k")).first()["k"]
+    assert not {"avg_voltage", "avg_current", "min_voltage", "max_voltage"} & set(text)
+
+
+def test_consumer_keeps_running(spark, folder, hierarchy, tmp_path):
+    """Messages in, messages out, with a free trigger; only the active minutes of a cycle count."""
+    rows = tables.load(spark, folder, "readings")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    route = messages.Route(rows, model.TOPIC_READINGS, F.col("meter_id"))
+    messages.publish(messages.message_frame([route]), messages.Target(path=source))
+    query = cascade.consume(
+        messages.stream_envelopes(spark, source), hierarchy, ["concentrator_id"], "concentrator_id",
+        cascade.committed_publisher(out, "levels"), str(tmp_path / "s"), active=15, origin_minutes=5,
+        trigger={"processingTime": "1 second"},
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    active = cascade.duty_cycle(rows, "timestamp", 15, 30, 5).drop("cycle_start")
+    want = rollup.by_distributor(active, origin_minutes=5)
+    assert {r.window_start.minute for r in want.select("window_start").distinct().collect()} == {5, 35}
+    last = active.agg(F.max("timestamp")).first()[0]
+    limit = F.lit(last - dt.timedelta(minutes=25)).cast("timestamp_ntz")
+    want = want.where(F.col("window_start") <= limit)
+    got = messages.of_topic(messages.read_committed(spark, out), model.TOPIC_DISTRIBUTORS, model.DISTRIBUTOR_SCHEMA)
+    starts = {r[0] for r in got.select("window_start").distinct().collect()}
+    assert starts and starts <= {r[0].isoformat() for r in want.select("window_start").distinct().collect()}
+    assert got.agg(F.sum("total_meters")).first()[0] == want.agg(F.sum("total_meters")).first()[0]
