@@ -153,9 +153,13 @@ def pivot_measure(
     unlisted = F.concat(F.lit("value is not listed: "), F.coalesce(F.col(columns), F.lit("null")))
     rest = F.lit(other) if other else F.raise_error(unlisted).cast("string")
     placed = rows.withColumn(columns, F.when(listed, F.col(columns)).otherwise(rest))
-    cells = placed.groupBy(index).pivot(columns, [*values, *([other] if other else [])]).agg(measure)
+    wanted = [*values, *([other] if other else [])]
     if total is None:
-        return cells
-    totals = rows.groupBy(F.col(index).alias("_index")).agg(measure.alias(total))
-    joined = cells.join(totals, cells[index].eqNullSafe(totals["_index"]), "inner")
-    return joined.drop("_index")
+        return placed.groupBy(index).pivot(columns, wanted).agg(measure)
+    if total in wanted:
+        raise ValueError(f"{total} is the name of a value")
+    # Cells and totals come from one scan and one shuffle of partial rows; the pivot sees cells only.
+    both = placed.groupingSets([[F.col(index), F.col(columns)], [F.col(index)]], index, columns)
+    cells = both.agg(measure.alias("_cell"), F.grouping(columns).alias("_whole"))
+    named = cells.withColumn(columns, F.when(F.col("_whole") == 1, F.lit(total)).otherwise(F.col(columns)))
+    return named.groupBy(index).pivot(columns, [*wanted, total]).agg(F.max("_cell"))
