@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterfold import scratch
 from meterfold.functions import text
 from meterfold.operators import ordering
 
@@ -85,6 +86,43 @@ def sequence_keys(
     ).drop("_place")
 
 
+def roots(links: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """``child``, ``root`` and ``depth`` of every node that has a parent, however deep it lies.
+
+    Pointer doubling: every node points to an ancestor and knows how far off it is; a round
+    replaces the pointer by that of the ancestor, so distances double and a chain of
+    a thousand takes ten rounds. A node whose pointer has no parent is done and leaves
+    the rounds. Repeated links are one; a null parent is none. A child with two
+    parents, or a cycle, raises an error.
+    """
+    two = F.raise_error(F.concat(F.lit("two parents: "), F.col(child).cast("string"))).cast("string").isNull()
+    held = links.where(F.col(child).isNotNull() & F.col(parent).isNotNull()).groupBy(child).agg(
+        F.min(parent).alias("root"), F.max(parent).alias("_other")
+    )
+    single = F.when(F.col("root") == F.col("_other"), F.lit(True)).otherwise(two)
+    waiting = scratch.stored(
+        held.where(single).select(F.col(child).alias("child"), "root", F.lit(1).cast("bigint").alias("depth")), "pointers"
+    )
+    nodes, reach, done = waiting.count(), 1, waiting.where("false")
+    while not waiting.isEmpty():
+        if reach > nodes:
+            raise ValueError(f"the hierarchy has a cycle, through {waiting.first()['child']}")
+        step = waiting.unionByName(done).select(
+            F.col("child").alias("_at"), F.col("root").alias("_up"), F.col("depth").alias("_more")
+        )
+        moved = waiting.join(step, F.col("root") == F.col("_at"), "left").select(
+            "child",
+            F.coalesce("_up", "root").alias("root"),
+            (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"),
+            F.col("_at").isNull().alias("_done"),
+        )
+        moved = scratch.stored(moved, "pointers")
+        done = done.unionByName(moved.where("_done").drop("_done"))
+        waiting = moved.where("not _done").drop("_done")
+        reach *= 2
+    return done.withColumnRenamed("child", child)
+
+
 def member_lists(
     members: DataFrame, group: Sequence[str], member: str, block: int | Column = LIST_BLOCK
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterfold import model
 from meterfold.functions import fixed
-from meterfold.operators import kmeans, lookup, reports, rollup, series
+from meterfold.operators import hierarchy, kmeans, lookup, reports, rollup, series
 from meterfold.plans import standins as si
 from meterfold.plans.projections import PLACES_SQL, places
 from meterfold.plans.registry import query
@@ -61,6 +61,24 @@ def resolve_parent(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "JOI-3_deep_hierarchy",
+    """WITH RECURSIVE links AS (
+           SELECT c_custkey AS child, c_custkey - (c_custkey % 7 + 1) AS parent FROM customer),
+       walk AS (
+           SELECT child, parent AS root, 1::BIGINT AS depth FROM links
+           WHERE parent NOT IN (SELECT child FROM links)
+           UNION ALL
+           SELECT l.child, w.root, w.depth + 1 FROM walk w JOIN links l ON l.parent = w.child)
+       SELECT child, root, depth FROM walk""",
+)
+def deep_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer hangs on one a few numbers before it: chains as long as the table."""
+    customer = tables.load(spark, folder, "customer")
+    above = F.col("c_custkey") - (F.col("c_custkey") % 7 + 1)
+    return hierarchy.roots(customer.select(F.col("c_custkey").alias("child"), above.alias("parent")))
+
+
 @query(
     "JOI-4_parents_with_readings",
     "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT user_id FROM events)",

@@ -161,3 +161,20 @@ def test_text_ids_are_cut_by_a_prefix(members):
     ).isEmpty()
     lists = hierarchy.member_lists(named, ["g"], "name", block=prefix).collect()
     assert sum(len(r.members) for r in lists) == 3000 and max(len(r.members) for r in lists) <= 100
+
+
+def test_roots_of_deep_trees(spark):
+    """A chain of a thousand, a star, repeated links, and nodes named in any order."""
+    links = [(i, i + 1) for i in range(1000)] + [(2000 + i, 5000) for i in range(50)] + [(5000, 5001), (3, 4), (7000, None)]
+    frame = spark.createDataFrame(links, "c long, p long")
+    found = {r.c: (r.root, r.depth) for r in hierarchy.roots(frame, "c", "p").collect()}
+    want = {i: (1000, 1000 - i) for i in range(1000)} | {2000 + i: (5001, 2) for i in range(50)} | {5000: (5001, 1)}
+    assert found == want
+    assert hierarchy.roots(frame.where("false"), "c", "p").count() == 0
+
+
+def test_wrong_hierarchies_raise(spark):
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.roots(spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1)], "child long, parent long"))
+    with pytest.raises(Exception, match="two parents: 1"):
+        hierarchy.roots(spark.createDataFrame([(1, 2), (1, 3)], "child long, parent long"))
