@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterfold.llm.text import ALNUM_WORDS, ASCII_LOWER, BLOCK_BYTES, Block, blocks, pair
+from meterfold import scratch
+from meterfold.llm.text import ALNUM_WORDS, ASCII_LOWER, Block, blocks, pair, stretch_names
 
 WINDOW = 13
 SHINGLE = 3
-#: Windows sent to all tasks at a time (some 100 bytes each); more are searched in turns.
-WINDOWS_A_TURN = 200_000
+#: Bits of a filter per name in it, and of the largest filter sent to the tasks (16 MB).
+BITS_A_NAME = 32
+MOST_BITS = 1 << 27
+#: Windows in a batch that leaves a task.
+_SLICE = 10_000
 
 _FOLD = bytes(ASCII_LOWER[i] if ALNUM_WORDS[i] else 32 for i in range(256))
 
@@ -46,215 +50,225 @@ def _inside(first: np.ndarray, width: int) -> np.ndarray:
     return good
 
 
-class Keys:
-    """Sorted names, with a bit table that settles most look-ups of absent ones."""
+@dataclass
+class Filter:
+    """A bit table of names; a name that is in it is always found, others rarely."""
 
-    def __init__(self, names: np.ndarray):
-        self.names = np.unique(names)
-        self._table = np.zeros(1 << 20, dtype=bool)
-        self._table[self.names >> np.uint64(44)] = True
+    table: np.ndarray
+    log: int
 
-    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``names`` that hold a key, and the number of that key."""
-        maybe = np.flatnonzero(self._table[names >> np.uint64(44)])
-        at = np.searchsorted(self.names, names[maybe])
-        hit = np.zeros(len(maybe), dtype=bool)
-        inside = at < len(self.names)
-        hit[inside] = self.names[at[inside]] == names[maybe[inside]]
-        return maybe[hit], at[hit]
+    def holds(self, names: np.ndarray) -> np.ndarray:
+        found = np.ones(len(names), dtype=bool)
+        for at in (names >> np.uint64(64 - self.log), names & np.uint64((1 << self.log) - 1)):
+            found &= (self.table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return found
 
 
-def _found(block: Block, keys: dict[int, Keys]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per shingle width: positions of key shingles, and numbers of the keys."""
-    names, first = _word_names(block)
-    for width, held in keys.items():
-        if len(names) < width:
-            continue
-        at, which = held.find(_shingle_names(names, width))
-        good = _inside(first, width)[at]
-        yield width, at[good], which[good], first
+def filter_of(names: DataFrame, most_bits: int = MOST_BITS) -> Filter:
+    """The filter of a column of names, put together in Spark; at most ``most_bits`` reach the driver."""
+    held = names.toDF("name")
+    count = held.agg(F.approx_count_distinct("name")).first()[0]
+    log = max(6, min(most_bits.bit_length() - 1, (BITS_A_NAME * count).bit_length()))
+    high, low = F.shiftrightunsigned("name", 64 - log), F.col("name").bitwiseAND(F.lit((1 << log) - 1))
+    words = (
+        held.select(F.explode(F.array(high, low)).alias("at"))
+        .select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    )
+    table = np.zeros(1 << (log - 6), dtype=np.uint64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return Filter(table, log)
+
+
+_WINDOWS = "item_id bigint, window string, size int, name bigint, shingles array<bigint>"
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = [], []
-        for item, text in zip(batch.column(0), batch.column(1)):
-            words = words_of(text.as_py())
-            size = min(WINDOW, len(words))
-            for at in range(len(words) - size + 1 if words else 0):
-                ids.append(item.as_py())
-                texts.append(b" ".join(words[at : at + size]).decode("utf-8"))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["item_id", "window"])
+        for block in blocks(batch.column(1)):
+            names, first = _word_names(block)
+            starts, ends, _ = block.words(ALNUM_WORDS)
+            data = ASCII_LOWER[block.data].tobytes()
+            for i in range(len(block)):
+                low, high = int(first[i]), int(first[i + 1])
+                size = min(WINDOW, high - low)
+                if not size:
+                    continue
+                own, width = names[low:high], min(SHINGLE, size)
+                words = [data[a:b] for a, b in zip(starts[low:high].tolist(), ends[low:high].tolist())]
+                shingles = _shingle_names(own, width).view(np.int64)
+                for at in range(0, len(words) - size + 1, _SLICE):
+                    places = np.arange(at, min(at + _SLICE, len(words) - size + 1))
+                    inner = places[:, None] + np.arange(size - width + 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(np.full(len(places), block.first + i))),
+                            pa.array([b" ".join(words[p : p + size]) for p in places.tolist()], pa.string()),
+                            pa.array(np.full(len(places), size, np.int32)),
+                            pa.array(stretch_names(own, places, places + size).view(np.int64)),
+                            pa.array(list(shingles[inner]), pa.list_(pa.int64())),
+                        ],
+                        names=["item_id", "window", "size", "name", "shingles"],
+                    )
 
 
 def windows(items: DataFrame) -> DataFrame:
-    """``item_id``, ``window``: every run of 13 words, or the whole item if it has fewer."""
+    """Every run of 13 words of an item, or the whole item if it has fewer, and its shingles."""
     return items.select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(_windows, "item_id bigint, window string").distinct()
-
+    ).mapInArrow(_windows, _WINDOWS)
 
-def _shingles_of(texts: list[str]) -> tuple[list[int], list[np.ndarray]]:
-    """The shingle width of each window, and the names of its shingles in order."""
-    widths, names = [], []
-    for block in blocks(pa.array(texts, pa.large_string()), BLOCK_BYTES):
-        words, first = _word_names(block)
-        for i in range(len(block)):
-            own = words[first[i] : first[i + 1]]
-            widths.append(min(SHINGLE, len(own)))
-            names.append(_shingle_names(own, widths[-1]))
-    return widths, names
 
-
-def _counted(keys):
+def _counted(held, widths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = {w: np.zeros(len(k.names), np.int64) for w, k in keys.value.items()}
             for block in blocks(batch.column(0)):
-                for width, _, which, _ in _found(block, keys.value):
-                    np.add.at(sums[width], which, 1)
-            for width, n in sums.items():
-                some = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), width, np.int32)), pa.array(keys.value[width].names[some].view(np.int64)), pa.array(n[some])],
-                    names=["width", "shingle", "n"],
-                )
+                names, first = _word_names(block)
+                for width in (w for w in widths if w <= len(names)):
+                    own = _shingle_names(names, width)
+                    own = own[held.value.holds(own) & _inside(first, width)[: len(own)]]
+                    shingles, n = np.unique(own, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(shingles.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"]
+                    )
 
     return run
 
 
-class Index:
-    """The windows of one turn under their rarest shingle."""
+def prefixes(docs: DataFrame, listed: DataFrame, sizes: list[int], most_bits: int = MOST_BITS) -> DataFrame:
+    """Each window once, with its rarest shingle in ``docs`` and that shingle's place.
+
+    All shingles of a window must be in a document that holds it, so in the order of
+    rarity a prefix of one is enough. Windows with a shingle that no document has are gone.
+    """
+    spark = docs.sparkSession
+    placed = listed.select("window", "size", "name", "shingles").distinct().select(
+        "window", "size", "name", F.posexplode("shingles").alias("place", "shingle")
+    )
+    held = spark.sparkContext.broadcast(filter_of(placed.select("shingle"), most_bits))
+    widths = sorted({min(SHINGLE, s) for s in sizes})
+    seen = docs.select("text").mapInArrow(_counted(held, widths), "shingle bigint, n bigint")
+    counts = seen.groupBy("shingle").agg(F.sum("n").alias("n"))
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place", "shingle"))
+    ranked = placed.join(counts, "shingle", "left").groupBy("window", "size", "name").agg(rarest.alias("first"))
+    return ranked.where("first.n > 0").select("window", "size", "name", "first.place", "first.shingle")
+
 
-    def __init__(self, texts: list[str], items: list[list[int]], counts: dict[tuple[int, int], int]):
-        widths, names = _shingles_of(texts)
-        self.texts, self.items = [t.encode("utf-8") for t in texts], items
-        self.sizes = np.array([t.count(b" ") + 1 for t in self.texts], dtype=np.int64)
-        self.under: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for number, (width, own) in enumerate(zip(widths, names)):
-            known = [counts.get((width, int(s)), 0) for s in own.view(np.int64)]
-            place = min(range(len(own)), key=lambda i: (known[i], i))
-            if known[place]:  # else no document has it
-                self.under.setdefault((width, int(own[place])), []).append((number, place))
-        self.keys = {
-            w: Keys(np.array([s for v, s in self.under if v == w], dtype=np.uint64))
-            for w in {v for v, _ in self.under}
-        }
+_FOUND = "doc_id bigint, digest binary, n_words bigint, start bigint, size int, place int, shingle bigint, window string"
+_NAMES = [c.split()[0] for c in _FOUND.split(", ")]
 
 
-def _searched(index):
+def _candidates(names, first, sizes, keys: Filter, whole: Filter) -> Iterator[tuple]:
+    """Document, start, size, place and shingle of windows around key shingles."""
+    for size in sizes:
+        width = min(SHINGLE, size)
+        if len(names) < size:
+            continue
+        shingles = _shingle_names(names, width)
+        at = np.flatnonzero(keys.holds(shingles) & _inside(first, width)[: len(shingles)])
+        docs = np.searchsorted(first, at, "right") - 1
+        for place in range(size - width + 1):
+            start = at - place
+            good = (start >= first[docs]) & (start + size <= first[docs + 1])
+            start, doc, shingle = start[good], docs[good], shingles[at[good]]
+            good = whole.holds(stretch_names(names, start, start + size))
+            yield doc[good], start[good], size, place, shingle[good]
+
+
+def _searched(keys, whole, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Index = index.value
         for batch in batches:
-            texts, total = batch.column("text"), batch.num_rows
-            n_words = np.zeros(total, np.int64)
-            spans: list[list | None] = [None] * total
-            items: list[set | None] = [None] * total
-            for block in blocks(texts):
-                first = _word_names(block)[1]
-                n_words[block.first : block.first + len(block)] = np.diff(first)
-                held: dict[int, list[bytes]] = {}
-                for width, at, which, first in _found(block, found.keys):
-                    docs = np.searchsorted(first, at, "right") - 1
-                    shingles = found.keys[width].names
-                    for pos, key, doc in zip(at.tolist(), which.tolist(), docs.tolist()):
-                        for number, place in found.under[width, int(shingles[key])]:
-                            start, size = pos - first[doc] - place, found.sizes[number]
-                            if start < 0 or start + size > first[doc + 1] - first[doc]:
-                                continue
-                            if doc not in held:
-                                held[doc] = words_of(texts[block.first + doc].as_py())
-                            if b" ".join(held[doc][start : start + size]) != found.texts[number]:
-                                continue
-                            row = block.first + doc
-                            if spans[row] is None:
-                                spans[row], items[row] = [], set()
-                            spans[row].append((int(start), int(start + size)))
-                            items[row].update(found.items[number])
-            columns = [batch.column(i) for i in range(batch.num_columns - 3)]
-            old_spans, old_items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-            flat = [
-                [v for span in merged([*zip(*[iter(o or [])] * 2), *(s or [])]) for v in span]
-                for o, s in zip(old_spans, spans)
-            ]
-            ids = [sorted({*(o or []), *(i or ())}) for o, i in zip(old_items, items)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(n_words), pa.array(flat, pa.list_(pa.int64())), pa.array(ids, pa.list_(pa.int64()))],
-                names=batch.schema.names,
-            )
+            for block in blocks(batch.column("text")):
+                names, first = _word_names(block)
+                n_words = np.diff(first).astype(np.int64)
+                ids = batch.column("doc_id").slice(block.first, len(block))
+                digests = batch.column("digest").slice(block.first, len(block))
+                nothing = [pa.nulls(len(block), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string())]
+                yield pa.RecordBatch.from_arrays([ids, digests, pa.array(n_words), *nothing], names=_NAMES)
+                words = None
+                for docs, starts, size, place, shingles in _candidates(names, first, sizes, keys.value, whole.value):
+                    if words is None and len(docs):
+                        data = ASCII_LOWER[block.data].tobytes()
+                        low, high, _ = block.words(ALNUM_WORDS)
+                        words = True
+                    for cut in range(0, len(docs), _SLICE):
+                        doc, start = docs[cut : cut + _SLICE], starts[cut : cut + _SLICE]
+                        texts = [
+                            b" ".join(data[a:b] for a, b in zip(low[s : s + size].tolist(), high[s : s + size].tolist()))
+                            for s in start.tolist()
+                        ]
+                        at = pa.array(doc)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.nulls(len(doc), pa.int64()), digests.take(at), pa.array(n_words[doc]),
+                                pa.array((start - first[doc]).astype(np.int64)),
+                                pa.array(np.full(len(doc), size, np.int32)), pa.array(np.full(len(doc), place, np.int32)),
+                                pa.array(shingles[cut : cut + _SLICE].view(np.int64)), pa.array(texts, pa.string()),
+                            ],
+                            names=_NAMES,
+                        )
 
     return run
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Sorted spans without overlap."""
-    found: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if found and start <= found[-1][1]:
-            found[-1] = (found[-1][0], max(end, found[-1][1]))
-        else:
-            found.append((start, end))
-    return found
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
 
 
-def search(docs: DataFrame, items: DataFrame, text: str = "text", turn: int = WINDOWS_A_TURN) -> DataFrame:
-    """``docs`` and ``n_words``, ``spans`` (starts and ends of hit words), ``items``.
+def search(docs: DataFrame, items: DataFrame, most_bits: int = MOST_BITS) -> tuple[DataFrame, DataFrame]:
+    """The texts that hold windows of items, and the documents.
 
-    The join key of a window is one shingle, the rarest of the corpus: all of its
-    shingles must be in the document, so a prefix of one token in the order of
-    rarity is enough. Candidates pass the length and position bounds before the
-    words themselves are compared. Windows are held in all tasks, up to ``turn`` of
-    them; more are searched in turns, each a pass over the documents. ``docs``
-    needs ``text`` last and no columns named like the new ones.
+    ``docs`` has ``doc_id``, ``digest`` and ``text``. The first frame has one row per
+    different text with a hit: ``digest``, ``n_words``, ``n_hit``, ``spans`` (starts and ends
+    of hit words, apart from each other and in order) and ``items``; the second
+    ``doc_id``, ``digest`` and ``n_words`` of every row of ``docs``.
+
+    A join on the prefix token: windows come under their rarest shingle, documents give the
+    windows around their key shingles that pass the length and position bounds, and both
+    meet by shingle, place, size and the words themselves, so no key is shared by more
+    than one window. Two filters of bounded size keep back most of what has no partner;
+    what they let through wrongly finds none in the join. No window goes through the driver.
+    Equal texts are searched for once they are found, not once per copy.
     """
     spark = docs.sparkSession
-    own = windows(items)
-    total = own.select("window").distinct().count()
-    turns = max(1, -(-total // turn))
-    dealt = own.groupBy("window").agg(F.collect_set("item_id").alias("ids"))
-    found = docs.withColumns(
-        {
-            "n_words": F.lit(0).cast("bigint"),
-            "spans": F.array().cast("array<bigint>"),
-            "items": F.array().cast("array<bigint>"),
-        }
+    listed = scratch.stored(windows(items), "windows")
+    sizes = sorted(r["size"] for r in listed.select("size").distinct().collect())  # 13 at most
+    chosen = scratch.stored(prefixes(docs, listed, sizes, most_bits), "prefixes")
+    keys = spark.sparkContext.broadcast(filter_of(chosen.select("shingle"), most_bits))
+    whole = spark.sparkContext.broadcast(filter_of(chosen.select("name"), most_bits))
+    found = scratch.stored(docs.select("doc_id", "digest", "text").mapInArrow(_searched(keys, whole, sizes), _FOUND), "candidates")
+    candidates = found.where("start is not null").drop("doc_id").distinct()
+    on = ["shingle", "place", "size", "window"]
+    hits = scratch.stored(candidates.join(chosen.select(*on), on).select("digest", "n_words", "start", "size", "window"), "hits")
+    order = Window.partitionBy("digest").orderBy("start", "size")
+    end = F.col("start") + F.col("size")
+    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before >= F.col("start"), 0).otherwise(1)
+    spans = (
+        hits.select("digest", "n_words", "start", "size", opens.alias("opens"))
+        .withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("digest", "n_words", "span").agg(F.min("start").alias("low"), F.max(end).alias("high"))
+        .groupBy("digest", "n_words")
+        .agg(F.sum(F.col("high") - F.col("low")).alias("n_hit"), F.array_sort(F.collect_list(F.struct("low", "high"))).alias("spans"))
     )
-    for number in range(turns):
-        rows = dealt.where(F.pmod(F.xxhash64("window"), F.lit(turns)) == number).collect()
-        texts, ids = [r["window"] for r in rows], [list(r["ids"]) for r in rows]
-        widths, names = _shingles_of(texts)
-        keys = {
-            w: Keys(np.concatenate([n for n, v in zip(names, widths) if v == w])) for w in set(widths)
-        }
-        counts = {}
-        if keys:
-            seen = docs.select(text).mapInArrow(
-                _counted(spark.sparkContext.broadcast(keys)), "width int, shingle bigint, n bigint"
-            )
-            counts = {(r["width"], r["shingle"]): r["n"] for r in seen.groupBy("width", "shingle").agg(F.sum("n").alias("n")).collect()}
-        index = spark.sparkContext.broadcast(Index(texts, ids, counts))
-        found = found.mapInArrow(_searched(index), found.schema)
-    return found
+    met = (
+        hits.select("digest", "window").distinct()
+        .join(listed.where("item_id is not null").select("window", "item_id").distinct(), "window")
+        .groupBy("digest").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    )
+    texts = spans.join(met, "digest", "left").withColumn("items", F.coalesce("items", F.array().cast("array<bigint>")))
+    return texts, found.where("start is null").select("doc_id", "digest", "n_words")
 
 
 def _sha(column: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(F.transform(column, lambda i: i.cast("string"))), ","), 256)
 
 
-def verdicts(found: DataFrame) -> DataFrame:
-    """Counts and the contamination rule from the columns of :func:`search`."""
-    signed = F.transform("spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
-    n_hit = F.aggregate(signed, F.lit(0).cast("bigint"), lambda n, x: n + x)
-    return found.withColumn("n_hit", n_hit).withColumns(
-        {
-            "n_items": F.size("items").cast("bigint"),
-            "items_sha256": _sha(F.col("items")),
-            "contaminated": (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")),
-        }
-    )
+def _contaminated() -> Column:
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, turn: int = WINDOWS_A_TURN) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """Per row of ``docs``: words, hit words, items met, and whether it is contaminated.
 
     ``docs`` has ``doc_id`` and ``text``, ``items`` has ``item_id`` and ``text``; other
@@ -262,14 +276,25 @@ def contamination(docs: DataFrame, items: DataFrame, turn: int = WINDOWS_A_TURN)
     each on its own. Windows of an item without an id hit words but name no item.
     Without items no document is contaminated.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return verdicts(search(rows, items, turn=turn)).select(
-        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), _digest(F.col("text")).alias("digest"), F.col("text").cast("string").alias("text")
+    )
+    texts, listed = search(rows, items, most_bits)
+    found = listed.join(texts.select("digest", "n_hit", "items"), "digest", "left").withColumns(
+        {"n_hit": F.coalesce("n_hit", F.lit(0)), "items": F.coalesce("items", F.array().cast("array<bigint>"))}
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        _sha(F.col("items")).alias("items_sha256"), _contaminated().alias("contaminated"),
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, turn: int = WINDOWS_A_TURN) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    rows = docs.select(F.struct("*").alias("kept_row"), F.col("text").cast("string").alias("text"))
-    found = verdicts(search(rows, items, turn=turn))
-    return found.where(~F.col("contaminated")).select("kept_row.*")
+    rows = docs.select(
+        F.lit(None).cast("bigint").alias("doc_id"), _digest(F.col("text")).alias("digest"), F.col("text").cast("string").alias("text")
+    )
+    texts, _ = search(rows, items, most_bits)
+    bad = scratch.stored(texts.where(_contaminated()).select("digest"), "contaminated")
+    whole = docs.select(F.struct("*").alias("kept_row"), _digest(F.col("text")).alias("digest"))
+    return whole.join(bad, "digest", "left_anti").select("kept_row.*")

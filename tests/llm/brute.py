@@ -66,6 +66,30 @@ def contamination(rows, items):
     return found
 
 
+def passages(text, items):
+    """Spans of hit words, and the items met, of one text."""
+    words, spans, ids = ALNUM.findall(lower(text)), [], set()
+    for item, own in items:
+        held = ALNUM.findall(lower(own))
+        size = min(13, len(held))
+        own = {tuple(held[i : i + size]) for i in range(len(held) - size + 1 if held else 0)}
+        hits = [(i, i + size) for i in range(len(words) - size + 1) if own and tuple(words[i : i + size]) in own]
+        spans += hits
+        ids |= {item} if hits else set()
+    return spans, ids
+
+
+def merged(spans):
+    """Sorted spans without overlap."""
+    found = []
+    for start, end in sorted(spans):
+        if found and start <= found[-1][1]:
+            found[-1] = (found[-1][0], max(end, found[-1][1]))
+        else:
+            found.append((start, end))
+    return found
+
+
 def simhash(text, digest, width=3):
     words = WORDS.findall(lower(text))
     if not words:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from meterfold.llm import decontaminate
@@ -52,5 +53,30 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(docs.limit(0), spark.createDataFrame([(1, "a")], ITEMS)).count() == 0
 
 
+def test_spans_and_items(spark):
+    docs, items = sample()
+    rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("digest", F.encode(F.coalesce("text", F.lit("")), "utf-8"))
+    texts, listed = decontaminate.search(rows, spark.createDataFrame(items, ITEMS))
+    assert listed.count() == len(docs)
+    found = {bytes(r["digest"]).decode(): ([tuple(s) for s in r["spans"]], r["items"]) for r in texts.collect()}
+    want = {}
+    for _, text in docs:
+        spans, ids = brute.passages(text, items)
+        if spans:
+            want[text] = (brute.merged(spans), sorted(ids - {None}))
+    assert want and found == want
+
+
+def test_many_windows_share_one_shingle(spark):
+    """No list of windows under one shingle: they meet by their words."""
+    rng = random.Random(3)
+    items = [(i, " ".join([*(f"a{rng.randrange(50)}" for _ in range(5)), "one", "two", "three", *(f"b{rng.randrange(50)}" for _ in range(5))])) for i in range(20_000)]
+    docs = [(i, f"x{i} " + items[i % 7][1] + " y one two three") for i in range(300)]
+    found = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    ).collect()
+    assert {(r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in found} == {(18, 13, 1, True)}
+
+
 def test_merged():
-    assert decontaminate.merged([(5, 7), (0, 2), (1, 3), (3, 4)]) == [(0, 4), (5, 7)]
+    assert brute.merged([(5, 7), (0, 2), (1, 3), (3, 4)]) == [(0, 4), (5, 7)]
