@@ -61,6 +61,53 @@ def test_rates_are_shrunk_by_grouped_sums(spark):
         assert r["p_bad"] == pytest.approx(1 / (1 + np.exp(-odds)))
 
 
+def shrunk(groups):
+    """Rates of groups (n, s, rate above them), the spread of the groups setting the prior's weight."""
+    n = sum(g[0] for g in groups)
+    single = sum(g[0] * g[2] * (1 - g[2]) for g in groups) / n
+    between = (sum(g[0] * (g[1] / g[0] - g[2]) ** 2 for g in groups) - len(groups) * single) / n
+    weight = min(1e4, max(2.0, single / between - 1)) if between > 0 else 1e4
+    return [(g[1] + weight * g[2]) / (g[0] + weight) for g in groups]
+
+
+def test_rates_and_verdicts_against_brute_force(spark):
+    docs, labels = sample(500, seed=4)
+    docs = [(i, t, h, ("en", "de", None)[i % 3] if h == "h3" else "en") for i, t, h, _ in docs]
+    docs += [(None, docs[0][1], None, None), docs[7], (903, None, "lonely", "en")]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    known = spark.createDataFrame([r[:3] for r in labels if r[0] % 2], "doc_id long, quality int, toxic int")
+    heads = quality.fit(frame, known)
+    own, sums = [], {}
+    prior = np.prod([1 / (1 + np.exp(heads[h].base)) for h in quality.HEADS])
+    for doc_id, text, host, path in docs:
+        x = np.array(quality.features(text, [heads[h].lexicon for h in quality.HEADS]))
+        good = 1.0
+        for head in (heads[h] for h in quality.HEADS):
+            z = np.clip((x - head.mean) / head.scale, -8, 8)
+            odds = np.clip(head.weights[0] + sum(a * b for a, b in zip(head.weights[1:], z)) - head.base, -30, 30)
+            good *= 1 / (1 + np.exp(odds + head.base))
+        bad = min(1 - 1e-12, max(1e-12, 1 - good))
+        site = (host or "", path or "")
+        own.append((doc_id, site, bad, np.log(bad / (1 - bad)) - np.log((1 - prior) / prior)))
+        for key in (None, site[0], site):
+            n, s = sums.get(key, (0, 0.0))
+            sums[key] = (n + 1, s + bad)
+    mean = sums[None][1] / sums[None][0]
+    hosts = sorted(k for k in sums if isinstance(k, str))
+    host_rate = dict(zip(hosts, shrunk([(*sums[h], mean) for h in hosts])))
+    paths = sorted(k for k in sums if isinstance(k, tuple))
+    path_rate = dict(zip(paths, shrunk([(*sums[p], host_rate[p[0]]) for p in paths])))
+    want = []
+    for doc_id, site, bad, evidence in own:
+        p_bad = 1 / (1 + np.exp(-(np.log(path_rate[site] / (1 - path_rate[site])) + evidence)))
+        want.append((doc_id or -1, *site, bad, evidence, host_rate[site[0]], path_rate[site], p_bad, p_bad < quality.REJECT_FROM))
+    columns = ["p_document", "evidence", "host_rate", "path_rate", "p_bad", "kept"]
+    found = [(r["doc_id"] or -1, r["host"], r["path"], *(r[c] for c in columns)) for r in quality.classified(frame, known).collect()]
+    assert len(found) == len(want)
+    for a, b in zip(sorted(found), sorted(want)):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-6, abs=1e-9)
+
+
 def test_odd_rows(spark):
     docs, labels = sample(200)
     docs += [(None, docs[0][1], None, None), (901, None, "h1", None), (902, "", None, "en"), docs[5]]
