@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterfold import incremental, model, scratch
-from meterfold.functions import bands, fixed
+from meterfold.functions import bands, exact, fixed
 from meterfold.operators import counting, hierarchy, kmeans, reports, rollup, series
 from meterfold.plans import standins as si
 from meterfold.plans.inputs import TOPIC_COUNTS_SQL, level_messages
@@ -74,6 +74,22 @@ def mean_per_key(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Signed values over 84 powers of two, of which the SQL adds up the whole numbers.
+_WIDE_SQL = "CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * l_quantity * pow(2, 12 * l_linenumber)"
+
+
+@query(
+    "AGG-5_exact_sum",
+    f"""SELECT l_suppkey, count(*) AS n, CAST(sum(CAST({_WIDE_SQL} AS HUGEINT)) AS DOUBLE) / pow(2, 40) AS total
+        FROM lineitem GROUP BY 1""",
+)
+def exact_sum(spark: SparkSession, folder: str) -> DataFrame:
+    sign = F.when(F.col("l_returnflag") == "R", -1.0).otherwise(1.0)
+    wide = sign * F.col("l_quantity") * F.pow(F.lit(2.0), 12 * F.col("l_linenumber") - 40)
+    lines = tables.load(spark, folder, "lineitem").select("l_suppkey", wide.alias("wide"))
+    return exact.exact_sums(lines, ["l_suppkey"], "wide")
+
+
 @query(
     "AGG-6_distributor_window",
     f"{si.TO_LEVEL2} SELECT {si.record_sql('distributor_id')} FROM l2",
