@@ -44,13 +44,33 @@ def matrix(batch: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return numbers.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width), present
 
 
-def nearest(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Index of the nearest row of ``table``; the lowest index wins a tie."""
-    distances = np.empty((len(rows), len(table)))
+def distances(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Distance of every row to every row of ``table``."""
+    squares = np.empty((len(rows), len(table)))
     for i, centroid in enumerate(table):
         gaps = rows - centroid
-        np.einsum("ij,ij->i", gaps, gaps, out=distances[:, i])
-    return np.sqrt(distances).argmin(axis=1).astype(np.int32)
+        np.einsum("ij,ij->i", gaps, gaps, out=squares[:, i])
+    return np.sqrt(squares)
+
+
+def nearest(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Index of the nearest row of ``table``; the lowest index wins a tie."""
+    return distances(rows, table).argmin(axis=1).astype(np.int32)
+
+
+def nearest_with_slack(rows: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest row of ``table``, and by how much the second nearest is farther.
+
+    The slack is a little less than the true one, by more than distances are rounded.
+    """
+    held = distances(rows, table)
+    found = held.argmin(axis=1).astype(np.int32)
+    every = np.arange(len(rows))
+    first = held[every, found]
+    held[every, found] = np.inf
+    second = held.min(axis=1)
+    doubt = 1e-9 * (first + np.where(np.isinf(second), 0.0, second) + np.abs(table).max())
+    return found, second - first - doubt
 
 
 def of_length(vector: Column, width: int) -> Column:

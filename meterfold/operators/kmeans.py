@@ -4,7 +4,8 @@ The driver holds k x d numbers and nothing else. One round is one scan: tasks
 find the nearest centroids of an Arrow batch of vectors and add the vectors up,
 so k x d partial sums per batch are all that leaves them, however many points a
 cluster has. Sums are kept as whole numbers, a whole part and a fraction, which makes
-centroids, rounds and the stop the same for every partitioning.
+centroids, rounds and the stop the same for every partitioning. :func:`fit_bounded` keeps
+bounds between rounds and looks only at the points that may have changed cluster.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterfold import scratch
 from meterfold.functions import vectors
 from meterfold.operators import sampling
 
@@ -38,6 +40,8 @@ class KMeansResult:
     rounds: int
     shift: float
     converged: bool
+    #: Share of the distances (points x centroids x rounds) that bounds made needless.
+    skipped: float = 0.0
 
 
 def start_centroids(
@@ -216,6 +220,128 @@ def fit(
             data.unpersist()
 
 
+_Totals = dict[tuple[int, int], tuple[int, int, int]]
+
+
+def _totals(sums: DataFrame) -> _Totals:
+    """Members and sums per (group, coordinate), k x d of them."""
+    exact = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("n", "whole", "fraction")]
+    rows = sums.groupBy("g", "pos").agg(*exact).collect()
+    return {(r["g"], r["pos"]): (int(r["n"]), int(r["whole"]), int(r["fraction"])) for r in rows}
+
+
+def _placed(centroids: Centroids):
+    table = np.array(centroids, dtype=np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("v")
+            rows, _ = vectors.matrix(held, table.shape[1])
+            found, slack = vectors.nearest_with_slack(rows, table)
+            yield pa.RecordBatch.from_arrays(
+                [held, pa.array(found), pa.array(slack)], names=["v", "cluster", "slack"]
+            )
+
+    return run
+
+
+def _changes(centroids: Centroids):
+    """Sums that leave and enter clusters; the points looked at are members of group -1."""
+    table = np.array(centroids, dtype=np.float64)
+    k, width = table.shape
+    numbers = pa.array([*range(k), -1], pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, _ = vectors.matrix(batch.column("v"), width)
+            before = batch.column("cluster").to_numpy()
+            now = vectors.nearest(rows, table)
+            moved = now != before
+            nothing = np.zeros(width, dtype=np.int64)
+            left = ((g, -n, -w, -f) for g, n, w, f in _sums(before[moved], rows[moved], k))
+            entered = _sums(now[moved], rows[moved], k)
+            yield _records(numbers, [(k, len(rows), nothing, nothing), *left, *entered])
+
+    return run
+
+
+def _open_points(stock: DataFrame, anchor: Centroids, current: Centroids) -> DataFrame:
+    """Points whose slack the moves since ``anchor`` may have used up.
+
+    A point keeps its cluster while the way of its own centroid and the longest way of
+    another one together stay below its slack (triangle inequality).
+    """
+    ways = [math.dist(a, b) for a, b in zip(anchor, current, strict=True)]
+    needs = [
+        (way + max((w for j, w in enumerate(ways) if j != i), default=0.0)) * (1 + 1e-9)
+        for i, way in enumerate(ways)
+    ]
+    need = F.get(F.array(*[F.lit(x) for x in needs]), F.col("cluster"))
+    return stock.where((F.col("slack") <= max(needs)) & (F.col("slack") <= need)).select("v", "cluster")
+
+
+def fit_bounded(
+    points: DataFrame,
+    vector: str,
+    start: Centroids,
+    max_rounds: int = 20,
+    tolerance: float = 1e-4,
+) -> KMeansResult:
+    """:func:`fit` in which points that cannot have changed cluster are left alone.
+
+    A stock-taking writes every vector with its cluster and its slack, by how much the second
+    nearest centroid is farther. In later rounds the slack decides, in the JVM, who is looked
+    at again, and the sums of the stock are corrected by those that changed cluster. The
+    stock is sorted by slack inside each file, so row groups of settled points are not read.
+    Stock is taken again when most points are open though the centroids have calmed down.
+    Sums are whole numbers: centroids, rounds and shift are those of :func:`fit`, bit by bit.
+    """
+    if max_rounds < 1 or not start:
+        raise ValueError("max_rounds and the number of start centroids must be positive")
+    current = [[float(x) for x in c] for c in start]
+    data = points.select(F.col(vector).cast("array<double>").alias("v")).where("v is not null")
+    spark = points.sparkSession
+    done, looked_at, members = 0, 0, 0
+    while True:
+        with scratch.job(spark):
+            anchor, calm = current, math.inf
+            placed = data.mapInArrow(_placed(anchor), "v array<double>, cluster int, slack double")
+            stock = scratch.stored(placed.sortWithinPartitions("slack"), "clusters")
+            base = _totals(
+                stock.select(F.col("cluster").alias("g"), "v").mapInArrow(_group_sums, f"g int, {_SUMS}")
+            )
+            members = looked = sum(n for (_, pos), (n, _, _) in base.items() if pos == 0)
+            changed: _Totals = {}
+            while True:
+                following = _from_totals(current, base, changed)
+                shift = total_shift(current, following)
+                current, done, looked_at = following, done + 1, looked_at + looked
+                if shift < tolerance or done == max_rounds:
+                    share = 1 - looked_at / (members * done) if members else 0.0
+                    return KMeansResult(current, done, shift, shift < tolerance, share)
+                if calm == math.inf:
+                    calm = shift / 2
+                elif 2 * looked > members and shift < calm:
+                    break
+                again = _open_points(stock, anchor, current)
+                changed = _totals(again.mapInArrow(_changes(current), f"g int, {_SUMS}"))
+                looked = changed.get((-1, 0), (0, 0, 0))[0]
+
+
+def _from_totals(current: Centroids, base: _Totals, changed: _Totals) -> list[list[float]]:
+    """New centroids from the sums of the stock and the changes since; an empty one stays."""
+    none = (0, 0, 0)
+    moved = []
+    for g, centroid in enumerate(current):
+        row = []
+        for pos, old in enumerate(centroid):
+            sums = zip(base.get((g, pos), none), changed.get((g, pos), none), strict=True)
+            n, whole, fraction = (a + b for a, b in sums)
+            row.append((float(whole) + float(fraction) / _FRACTION) / n if n else old)
+        moved.append(row)
+    return moved
+
+
 def ml_kmeans(points: DataFrame, vector: str, k: int, seed: int = 42, max_rounds: int = 20):
     """Spark ML's k-means on the same column, for use outside compared results.
 

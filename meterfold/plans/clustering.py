@@ -137,6 +137,18 @@ def fit(spark: SparkSession, folder: str) -> DataFrame:
     return held.select("vec_id", "cluster", F.lit(result.rounds).alias("rounds"))
 
 
+@query(
+    "KMN-5_bounded_fit",
+    f"""{_fit_sql()} SELECT vec_id, CAST(final.cluster AS INTEGER) AS cluster,
+        CAST((SELECT max(rounds) FROM c{ROUNDS}) AS INTEGER) AS rounds FROM final""",
+)
+def bounded_fit(spark: SparkSession, folder: str) -> DataFrame:
+    points = _points(spark, folder)
+    result = kmeans.fit_bounded(points, "embedding", _first_points(points), ROUNDS, TOLERANCE)
+    held = kmeans.assign(points, result.centroids, "embedding")
+    return held.select("vec_id", "cluster", F.lit(result.rounds).alias("rounds"))
+
+
 @query(
     "KMN-6_sizes",
     f"""{_fit_sql()} SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS points

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import dataclasses
+
 import numpy as np
 import pytest
 from pyspark import StorageLevel
 
+from meterfold import scratch
 from meterfold.operators import kmeans
 
 
@@ -43,6 +46,49 @@ def test_fit_matches_brute_force(spark, start, storage, arrow):
         assert result.centroids[2] == [99.0, 99.0]
 
 
+@pytest.mark.parametrize("start", [[[2, 2], [8, 3], [5, 8]], [[0, 0], [0.1, 0], [0, 0.1]], [[5, 5], [5, 5], [99, 99]], [[1, 1]]])
+def test_bounds_change_nothing(spark, start):
+    points = _frame(spark, _blobs()).unionByName(spark.createDataFrame([(-1, None)], "id INT, p ARRAY<DOUBLE>"))
+    plain = kmeans.fit(points, "p", start)
+    bounded = kmeans.fit_bounded(points.repartition(3), "p", start)
+    assert dataclasses.replace(bounded, skipped=0.0) == plain
+    assert 0.0 <= bounded.skipped < 1.0
+
+
+def test_bounds_skip_settled_points(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(0, 30, (8, 6))
+    points = np.concatenate([c + rng.normal(0, 2, (400, 6)) for c in centers])
+    start = (points[::400] + 1.5).tolist()
+    frame = _frame(spark, points)
+    bounded = kmeans.fit_bounded(frame, "p", start)
+    assert dataclasses.replace(bounded, skipped=0.0) == kmeans.fit(frame, "p", start)
+    assert bounded.rounds >= 2 and bounded.skipped > 0.3
+
+
+def test_stock_is_taken_again(spark, monkeypatch):
+    taken = []
+    stored = scratch.stored
+    monkeypatch.setattr(kmeans.scratch, "stored", lambda rows, label: taken.append(label) or stored(rows, label))
+    rng = np.random.default_rng(5)
+    frame = _frame(spark, rng.normal(0, 1, (2000, 2)))
+    start = [[0.01 * i, 0.0] for i in range(4)]
+    bounded = kmeans.fit_bounded(frame, "p", start, max_rounds=60)
+    assert dataclasses.replace(bounded, skipped=0.0) == kmeans.fit(frame, "p", start, max_rounds=60)
+    assert len(taken) > 1
+
+
+def test_bounded_fit_of_nothing_and_of_odd_values(spark):
+    empty = spark.createDataFrame([], "p ARRAY<DOUBLE>")
+    result = kmeans.fit_bounded(empty, "p", [[1.0, 2.0]])
+    assert (result.centroids, result.rounds, result.skipped) == ([[1.0, 2.0]], 1, 0.0)
+    bad = spark.createDataFrame([([1.0, float("nan")],)], "p ARRAY<DOUBLE>")
+    with pytest.raises(Exception, match="not a number"):
+        kmeans.fit_bounded(bad, "p", [[1.0, 2.0], [3.0, 4.0]])
+    with pytest.raises(ValueError):
+        kmeans.fit_bounded(empty, "p", [])
+
+
 def test_round_limit(spark):
     points = _blobs()
     result = kmeans.fit(_frame(spark, points), "p", [[0, 0], [0.1, 0], [0, 0.1]], max_rounds=1)
