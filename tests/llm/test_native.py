@@ -73,6 +73,17 @@ def test_order_of_rules_changes_no_verdict(spark):
     assert rules.judged(docs.limit(0)).count() == 0
 
 
+def test_a_costly_rule_comes_after_a_cheap_one_that_rejects_as_much(spark):
+    rows = rules.measured(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+    short = F.col("n_words") < 100
+    letters = F.array_sort(F.transform(F.split("text", ""), lambda x: F.sha2(x, 256)))
+    own = [rules.Rule("a", short & (F.size(letters) >= 0) & (F.array_max(letters) != "")), rules.Rule("b", short)]
+    for order in (own, own[::-1]):
+        found = rules.estimated(rows, order)
+        assert [e.rule.name for e in found] == ["b", "a"]
+        assert found[0].rejects == found[1].rejects > 0 and found[0].seconds < found[1].seconds
+
+
 def test_list_entries_as_of_the_fetch(spark):
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
     rng = random.Random(6)
