@@ -5,7 +5,8 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+import weakref
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_FOLDER: str | None = None
 _CREATED: list[str] = []
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,15 +49,36 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     columns share no shuffle), and its size is known when joins are planned. The
     shuffle files that led to it go as soon as it is written.
     """
+    return _written(rows, new_path(rows.sparkSession, label))
+
+
+def _written(rows: DataFrame, path: str) -> DataFrame:
     spark = rows.sparkSession
-    path = new_path(spark, label)
     before = spark.conf.get(_DROP_SHUFFLES)
     spark.conf.set(_DROP_SHUFFLES, "true")
     try:
         rows.write.parquet(path)
     finally:
         spark.conf.set(_DROP_SHUFFLES, before)
-    return spark.read.schema(rows.schema).parquet(path)
+    found = spark.read.schema(rows.schema).parquet(path)
+    _PATHS[found] = path
+    return found
+
+
+def finished(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The rows that ``build`` gives, stored; what it stored on the way is deleted."""
+    path = new_path(spark, label)
+    with job(spark):
+        return _written(build(), path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, once nothing is left that reads them."""
+    for rows in frames:
+        path = _PATHS.pop(rows, None)
+        if path is not None and path in _CREATED:
+            _CREATED.remove(path)
+            delete(rows.sparkSession, path)
 
 
 @contextlib.contextmanager

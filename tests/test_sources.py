@@ -266,3 +266,19 @@ def test_jobs_delete_only_their_own_tables(spark):
         path = scratch._CREATED[-1]
     assert outer.count() == 4
     assert scratch.delete(spark, path) is False
+
+
+def test_tables_can_go_before_the_job_ends(spark):
+    first, second = (scratch.stored(spark.range(n), "part") for n in (3, 4))
+    path = scratch._CREATED[-2]
+    scratch.release(first, spark.range(1))
+    assert path not in scratch._CREATED and not scratch.exists(spark, path) and second.count() == 4
+
+    def build():
+        return scratch.stored(spark.range(5), "inner").where("id > 1")
+
+    before = list(scratch._CREATED)
+    rows = scratch.finished(spark, "stage", build)
+    assert rows.count() == 3 and len(scratch._CREATED) == len(before) + 1
+    scratch.release(rows, second)
+    assert scratch._CREATED == before[:-1]
