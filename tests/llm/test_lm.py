@@ -59,7 +59,7 @@ def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
     found = []
     for block, parts in ((1000, 7), (1 << 20, 2)):
         monkeypatch.setattr(ngram_lm, "BLOCK_TEXT", block)
-        found.append(sorted((r["n_tokens"], round(r["score"], 6)) for r in ngram_lm.scores(rows, parts).collect()))
+        found.append(sorted((r["n_tokens"], round(r["score"], 6)) for r in ngram_lm.scores(rows, parts=parts).collect()))
     assert found[0] == found[1]
 
 
@@ -97,6 +97,65 @@ def test_shares_add_up(spark):
     assert total == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_counts_of_every_length(spark, monkeypatch, order):
+    """Blocks ask for few of the longer n-grams, and every count is that of the whole training part."""
+    rows = [r for r in texts() if r[0] is not None and r[0] < 400]
+    frame = spark.createDataFrame(rows, SCHEMA).dropDuplicates(["doc_id"]).repartition(3)
+    taken, asked = [], []
+    store = ngram_lm.scratch.stored
+
+    def stored(rows, label):
+        if label == "answers":
+            asked.append(label)
+        found = store(rows, label)
+        if label == "counted":
+            taken.extend(found.collect())
+        return found
+
+    monkeypatch.setattr(ngram_lm.scratch, "stored", stored)
+    monkeypatch.setattr(ngram_lm, "BLOCK_TEXT", 2000)
+    ngram_lm.scores(frame, order=order, parts=3)
+    assert len(asked) == order - 1
+    known = dict(rows)
+    tokens = {d: [*brute.WORDS.findall(brute.lower(t)), None] for d, t in known.items()}
+
+    def gram(doc, i, k):
+        return (k > i + 1, *tokens[doc][max(0, i + 1 - k) : i + 1])
+
+    want = [Counter(gram(d, i, k) for d in tokens if train(d) for i in range(len(tokens[d]))) for k in range(1, order + 1)]
+    seen = 0
+    for row in taken:
+        counts = [ngram_lm.unpacked(c).tolist() for c in row["counts"]]
+        at = 0
+        for doc, size in zip(row["doc_ids"], row["sizes"]):
+            assert size == len(tokens[doc])
+            for k in range(1, order + 1):
+                assert counts[k - 1][at : at + size] == [want[k - 1][gram(doc, i, k)] for i in range(size)]
+            at += size
+            seen += 1
+    assert seen == len(known)
+
+
+def test_longer_n_grams_help(spark):
+    """Texts of fixed phrases: held-out texts are better known with three words than with two."""
+    rng = random.Random(5)
+    phrases = [[f"a{rng.randint(0, 9)}" for _ in range(4)] for _ in range(25)]
+    rows = [(i, " ".join(w for _ in range(rng.randint(3, 9)) for w in rng.choice(phrases))) for i in range(400)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    held = [
+        sum(r["score"] for r in ngram_lm.scores(frame, order=order).collect() if r["held_out"]) for order in (2, 3)
+    ]
+    assert held[1] > 0.95 * held[0]
+
+
+def test_longer_weights():
+    """Where the longer n-gram explains more it gets most of the weight; without a context none."""
+    cells = np.array([(3 * 1001 + 0) * 1001 + 40, (5 * 1001 + 1000) * 1001 + 8, (0 * 1001 + 1000) * 1001 + 8])
+    weights = ngram_lm.longer_weights(cells, np.array([1000.0, 1000.0, 50.0]))
+    assert weights[3] > 0.9 and 0 < weights[5] < 0.01 and weights[0] == 0 and (weights[1:] < 1).all()
+
+
 def test_packed_numbers():
     for numbers in ([], [0], [5, 0, 2**63], list(range(1000))):
         numbers = np.array(numbers, dtype=np.uint64)
