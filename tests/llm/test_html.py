@@ -83,6 +83,48 @@ def test_repeated_subtrees_go_and_shared_passages_stay(spark):
     assert got[43] == "Own 3" and len(got) == len(rows)
 
 
+def test_articles_side_by_side():
+    two = "<article><h1>First</h1><p>A long first story.</p></article><article><h2>Second</h2><p>Short.</p></article>"
+    want = ["First", "A long first story.", "Second", "Short."]
+    assert texts(f"<main>{two}</main>") == texts(f"<body><nav>x</nav>{two}</body>") == want
+    assert texts(f"<main>{two}<article class=comment><p>Nice</p></article></main>") == want
+    teaser = "<section><article><p>Read this as well</p></article></section>"
+    assert texts(f"<main>{two}{teaser}</main>") == want
+
+
+def test_menus_that_differ_in_wording(spark):
+    """Neither named nor of the same words: lists of links above the text recur in their make."""
+
+    def page(i, lists=True):
+        links = "".join(f'<li><a href="/{i}{k}">Link {i * k}</a>' for k in range(2 + i % 3))
+        top = f'<div class="row"><ul>{links}</ul></div>' if lists else ""
+        sources = f'<ul><li><a href="/s{i}">Source {i}</a></ul>'
+        return f"<body>{top}<div>Same words</div><div><h1>Title {i}</h1><p>Own {i}</p>{sources}</div></body>"
+
+    rows = [(i, f"http://h.org/{i}", page(i)) for i in range(6)] + [(10 + i, f"http://few.org/{i}", page(i)) for i in range(4)]
+    frame = spark.createDataFrame(rows, PAGES).repartition(3)
+    for names in (True, False):
+        got = {r["page_id"]: r["text"] for r in html_template.main_text(frame, names=names).collect()}
+        assert [got[i] for i in range(6)] == [f"Title {i}\n\nOwn {i}\n\nSource {i}" for i in range(6)]
+        assert got[11] == "Link 0\n\nLink 1\n\nLink 2\n\nSame words\n\nTitle 1\n\nOwn 1\n\nSource 1"
+
+
+def test_wrappers_of_named_parts_are_no_template(spark):
+    """What is left out by name is not in the name of the subtree around it."""
+    rows = [(i, f"http://h.org/{i}", f'<div><form><div><p>Story {i}</p></div></form></div>') for i in range(8)]
+    found = html_template.main_text(spark.createDataFrame(rows, PAGES))
+    assert {r["page_id"]: r["text"] for r in found.collect()} == {i: f"Story {i}" for i in range(8)}
+
+
+def test_counts_alone_on_the_given_pages(spark):
+    """Without names the given pages come out the same: menus go by their make, the rest is outside the article."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    named, counted = (
+        {r["page_id"]: r["text"] for r in html_template.main_text(pages, names=names).collect()} for names in (True, False)
+    )
+    assert counted == named
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (None, "http://a.b/", "<p>x"), (2, "", ""), (3, "no url", PAGE), (3, "no url", PAGE)]
     found = html_template.main_text(spark.createDataFrame(rows, PAGES)).collect()
