@@ -356,6 +356,17 @@ class Page:
         ]
 
 
+    def settled(self) -> bool:
+        """Whether the article is the same whatever the template is.
+
+        So it is if there is an ``article`` or ``main`` and nothing in such elements is part of a
+        subtree that is counted: the choice looks at nothing else then.
+        """
+        regional = [i for i, b in enumerate(self.blocks) if b.region]
+        chosen = self.article()
+        return not any(self.around[i] for i in regional) and bool(chosen) and all(self.blocks[i].region for i in chosen)
+
+
 def opened(html: str | None, names: bool = True) -> Page:
     """A page read; without ``names`` no element is judged by what it is called."""
     reader = _Reader(names)
@@ -375,27 +386,29 @@ def read_page(html: str | None) -> list[tuple[str, list[int]]]:
     return [(page.blocks[i].text, page.around[i]) for i in page.article()]
 
 
-READ = "row_key bigint, page_id bigint, url string, host string, article bigint, page binary, subtrees array<bigint>"
+READ = "row_key bigint, page_id bigint, url string, host string, article bigint, text string, page binary, subtrees array<bigint>"
 TEXTS = "page_id bigint, url string, text string, n_chars bigint"
 
 
 def _read(names: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed, articles, subtrees = [], [], []
+            texts, packed, articles, subtrees = [], [], [], []
             for html in batch.column("html"):
                 page = opened(html.as_py(), names)
                 chosen = page.article()
                 plain = [page.blocks[i].text for i in chosen if not page.around[i]] or [page.blocks[i].text for i in chosen]
                 articles.append(_name("\n".join(plain)))
-                packed.append(page.packed())
+                settled = page.settled()
+                texts.append("\n\n".join(page.blocks[i].text for i in chosen) if settled else None)
+                packed.append(None if settled else page.packed())
                 subtrees.append(sorted({h for hs in page.around for h in hs}))
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(n) for n in ("row_key", "page_id", "url", "host")), pa.array(articles, pa.int64()),
-                    pa.array(packed, pa.binary()), pa.array(subtrees, pa.list_(pa.int64())),
+                    pa.array(texts, pa.string()), pa.array(packed, pa.binary()), pa.array(subtrees, pa.list_(pa.int64())),
                 ],
-                names=["row_key", "page_id", "url", "host", "article", "page", "subtrees"],
+                names=["row_key", "page_id", "url", "host", "article", "text", "page", "subtrees"],
             )
 
     return run
@@ -426,7 +439,8 @@ def main_text(pages: DataFrame, many: int = MANY_PAGES, names: bool = True) -> D
     All subtrees of a page are hashed as they close, menus and footers too, and lists of links above
     the text by their make as well. Spark counts on how many different articles of a host
     each one is, and those on ``many`` are deleted from every page of it; copies of one
-    article count once. Single paragraphs and headings of an article are no template
+    article count once. Pages whose article no deletion can change count as well, but need not be
+    looked up (``Page.settled``). Single paragraphs and headings of an article are no template
     however often they recur: shared passages stay. The article is chosen from what is
     left. Advertisements and footers that differ from page to page recur in no way; with
     ``names`` what the markup calls so goes in any case.
@@ -437,11 +451,16 @@ def main_text(pages: DataFrame, many: int = MANY_PAGES, names: bool = True) -> D
         F.coalesce(host_of(F.col("url").cast("string")), F.lit("")).alias("host"), F.col("html").cast("string").alias("html"),
     )
     read = scratch.stored(rows.mapInArrow(_read(names), READ), "pages")
-    subtrees = read.select("row_key", "host", "article", F.explode("subtrees").alias("subtree"))
+    settled = F.col("text").isNotNull()
+    subtrees = read.select("row_key", "host", "article", settled.alias("settled"), F.explode("subtrees").alias("subtree"))
     template = (
         subtrees.select("host", "subtree", "article").distinct()
         .groupBy("host", "subtree").agg(F.count("*").alias("articles")).where(F.col("articles") >= many)
     )
-    deleted = subtrees.join(template, ["host", "subtree"]).groupBy("row_key").agg(F.collect_set("subtree").alias("template"))
-    whole = read.select("row_key", "page_id", "url", "page").join(deleted, "row_key", "left")
-    return whole.select("page_id", "url", "page", "template").mapInArrow(_texts, TEXTS)
+    deleted = (
+        subtrees.where("not settled").join(template, ["host", "subtree"])
+        .groupBy("row_key").agg(F.collect_set("subtree").alias("template"))
+    )
+    open_pages = read.where(~settled).select("row_key", "page_id", "url", "page").join(deleted, "row_key", "left")
+    found = open_pages.select("page_id", "url", "page", "template").mapInArrow(_texts, TEXTS)
+    return read.where(settled).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")).union(found)

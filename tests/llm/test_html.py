@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
 from meterfold.llm import html_template
@@ -83,6 +84,26 @@ def test_repeated_subtrees_go_and_shared_passages_stay(spark):
     assert got[43] == "Own 3" and len(got) == len(rows)
 
 
+def test_settled_pages_never_change():
+    """Whatever subtrees are template, a page called settled keeps its article."""
+    inside = ["<p>One story.</p>", "<div><p>In a box</p></div>", "<ul><li>x</ul>", "<h1>Title</h1>"]
+    outside = ["<nav><a href=/>Home</a></nav>", "<div>Brand</div>", "<div class=ad>Buy</div>", "<form><p>Sign</p></form>", "<p>loose</p>"]
+    rng, seen = random.Random(3), [0, 0]
+    for _ in range(4000):
+        parts = rng.choices(outside, k=rng.randint(0, 3))
+        for tag in rng.choices(("article", "main", "div class=sidebar", "section"), k=rng.randint(0, 2)):
+            parts.append(f"<{tag}>{''.join(rng.choices(inside + outside, k=rng.randint(0, 3)))}</{tag.split()[0]}>")
+        rng.shuffle(parts)
+        page = html_template.opened("".join(parts))
+        names = sorted({h for hs in page.around for h in hs})
+        seen[page.settled()] += 1
+        if page.settled():
+            for k in range(6):
+                template = frozenset(rng.sample(names, rng.randint(0, len(names)))) if k else frozenset(names)
+                assert page.article(template) == page.article(), parts
+    assert min(seen) > 20
+
+
 def test_articles_side_by_side():
     two = "<article><h1>First</h1><p>A long first story.</p></article><article><h2>Second</h2><p>Short.</p></article>"
     want = ["First", "A long first story.", "Second", "Short."]
