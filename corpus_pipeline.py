@@ -1,11 +1,14 @@
 """From raw documents to packed training sequences.
 
 Each stage applies one operator to everything its predecessor kept; in between the documents
-are written as Parquet to the shared folder and read again.
+are written as Parquet to the shared folder and read again. Tables that a stage stored on
+the way are deleted when it is finished.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = scratch.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = scratch.finished(spark, name.replace(" ", "-"), functools.partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
