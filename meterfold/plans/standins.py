@@ -48,10 +48,15 @@ def districts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+    """Distributors with their parents.
+
+    The hint is on the districts, a row for each nation: by its estimates Spark would broadcast
+    the customers, as it multiplies the sizes of nations and regions.
+    """
     customer = tables.load(spark, folder, "customer").select(
         F.col("c_custkey").alias("distributor_id"), F.col("c_nationkey").alias("concentrator_id")
     )
-    return customer.join(districts(spark, folder), "concentrator_id")
+    return customer.join(F.broadcast(districts(spark, folder)), "concentrator_id")
 
 
 def level2(spark: SparkSession, folder: str, **options) -> DataFrame:

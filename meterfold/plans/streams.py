@@ -43,7 +43,7 @@ def tumbling(spark: SparkSession, folder: str) -> DataFrame:
 )
 def three_levels(spark: SparkSession, folder: str) -> DataFrame:
     level2 = cascade.by_distributor(_readings(spark, folder), ["distributor_id"], band=si.BAND)
-    placed = level2.join(si.hierarchy(spark, folder), "distributor_id")
+    placed = cascade.with_parents(level2, si.hierarchy(spark, folder))
     level3 = cascade.by_parent(placed, si.PARENT_KEYS, "total_distributors")
     level4 = cascade.by_parent(level3, [], "districts_reported")
     return rollup.finish(_to_table(spark, cascade.plain_windows(level4), "cascade"))
@@ -168,7 +168,8 @@ def bounded_batches(spark: SparkSession, folder: str) -> DataFrame:
     stream = tables.stream(spark, arrived, "events", files_per_batch=SLICE_FILES)
     readings = cascade.with_watermark(si.as_readings(stream), "timestamp")
     level2 = cascade.by_distributor(readings, ["distributor_id"], band=si.BAND)
-    level3 = cascade.by_parent(level2.join(si.hierarchy(spark, folder), "distributor_id"), si.PARENT_KEYS, "total_distributors")
+    placed = cascade.with_parents(level2, si.hierarchy(spark, folder))
+    level3 = cascade.by_parent(placed, si.PARENT_KEYS, "total_distributors")
     level4 = cascade.by_parent(level3, [], "districts_reported")
     return rollup.finish(_to_table(spark, cascade.plain_windows(level4), "bounded"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterfold import model
 from meterfold.operators import rollup
+from meterfold.plans import standins
 from meterfold.sources import messages, tables
 from meterfold.streaming import cascade
 
@@ -228,3 +229,35 @@ def test_consumer_keeps_running(spark, folder, hierarchy, tmp_path):
     starts = {r[0] for r in got.select("window_start").distinct().collect()}
     assert starts and starts <= {r[0].isoformat() for r in want.select("window_start").distinct().collect()}
     assert got.agg(F.sum("total_meters")).first()[0] == want.agg(F.sum("total_meters")).first()[0]
+
+
+def _plan(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_levels_out_of_the_state_are_not_broadcast(spark, folder, hierarchy, tmp_path):
+    """The batch that closes the windows reads nothing, so Spark takes what leaves the state for small."""
+    level2 = cascade.by_distributor(_stream(spark, folder), ["distributor_id"])
+    level3 = cascade.by_parent(cascade.with_parents(level2, hierarchy), ["concentrator_id"], "distributors")
+    query = cascade.start_to_files(cascade.plain_windows(level3), str(tmp_path / "out"), str(tmp_path / "state"))
+    query.awaitTermination()
+    last = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert "LocalTableScan" in last and "SortMergeJoin" in last and "BroadcastExchange" not in last
+    want = rollup.by_parent(
+        rollup.with_parents(_closed(rollup.by_distributor(tables.load(spark, folder, "readings"))), hierarchy),
+        ["concentrator_id"], "distributors",
+    )
+    assert _same(want, spark.read.parquet(str(tmp_path / "out")))
+
+
+def test_hierarchy_sends_the_districts_only(spark, tmp_path):
+    base = str(tmp_path)
+    for name, rows in {
+        "region": [(0, "R")],
+        "nation": [(i, f"N{i}", 0) for i in range(25)],
+        "customer": [(i, f"C{i}", i % 25, 1.0, "S") for i in range(200)],
+    }.items():
+        spark.createDataFrame(rows, tables.SCHEMAS[name]).write.parquet(tables.table_path(base, name))
+    found = standins.hierarchy(spark, base)
+    assert found.count() == 200
+    assert "BuildLeft" not in _plan(found)
