@@ -136,12 +136,15 @@ def cascade_routes(
     parent_id: str,
     minutes: int = model.WINDOW_MINUTES,
 ) -> list[messages.Route]:
-    """Routes of the complete records of levels 2 to 4 for a set of closed windows."""
-    placed = rollup.with_parents(distributors, hierarchy)
+    """Routes of the complete records of levels 2 to 4 for a set of closed windows.
+
+    Districts and their centre are sorted and merged as in :func:`with_parents`.
+    """
+    placed = with_parents(distributors, hierarchy)
     concentrators = rollup.by_parent(placed, parent_keys)
     districts = rollup.concentrator_records(concentrators, minutes)
     center = rollup.stream_cycles(rollup.recap(concentrators), minutes=minutes)
-    recaps = rollup.center_records(center, districts, parent_id)
+    recaps = rollup.center_records(center, districts.hint("merge"), parent_id)
     return [
         messages.Route(
             rollup.distributor_records(placed, minutes), model.TOPIC_DISTRIBUTORS, F.col("distributor_id")

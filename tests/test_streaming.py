@@ -250,6 +250,20 @@ def test_levels_out_of_the_state_are_not_broadcast(spark, folder, hierarchy, tmp
     assert _same(want, spark.read.parquet(str(tmp_path / "out")))
 
 
+def test_fan_out_broadcasts_no_level(spark, folder, hierarchy, tmp_path):
+    plans, files = [], cascade.file_publisher(str(tmp_path / "out"))
+
+    def publish(batch, number):
+        plans.append(_plan(batch))
+        files(batch, number)
+
+    cascade.fan_out(
+        _stream(spark, folder), hierarchy, ["concentrator_id"], "concentrator_id", publish, str(tmp_path / "s")
+    ).awaitTermination()
+    assert len(plans) == 2
+    assert all("SortMergeJoin" in p and "BroadcastExchange" not in p for p in plans)
+
+
 def test_hierarchy_sends_the_districts_only(spark, tmp_path):
     base = str(tmp_path)
     for name, rows in {
