@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ KEPT_PARTS = 2_000_000
 TEXT_BYTES = 1 << 21
 #: Fillings the search may take, and sizes it may look at, before it returns its best packing so far.
 NODES, WORK = 20_000, 3_000_000
+#: Bins of a branch whose open fillings the search holds; those of earlier bins are made again when it comes back.
+HELD_LEVELS = 32
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -336,6 +340,16 @@ def _fillings(
             return
 
 
+@dataclass
+class _Level:
+    """A bin of a branch: its largest piece, the waste allowed when it was opened, its fillings so far."""
+
+    largest: int
+    slack: int
+    taken: int = 0
+    ways: Iterator[tuple[int, ...]] | None = None
+
+
 def plan(
     counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, work: int = WORK
 ) -> list[Pattern]:
@@ -347,31 +361,44 @@ def plan(
     whose waste rules out a better one is cut. The search ends at the lower bound, or after
     ``nodes`` fillings or ``work`` looks at a length, whichever comes first, with the best
     packing so far. Its time follows the number of lengths, of which there are at most
-    ``capacity``, not the number of pieces.
+    ``capacity``, not the number of pieces. The fillings still open at a bin hold some 100 kB,
+    and a branch has a thousand bins or more: only the last few are held. An earlier bin's are
+    made again when the search comes back to it, up to where they stood, which changes no packing.
     """
     counts = {n: c for n, c in counts.items() if c}
     total = sum(n * c for n, c in counts.items())
     bound, best = lower_bound(counts, capacity), best_fit(counts, capacity)
     fewest = sum(m for _, m in best)
     left, waste, looks = Counter(counts), 0, [work]
-    stack: list[tuple[int, Iterator[tuple[int, ...]]]] = []
+    stack: list[_Level] = []
     chosen: list[Pattern] = []
 
-    def opened() -> tuple[int, Iterator[tuple[int, ...]]]:
-        largest = max(n for n, c in left.items() if c)
-        others = {n: c - (n == largest) for n, c in left.items()}
-        slack = (fewest - 1) * capacity - total - waste
-        return largest, _fillings(others, capacity - largest, slack, looks)
+    def open_level() -> None:
+        stack.append(_Level(max(n for n, c in left.items() if c), (fewest - 1) * capacity - total - waste))
+        if len(stack) > HELD_LEVELS:
+            stack[-1 - HELD_LEVELS].ways = None
+
+    def next_way(level: _Level) -> tuple[int, ...] | None:
+        if level.ways is None:
+            others = {n: c - (n == level.largest) for n, c in left.items()}
+            level.ways = _fillings(others, capacity - level.largest, level.slack, looks)
+            # What was looked at before is not counted again.
+            counted, looks[0] = looks[0], sys.maxsize
+            for _ in range(level.taken):
+                next(level.ways)
+            looks[0] = counted
+        level.taken += 1
+        return next(level.ways, None)
 
     if fewest > bound:
-        stack.append(opened())
+        open_level()
     while stack and fewest > bound and nodes > 0 and looks[0] > 0:
         if len(chosen) == len(stack):
             lengths, many = chosen.pop()
             left.update({n: c * many for n, c in Counter(lengths).items()})
             waste -= (capacity - sum(lengths)) * many
-        largest, ways = stack[-1]
-        way = next(ways, None)
+        largest = stack[-1].largest
+        way = next_way(stack[-1])
         if way is None:
             stack.pop()
             continue
@@ -388,7 +415,7 @@ def plan(
         left.subtract({n: c * many for n, c in need.items()})
         waste += spare * many
         if any(left.values()):
-            stack.append(opened())
+            open_level()
             continue
         bins = sum(m for _, m in chosen)
         if bins < fewest:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import inspect
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -171,3 +172,31 @@ def test_fillings_are_complete_and_undominated():
         found = list(packing._fillings(left, room, room, [10**6]))
         assert len(found) == len(set(found))
         assert set(found) == {f for f in every if not beaten(f)}
+
+
+def _uneven(seed=5):
+    rng = random.Random(seed)
+    return {n: rng.randrange(1, 9) for n in range(300, 1001)}
+
+
+def test_search_holds_few_levels():
+    tracemalloc.start()
+    try:
+        packing.plan(_uneven(), 2048, nodes=600)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 35e6
+
+
+@pytest.mark.parametrize("held", [1, 3])
+def test_levels_made_again_give_the_same_plan(monkeypatch, held):
+    rng = random.Random(11)
+    cases = [({rng.randrange(10, 60): rng.randrange(1, 4) for _ in range(14)}, 100) for _ in range(40)]
+    cases.append((_uneven(), 2048))
+
+    def plans(levels):
+        monkeypatch.setattr(packing, "HELD_LEVELS", levels)
+        return [packing.plan(counts, room, 400, 60_000) for counts, room in cases]
+
+    assert plans(held) == plans(10**6)
