@@ -3,8 +3,8 @@
 Spark's own file stream reads a file once and never sees what is appended to it. This
 source keeps a byte offset per file. An offset always lies behind a line end, so a line
 that is still being written waits for the next batch, and a restart goes on where the
-checkpoint stands. New bytes are cut into splits of a bounded size, which tasks
-read on their own; a split owns the lines that start in it.
+checkpoint stands. New bytes are cut into splits of a bounded size, each read on its own; a
+split owns the lines that start in it. A task takes several splits if there are many.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from meterfold.sources import messages
 
 NAME = "growing_log"
 SPLIT_BYTES = 64 << 20
+#: A batch of more splits than this many has so many tasks, or more where each would get over TASK_BYTES.
+TASKS, TASK_BYTES = 64, 64 << 20
 _SCHEMA = "file string, position bigint, value string"
 _LOOK_BACK = 1 << 16
 
@@ -33,8 +36,8 @@ def _opened(path: str) -> tuple[fs.FileSystem, str]:
 
 
 @dataclass
-class Split(InputPartition):
-    """Bytes of one file; ``whole`` if they begin with a line."""
+class Run:
+    """Bytes of one file, cut into splits from ``low`` on; ``whole`` if they begin with a line."""
 
     name: str
     low: int
@@ -42,6 +45,13 @@ class Split(InputPartition):
     whole: bool
 
 
+@dataclass
+class Share(InputPartition):
+    """What one task reads."""
+
+    runs: list[Run]
+
+
 class LogReader(DataSourceStreamReader):
     def __init__(self, path: str, split_bytes: int):
         self._path, self._split = path, split_bytes
@@ -74,43 +84,58 @@ class LogReader(DataSourceStreamReader):
             found[name] = end
         return found
 
-    def partitions(self, start: dict, end: dict) -> list[Split]:
-        splits = []
+    def partitions(self, start: dict, end: dict) -> list[Share]:
+        new = []
         for name, high in end.items():
             low = start.get(name, 0)
             if high < low:
                 raise ValueError(f"{name} has become shorter; a growing log only gets longer")
-            splits += [
-                Split(name, at, min(at + self._split, high), at == low) for at in range(low, high, self._split)
-            ]
-        return splits
-
-    def read(self, split: Split) -> Iterator[pa.RecordBatch]:
+            new.append((name, low, high))
+        most = min(sum(high - low for _, low, high in new) // TASKS, TASK_BYTES)
+        shares, room = [], 0
+        for name, low, high in new:
+            at = low
+            while at < high:
+                if room <= 0:
+                    shares.append(Share([]))
+                    room = max(most, 1)
+                # Whole splits, up to the one that fills the share.
+                to = min(at + -(-room // self._split) * self._split, high)
+                shares[-1].runs.append(Run(name, at, to, at == low))
+                room -= to - at
+                at = to
+        return shares
+
+    def read(self, share: Share) -> Iterator[pa.RecordBatch]:
         system, _ = _opened(self._path)
-        with system.open_input_file(split.name) as file:
-            low = split.low if split.whole else split.low - 1
-            data = file.read_at(split.high - low, low)
-            if not split.whole:
-                skip = data.find(b"\n") + 1
-                if not skip or low + skip >= split.high:
-                    return
-                low, data = low + skip, data[skip:]
-            while data and not data.endswith(b"\n"):
-                more = file.read_at(_LOOK_BACK, low + len(data))
-                if not more:
-                    raise ValueError(f"{split.name} ends inside a line that was whole before")
-                cut = more.find(b"\n") + 1
-                data += more[:cut] if cut else more
-        lines = data.split(b"\n")[:-1]
-        at, positions = low, []
-        for line in lines:
-            positions.append(at)
-            at += len(line) + 1
+        for run in share.runs:
+            with system.open_input_file(run.name) as file:
+                for low in range(run.low, run.high, self._split):
+                    whole = run.whole and low == run.low
+                    yield from self._lines(file, run.name, low, min(low + self._split, run.high), whole)
+
+    def _lines(self, file: pa.NativeFile, name: str, start: int, high: int, whole: bool) -> Iterator[pa.RecordBatch]:
+        """The lines that start in one split."""
+        low = start if whole else start - 1
+        data = file.read_at(high - low, low)
+        if not whole:
+            skip = data.find(b"\n") + 1
+            if not skip or low + skip >= high:
+                return
+            low, data = low + skip, data[skip:]
+        while data and not data.endswith(b"\n"):
+            more = file.read_at(_LOOK_BACK, low + len(data))
+            if not more:
+                raise ValueError(f"{name} ends inside a line that was whole before")
+            cut = more.find(b"\n") + 1
+            data += more[:cut] if cut else more
+        ends = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 0x0A)
+        positions = low + np.append(0, ends[:-1] + 1)[: len(ends)]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([split.name] * len(lines), pa.string()),
+                pa.repeat(pa.scalar(name, pa.string()), len(ends)),
                 pa.array(positions, pa.int64()),
-                pa.array([line.decode("utf-8", "replace") for line in lines], pa.string()),
+                pa.array(data.decode("utf-8", "replace").split("\n")[:-1], pa.string()),
             ],
             names=["file", "position", "value"],
         )
@@ -123,7 +148,7 @@ class GrowingLog(DataSource):
     """``spark.readStream.format("growing_log").load(path)``: a file, or the files of a folder.
 
     ``path`` is on a file system that ``pyarrow.fs`` opens on every machine. The option
-    ``splitBytes`` bounds what one task reads. Files may be added and may grow; one that
+    ``splitBytes`` bounds what one task holds at once. Files may be added and may grow; one that
     becomes shorter is an error. Lines end with a line feed and are UTF-8.
     """
 

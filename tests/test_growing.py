@@ -86,3 +86,23 @@ def test_envelopes(spark, tmp_path):
     path.write_text('{"topic":"t","key":"k","value":{"a":1}}\n\n')
     cascade.run_to_files(growing.stream_envelopes(spark, f"file://{path}"), str(tmp_path / "out"), str(tmp_path / "state"))
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("t", "k", '{"a":1}')]
+
+
+def test_tasks_do_not_multiply_with_the_splits(tmp_path, monkeypatch):
+    """Tasks follow the bytes, not the splits; each byte belongs to one of them."""
+    for name, lines in (("a", 5000), ("b", 3), ("c", 9000)):
+        (tmp_path / name).write_bytes(b"".join(b"%d\n" % i for i in range(lines)))
+    reader = growing.LogReader(str(tmp_path), 16)
+    end = reader.latestOffset()
+    shares = reader.partitions({}, end)
+    assert len(shares) <= growing.TASKS + 1
+    for name, high in end.items():
+        runs = [r for s in shares for r in s.runs if r.name == name]
+        assert [r.low for r in runs] == [0, *(r.high for r in runs[:-1])] and runs[-1].high == high
+        assert [r.whole for r in runs] == [True] + [False] * (len(runs) - 1)
+    found = _lines_of(reader, {}, end)
+    assert len(found) == 14003
+    monkeypatch.setattr(growing, "TASK_BYTES", 100)
+    assert all(sum(r.high - r.low for r in s.runs) < 100 + 16 for s in reader.partitions({}, end))
+    assert _lines_of(reader, {}, end) == found
+    assert len(growing.LogReader(str(tmp_path), 10**6).partitions({}, end)) <= 3
